@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rankflow.functions.scalar import MUTED_COLOR, default_color, default_logos
 from rankflow.operators.ranks import rank_order, school_order, visual_rank
 from rankflow.operators.weeks import attach_weeks, week_dimension
+from rankflow.session import materialize
 
 # Fixed values of the chart.
 TOP_K = 12
@@ -44,12 +45,20 @@ def top_flag(rows: DataFrame, top: DataFrame, name: str = "isTop") -> DataFrame:
             .withColumn(name, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
 
 
-def trajectories(slice_rows: DataFrame, k: int = TOP_K) -> DataFrame:
+def trajectories(slice_rows: DataFrame, k: int = TOP_K, checkpoint: bool = True) -> DataFrame:
     """Poll rows of one poll / season type (all seasons) -> chart rows with
-    ``visualRank``, ``weekIndex``, default colour and the top-k flag."""
+    ``visualRank``, ``weekIndex``, default colour and the top-k flag.
+
+    The chart rows feed both the top-k list and the rows themselves (and
+    usually series and movers after that); with ``checkpoint`` they are
+    computed once into the shared checkpoint folder instead of once per
+    consumer.
+    """
     ranked = visual_rank(slice_rows)
     weeks = week_dimension(ranked)
     rows = chart_rows(ranked, weeks)
+    if checkpoint:
+        rows = materialize(rows, "chart_rows")
     return top_flag(rows, top_schools(rows, k)).select(*CHART_COLS, "isTop")
 
 

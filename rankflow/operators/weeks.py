@@ -12,13 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.functions.scalar import season_week_label
-from rankflow.session import has_at_most
 
 # Fixed values of the chart axes.
 EMPTY_Y_MAX = 25
 AXIS_PAD = 0.5
-# A season has at most ~20 poll weeks; 100k rows covers 5,000 seasons.
-WEEK_BROADCAST_MAX_ROWS = 100_000
 
 
 def week_dimension(df: DataFrame, season: str = "season", week: str = "week",
@@ -52,17 +49,18 @@ def week_dimension(df: DataFrame, season: str = "season", week: str = "week",
     )
 
 
-def attach_weeks(df: DataFrame, weeks: DataFrame, season: str = "season", week: str = "week",
-                 max_rows: int = WEEK_BROADCAST_MAX_ROWS) -> DataFrame:
+def attach_weeks(df: DataFrame, weeks: DataFrame, season: str = "season",
+                 week: str = "week") -> DataFrame:
     """Equi-join the facts to the week dimension.
 
-    The broadcast is proven by counting the distinct weeks of the *input*
-    (two pruned columns, partial aggregate) before hinting; above the bound
-    the planner keeps a shuffle join.
+    The week table is derived from the facts, so its size is known only at
+    run time: the join is left to AQE, which turns it into a broadcast when
+    the materialized week table is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and keeps a shuffle
+    join above it. (A count check up front would recompute the facts.)
     """
-    small = has_at_most(df.select(season, week).distinct(), max_rows)
     dim = weeks.drop("seasonWeek") if "seasonWeek" in df.columns else weeks
-    return df.join(F.broadcast(dim) if small else dim, on=[season, week], how="inner")
+    return df.join(dim, on=[season, week], how="inner")
 
 
 def axis_bounds(weeks: DataFrame) -> DataFrame:

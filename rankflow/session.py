@@ -42,15 +42,35 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     The setting is read from the session; only when it is unset (a local test
     run) do we fall back to a folder under the system temp dir.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    leaf = "/".join(p.strip("/") for p in parts if p) or "scratch"
+    return f"{base}/rankflow/{leaf}/{uuid.uuid4().hex}"
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable checkpoint folder: the session's ``spark.checkpoint.dir``;
+    a local temp folder only when the setting is absent (tests)."""
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         import tempfile
 
         base = tempfile.mkdtemp(prefix="rankflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-    base = base.rstrip("/")
-    leaf = "/".join(p.strip("/") for p in parts if p) or "scratch"
-    return f"{base}/rankflow/{leaf}/{uuid.uuid4().hex}"
+    spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder
+    and read it back: the lineage is cut, every later consumer reads the
+    columnar files (with pruning), and a lost executor costs a re-read, not a
+    recompute of the upstream plan. (``Dataset.checkpoint`` without a persist
+    would run the plan twice.)"""
+    path = shared_dir(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankflow.session import broadcast_if_small
 
 DEFAULT_BLOCK_ROWS = 50_000
 _DOC_T = T.StructType([T.StructField("columns", T.ArrayType(T.StructType([
@@ -41,7 +40,8 @@ def encode_columnar(df: DataFrame, group_cols: Sequence[str] = ("season",),
     order = list(order_cols) if order_cols else cols
     counts = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n")).select(
         *gcols, F.greatest(F.lit(1), F.ceil(F.col("_n") / block_rows)).cast("long").alias("_nb"))
-    keyed = df.join(broadcast_if_small(counts, 100_000), on=gcols, how="inner")
+    # one row per group, known only at run time: AQE broadcasts it when small
+    keyed = df.join(counts, on=gcols, how="inner")
     keyed = keyed.withColumn("_block", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_nb")))
     row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                    *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)])
@@ -105,7 +105,8 @@ def encode_rows(df: DataFrame, group_cols: Sequence[str] = ("season",),
     order = list(order_cols) if order_cols else cols
     counts = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n")).select(
         *gcols, F.greatest(F.lit(1), F.ceil(F.col("_n") / block_rows)).cast("long").alias("_nb"))
-    keyed = df.join(broadcast_if_small(counts, 100_000), on=gcols, how="inner")
+    # one row per group, known only at run time: AQE broadcasts it when small
+    keyed = df.join(counts, on=gcols, how="inner")
     keyed = keyed.withColumn("_block", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_nb")))
     row = F.struct(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).alias("_o"),
                    F.struct(*[F.col(c) for c in cols]).alias("_v"))

@@ -1,0 +1,120 @@
+"""Columnar codec, envelopes and snapshot listings."""
+
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rankflow.sources.columnar import decode_columnar, decode_snapshot, encode_columnar, encode_rows
+from rankflow.sources.readers import unwrap_envelope
+from rankflow.sources.snapshots import (
+    NoSnapshotError, available_seasons, latest_per_group, latest_poll, latest_snapshot,
+    list_files, season_files,
+)
+
+ROW = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType()),
+                    T.StructField("tags", T.ArrayType(T.StringType()))])
+
+
+def _docs(spark, docs):
+    return spark.createDataFrame([(d,) for d in docs], "doc string")
+
+
+def test_short_column_is_padded_with_null(spark):
+    doc = json.dumps({"columns": [{"name": "a", "values": [1, 2]}, {"name": "b", "values": ["x"]}]})
+    rows = decode_columnar(_docs(spark, [doc]), ROW).collect()
+    assert [(r.a, r.b, r.tags) for r in rows] == [(1, "x", None), (2, None, None)]
+
+
+def test_duplicate_name_keeps_last(spark):
+    doc = json.dumps({"columns": [{"name": "a", "values": [1]}, {"name": "a", "values": [7]}]})
+    assert decode_columnar(_docs(spark, [doc]), ROW).first().a == 7
+
+
+def test_round_trip_keeps_nulls_and_arrays(spark):
+    src = spark.createDataFrame(
+        [(1, None, ["p", "q"]), (None, "y", None), (3, "z", []), (4, "w", ["r"])], ROW
+    ).withColumn("season", F.lit(2024))
+    enc = encode_columnar(src, ["season"], block_rows=2)
+    assert enc.count() >= 2  # several bounded documents
+    back = decode_columnar(enc, ROW)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(
+        map(tuple, src.drop("season").collect()), key=str)
+
+
+def test_row_oriented_documents_pass_through(spark):
+    rows_doc = json.dumps([{"a": 1, "b": "x", "tags": None}, {"a": 2}])
+    col_doc = json.dumps({"columns": [{"name": "a", "values": [3]}]})
+    got = sorted(r.a for r in decode_snapshot(_docs(spark, [rows_doc, col_doc]), ROW).collect())
+    assert got == [1, 2, 3]
+
+
+def test_envelope_or_bare_array_else_skipped(spark):
+    env = json.dumps({"season": 2024, "data": [{"a": 1}]})
+    bare = json.dumps([{"a": 2}])
+    zero = json.dumps({"season": 0, "data": [{"a": 3}]})
+    other = json.dumps({"error": "No poll data found"})
+    got = sorted(r.a for r in unwrap_envelope(_docs(spark, [env, bare, zero, other]), ROW).collect())
+    assert got == [1, 2]
+
+
+def test_encode_rows_envelope_round_trip(spark):
+    src = spark.createDataFrame([(1, "x", None), (2, None, ["t"])], ROW).withColumn("season", F.lit(7))
+    docs = encode_rows(src, ["season"], envelope=True).select("doc")
+    assert sorted(r.a for r in unwrap_envelope(docs, ROW).collect()) == [1, 2]
+
+
+LIST = "key string, last_modified timestamp_ntz, size bigint"
+
+
+def _listing(spark, rows):
+    return spark.createDataFrame(rows, LIST)
+
+
+def test_equal_mtimes_first_key_wins(spark):
+    t = dt.datetime(2024, 9, 1, 12, 0, 0)
+    lst = _listing(spark, [("cleansed/2024/poll_b.json", t, 1), ("cleansed/2024/poll_a.json", t, 2)])
+    assert latest_poll(lst, 2024).first().key == "cleansed/2024/poll_a.json"
+    assert latest_snapshot(lst, "cleansed/2024/").first().key == "cleansed/2024/poll_a.json"
+
+
+def test_latest_poll_filters_and_raises(spark):
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    lst = _listing(spark, [("cleansed/2024/poll_1.json", t0, 1), ("cleansed/2024/poll_2.csv", t1, 1),
+                           ("cleansed/2023/poll_3.json", t1, 1)])
+    assert latest_poll(lst, 2024).first().key == "cleansed/2024/poll_1.json"
+    assert latest_poll(lst, None).first().key == "cleansed/2023/poll_3.json"
+    try:
+        latest_poll(lst, 1999)
+        raise AssertionError("expected NoSnapshotError")
+    except NoSnapshotError:
+        pass
+    assert latest_poll(lst, 1999, on_missing="empty").count() == 0
+
+
+def test_available_seasons_and_default(spark):
+    t = dt.datetime(2024, 1, 1)
+    lst = _listing(spark, [("cleansed/2023/poll_1.json", t, 1), ("cleansed/2024/x/poll.json", t, 1),
+                           ("cleansed/abc/poll_1.json", t, 1), ("cleansed/2022", t, 1)])
+    assert [r.season for r in available_seasons(lst).collect()] == [2024, 2023]
+    empty = _listing(spark, [("other/2020/a.json", t, 1)])
+    assert [r.season for r in available_seasons(empty, default=[2024]).collect()] == [2024]
+    assert [r.season for r in available_seasons(lst, default=[1999]).collect()] == [2024, 2023]
+
+
+def test_season_files_iso_time(spark):
+    lst = _listing(spark, [("cleansed/2024/poll_1.json", dt.datetime(2024, 9, 1, 12, 0, 0), 5),
+                           ("cleansed/2024/poll_2.json", dt.datetime(2024, 9, 1, 12, 0, 0, 250), 6)])
+    got = {r.key: r.lastModified for r in season_files(lst, 2024).collect()}
+    assert got == {"cleansed/2024/poll_1.json": "2024-09-01T12:00:00+00:00",
+                   "cleansed/2024/poll_2.json": "2024-09-01T12:00:00.000250+00:00"}
+
+
+def test_list_files_real_folder(spark, tmp_path):
+    (tmp_path / "cleansed" / "2024").mkdir(parents=True)
+    (tmp_path / "cleansed" / "2024" / "poll_x.json").write_text("{}")
+    rows = list_files(spark, str(tmp_path)).collect()
+    assert [(r.key, r.size) for r in rows] == [("cleansed/2024/poll_x.json", 2)]
+    lp = latest_per_group(list_files(spark, str(tmp_path)), []).first()
+    assert lp.key == "cleansed/2024/poll_x.json"

@@ -1,0 +1,78 @@
+"""Week ordinal, series order, top-k, deltas and axis bounds."""
+
+import pytest
+
+from rankflow.operators.movers import movers
+from rankflow.operators.ranks import visual_rank
+from rankflow.operators.trajectory import (
+    chart_rows, team_series, top_flag, top_schools, trajectories,
+)
+from rankflow.operators.weeks import axis_bounds, week_dimension
+
+SCHEMA = "season int, week int, school string, rank int, color string, logos array<string>"
+
+
+def _rows(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def _two_seasons(spark):
+    return _rows(spark, [(2023, 1, "A", 1, None, None), (2023, 2, "A", 2, "", None),
+                         (2024, 1, "A", 3, "#0a0", ["l"]), (2024, 2, "A", 4, "#0a0", None),
+                         (2024, 2, "B", 5, "#00f", None)])
+
+
+def test_week_index_and_season_boundary(spark):
+    weeks = {(r.season, r.week): r for r in week_dimension(visual_rank(_two_seasons(spark))).collect()}
+    assert [weeks[k].weekIndex for k in [(2023, 1), (2023, 2), (2024, 1), (2024, 2)]] == [0, 1, 2, 3]
+    assert weeks[(2024, 1)].seasonChange and weeks[(2024, 1)].boundary == 1.5
+    assert not weeks[(2023, 2)].seasonChange
+    assert weeks[(2024, 2)].isCurrent and not weeks[(2024, 1)].isCurrent
+
+
+def test_series_order_week_parity_and_time(spark):
+    traj = trajectories(_two_seasons(spark), checkpoint=False)
+    parity = team_series(traj).where("school = 'A'").first()
+    assert [p.seasonWeek for p in parity.ranks] == ["2023/1", "2024/1", "2023/2", "2024/2"]
+    assert parity.color == "#ccc"  # colour of the first point after the sort (null -> #ccc)
+    timed = team_series(traj, order="time").where("school = 'A'").first()
+    assert [p.seasonWeek for p in timed.ranks] == ["2023/1", "2023/2", "2024/1", "2024/2"]
+
+
+def test_default_color_in_chart_rows(spark):
+    traj = trajectories(_two_seasons(spark), checkpoint=False)
+    got = {(r.seasonWeek, r.school): r.color for r in traj.collect()}
+    assert got[("2023/1", "A")] == "#ccc" and got[("2023/2", "A")] == "#ccc"
+    assert got[("2024/1", "A")] == "#0a0"
+
+
+def test_deltas_and_labels(spark):
+    rows = _rows(spark, [(2024, 1, "R", 5, None, None), (2024, 1, "F", 3, None, None),
+                         (2024, 1, "H", 2, None, None), (2024, 2, "R", 3, None, None),
+                         (2024, 2, "F", 4, None, None), (2024, 2, "H", 2, None, None)])
+    got = {r.school: (r.delta, r.deltaLabel, r.deltaTitle) for r in
+           movers(trajectories(rows, checkpoint=False)).collect()}
+    assert got["R"] == (-2, "2 🔼", "R rose 2 places since entering the AP Top 25 poll")
+    assert got["F"] == (1, "1 🔽", "F fell 1 place since entering the AP Top 25 poll")
+    assert got["H"] == (0, "0 ➖", "H held steady since entering the AP Top 25 poll")
+
+
+def test_top_k_is_stable_on_ties(spark):
+    data = [(2024, 2, f"S{i:02d}", 1 + i // 2, None, None) for i in range(20)]
+    ranked = visual_rank(_rows(spark, data))
+    rows = chart_rows(ranked, week_dimension(ranked))
+    top = [r.school for r in top_schools(rows, 12).collect()]
+    assert top == [f"S{i:02d}" for i in range(12)]
+    flagged = {r.school: r.isTop for r in top_flag(rows, top_schools(rows, 12)).collect()}
+    assert sum(flagged.values()) == 12 and flagged["S11"] and not flagged["S12"]
+
+
+def test_empty_input_axis_bounds(spark):
+    empty = _rows(spark, [])
+    b = axis_bounds(week_dimension(visual_rank(empty))).first()
+    assert (b.maxWeekIndex, b.yMax, b.yDomainLow, b.yDomainHigh) == (0, 25.0, 0.5, 25.5)
+
+
+def test_axis_bounds_on_data(spark):
+    b = axis_bounds(week_dimension(visual_rank(_two_seasons(spark)))).first()
+    assert b.maxWeekIndex == 3 and b.yMax == pytest.approx(3.0)
