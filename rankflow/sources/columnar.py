@@ -1,7 +1,7 @@
 """Column-oriented JSON documents: ``{"columns": [{"name", "values"}]}``.
 
 Encoding keeps every document bounded: rows are spread over
-``ceil(rows_in_group / block_rows)`` blocks by a hash of the row, so a season
+``ceil(rows_in_group / block_rows)`` blocks (see :func:`_blocks`), so a season
 of any size becomes many documents (one per line) instead of one object that
 would pass whole through one task. Decoding is narrow (no shuffle).
 """
@@ -26,6 +26,40 @@ def _field(name: str):
     return lambda r: r[name]
 
 
+def _blocks(df: DataFrame, gcols: list[str], order: list[str], block_rows: int) -> DataFrame:
+    """Rows of ``df`` grouped into bounded blocks: one row per (group, block)
+    with ``_r``, the block's rows as structs (``_o*`` order fields, then
+    ``_c*`` values) sorted by the order fields.
+
+    Deterministic and skew-proof: identical rows are first collapsed into
+    (row, copies) by a partial + final aggregate, a large copy group is cut
+    into pieces of at most ``block_rows`` copies, and each piece goes to the
+    block ``xxhash64(row, piece) mod blocks_of_group`` with
+    ``blocks_of_group = ceil(rows / block_rows)``. Re-running a task gives
+    the same assignment, and no block holds a whole hot group.
+    """
+    cols = df.columns
+    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    gkey = F.struct(*[F.col(c) for c in gcols]).alias("_g")  # struct keys match nulls too
+    counts = distinct.groupBy(gkey).agg(F.sum("_m").alias("_n")).select(
+        "_g", F.greatest(F.lit(1), F.ceil(F.col("_n") / block_rows)).cast("long").alias("_nb"))
+    last_piece = F.floor((F.col("_m") - 1) / block_rows).cast("long")
+    pieces = (distinct.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
+              .withColumn("_mj", F.least(F.lit(block_rows).cast("long"),
+                                         F.col("_m") - F.col("_j") * block_rows).cast("int"))
+              .withColumn("_g", gkey))
+    # one row per group, known only at run time: AQE broadcasts it when small
+    keyed = pieces.join(counts, on="_g", how="inner")
+    keyed = keyed.withColumn(
+        "_block", F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.col("_j")), F.col("_nb")))
+    piece = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                     *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)], F.col("_mj"))
+    grouped = keyed.groupBy(*[F.col(c) for c in gcols], "_block").agg(
+        F.array_sort(F.collect_list(piece)).alias("_p"))
+    expand = F.flatten(F.transform("_p", lambda p: F.array_repeat(p.dropFields("_mj"), p["_mj"])))
+    return grouped.select(*gcols, "_block", expand.alias("_r"))
+
+
 def encode_columnar(df: DataFrame, group_cols: Sequence[str] = ("season",),
                     order_cols: Sequence[str] | None = None,
                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
@@ -37,15 +71,7 @@ def encode_columnar(df: DataFrame, group_cols: Sequence[str] = ("season",),
     """
     gcols = list(group_cols)
     cols = df.columns
-    order = list(order_cols) if order_cols else cols
-    counts = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n")).select(
-        *gcols, F.greatest(F.lit(1), F.ceil(F.col("_n") / block_rows)).cast("long").alias("_nb"))
-    # one row per group, known only at run time: AQE broadcasts it when small
-    keyed = df.join(counts, on=gcols, how="inner")
-    keyed = keyed.withColumn("_block", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_nb")))
-    row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                   *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)])
-    blocks = keyed.groupBy(*gcols, "_block").agg(F.array_sort(F.collect_list(row)).alias("_r"))
+    blocks = _blocks(df, gcols, list(order_cols) if order_cols else cols, block_rows)
     parts = [F.to_json(F.struct(F.lit(c).alias("name"),
                                 F.transform("_r", _field(f"_c{i}")).alias("values")))
              for i, c in enumerate(cols)]
@@ -102,16 +128,8 @@ def encode_rows(df: DataFrame, group_cols: Sequence[str] = ("season",),
     :func:`encode_columnar`. Null fields are written as ``null``."""
     gcols = list(group_cols)
     cols = df.columns
-    order = list(order_cols) if order_cols else cols
-    counts = df.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n")).select(
-        *gcols, F.greatest(F.lit(1), F.ceil(F.col("_n") / block_rows)).cast("long").alias("_nb"))
-    # one row per group, known only at run time: AQE broadcasts it when small
-    keyed = df.join(counts, on=gcols, how="inner")
-    keyed = keyed.withColumn("_block", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_nb")))
-    row = F.struct(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]).alias("_o"),
-                   F.struct(*[F.col(c) for c in cols]).alias("_v"))
-    blocks = keyed.groupBy(*gcols, "_block").agg(F.array_sort(F.collect_list(row)).alias("_r"))
-    data = F.transform("_r", lambda r: r["_v"])
+    blocks = _blocks(df, gcols, list(order_cols) if order_cols else cols, block_rows)
+    data = F.transform("_r", lambda r: F.struct(*[r[f"_c{i}"].alias(c) for i, c in enumerate(cols)]))
     opts = {"ignoreNullFields": "false"}
     if envelope:
         doc = F.to_json(F.struct(F.col(gcols[0]).alias("season"), data.alias("data")), opts)

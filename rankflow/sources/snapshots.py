@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankflow.functions.scalar import iso_utc
 
@@ -49,12 +50,30 @@ def key_part(i: int, key: str = "key"):
     return F.try_element_at(F.split(F.col(key), "/"), F.lit(i + 1))
 
 
+def _newest_first(df: DataFrame, ts: str):
+    """A long that sorts the newest time first (nulls last)."""
+    t = F.col(ts)
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), t)
+    else:
+        micros = F.unix_micros(t.cast("timestamp"))
+    return F.coalesce(-micros, F.lit(2**63 - 1))
+
+
 def latest_per_group(listing: DataFrame, group_cols: Sequence[str],
                      ts: str = "last_modified", key: str = "key") -> DataFrame:
     """Newest row per group; on equal times the first key in listing order
-    (ascending) wins. Planned as a per-group window limit."""
-    w = Window.partitionBy(*group_cols).orderBy(F.col(ts).desc_nulls_last(), F.col(key).asc())
-    return listing.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    (ascending) wins.
+
+    One partial + final aggregate: ``min(struct(-time, key, row))``. Each
+    task reduces its own rows per group before the shuffle, so a season with
+    a third of all files never lands whole in one task (a window would sort
+    it there).
+    """
+    best = F.min(F.struct(_newest_first(listing, ts).alias("_t"), F.col(key).alias("_k"),
+                          F.struct(*[F.col(c) for c in listing.columns]).alias("_row")))
+    return (listing.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)])
+            .agg(best.alias("_b")).select("_b._row.*"))
 
 
 def newest(listing: DataFrame, ts: str = "last_modified", key: str = "key") -> DataFrame:

@@ -118,3 +118,13 @@ def test_list_files_real_folder(spark, tmp_path):
     assert [(r.key, r.size) for r in rows] == [("cleansed/2024/poll_x.json", 2)]
     lp = latest_per_group(list_files(spark, str(tmp_path)), []).first()
     assert lp.key == "cleansed/2024/poll_x.json"
+
+
+def test_copies_are_split_across_bounded_blocks(spark):
+    src = spark.range(0, 1000).select(F.lit(1).alias("a"), F.lit("same").alias("b"),
+                                      F.lit(None).cast("array<string>").alias("tags"),
+                                      F.lit(2024).alias("season"))
+    enc = encode_columnar(src, ["season"], block_rows=100)
+    sizes = [r.n_rows for r in enc.collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 300 and len(sizes) >= 4
+    assert decode_columnar(enc, ROW).count() == 1000
