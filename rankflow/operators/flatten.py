@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 from rankflow.schemas import FLAT_COLS, HEADER_COLS, RANK
 
 
-def flatten_rankings(docs: DataFrame) -> DataFrame:
+def flatten_rankings(docs: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
     """season -> polls -> ranks, one row per rank with the header repeated.
 
     Two narrow ``inline`` generators (no shuffle). A null, missing or empty
     ``polls``/``ranks`` list yields no rows for that parent. Only the columns
-    each level needs are carried into the generators.
+    each level needs are carried into the generators; ``keep`` names extra
+    document columns to carry along (e.g. a snapshot id).
     """
-    polls = docs.select(*HEADER_COLS, F.inline(F.col("polls")))
-    ranks = polls.select(*HEADER_COLS, "poll", F.inline(F.col("ranks")))
-    return ranks.select(*FLAT_COLS)
+    extra = list(keep)
+    polls = docs.select(*HEADER_COLS, *extra, F.inline(F.col("polls")))
+    ranks = polls.select(*HEADER_COLS, *extra, "poll", F.inline(F.col("ranks")))
+    return ranks.select(*FLAT_COLS, *extra)
 
 
 def nest_rankings(rows: DataFrame) -> DataFrame:

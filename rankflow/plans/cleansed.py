@@ -15,7 +15,7 @@ from rankflow.operators.merge import merge_teams
 from rankflow.operators.seasons import stamp_season
 from rankflow.schemas import CLEANSED_COLS, SEASON, TEAM
 from rankflow.sources.columnar import encode_columnar
-from rankflow.sources.snapshots import latest_per_group, list_files, newest
+from rankflow.sources.snapshots import list_files
 
 RANKINGS, TEAMS = "rankings", "teams"
 
@@ -42,10 +42,13 @@ def snapshot_listing(spark: SparkSession, root: str) -> DataFrame:
 def latest_snapshots(spark: SparkSession, root: str, dataset: str,
                      per_season: bool = True) -> DataFrame:
     """Newest snapshot folder per season (or the one newest overall) of a
-    dataset; on equal times the first folder in key order wins."""
-    snaps = snapshot_listing(spark, root).where(F.col("dataset") == dataset) \
-        .withColumnRenamed("folder", "key")
-    return latest_per_group(snaps, ["season"]) if per_season else newest(snaps)
+    dataset. Snapshot stamps are fixed-format UTC times, so the largest stamp
+    is the newest; unlike file times it survives copies and is never tied by
+    folders written in the same job. One partial + final aggregate."""
+    snaps = snapshot_listing(spark, root).where(F.col("dataset") == dataset)
+    best = F.max(F.struct("snapshot", F.col("folder").alias("key"))).alias("_b")
+    grouped = snaps.groupBy("season") if per_season else snaps.groupBy()
+    return grouped.agg(best).select("_b.key", "_b.snapshot")
 
 
 def read_latest(spark: SparkSession, root: str, dataset: str, schema,
@@ -97,12 +100,12 @@ def write_cleansed(df: DataFrame, out_root: str, stamp: str, fmt: str = "parquet
 def read_cleansed(spark: SparkSession, out_root: str) -> DataFrame:
     """Rows of the newest cleansed snapshot of every season.
 
-    The listing picks (season, snapshot) pairs; a broadcast semi-join on the
-    partition columns lets dynamic partition pruning skip every older
-    snapshot folder at scan time.
+    The listing picks the newest (season, snapshot) pair of each season; a
+    broadcast semi-join on the partition columns lets dynamic partition
+    pruning skip every older snapshot folder at scan time.
     """
-    snaps = snapshot_listing(spark, out_root).select("season", "snapshot", "last_modified")
-    snaps = snaps.withColumn("key", F.col("snapshot"))
-    latest = latest_per_group(snaps, ["season"]).select("season", "snapshot")
+    snaps = snapshot_listing(spark, out_root)
+    latest = snaps.groupBy("season").agg(F.max("snapshot").alias("snapshot"))
     data = spark.read.parquet(out_root)
+    # one row per season: a proven small side for the broadcast
     return data.join(F.broadcast(latest), on=["season", "snapshot"], how="left_semi")

@@ -155,6 +155,7 @@ _SELECTS = {
                    "array_to_string(logos, '|') AS logos FROM teams"),
     "merge_teams": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "build_cleansed": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
+    "build_cleansed_stream": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "union_seasons": f"SELECT {_CLEANSED_SELECT} FROM slice",
     "encode_columnar": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "decode_columnar": f"SELECT {_CLEANSED_SELECT} FROM cleansed",

@@ -372,3 +372,21 @@ QUERIES: dict[str, Query] = {
     "snapshot_key": q_snapshot_key,
     "delta_label": q_delta_label,
 }
+
+
+def q_build_cleansed_stream(spark, sf):
+    """Landed raw snapshots processed by the streaming build (available-now
+    trigger), then read back as the newest snapshot per season."""
+    from rankflow.streaming.ingest import start_cleansed_stream
+
+    raw, _ = _land_rankings(spark, sf)
+    out = shared_dir(spark, "cleansed_stream")
+    ckpt = shared_dir(spark, "stream_checkpoint")
+    query = start_cleansed_stream(spark, raw, fixtures.teams(spark, sf), out, ckpt)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return _logos_str(read_cleansed(spark, out).select(*CLEANSED_COLS))
+
+
+QUERIES["build_cleansed_stream"] = q_build_cleansed_stream
