@@ -34,3 +34,12 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
+    """Result-shape check: the loaded rows must carry the columns a later
+    step reads. Schema-only (no job); raises with the missing names."""
+    missing = [c for c in required if c not in df.columns]
+    if missing:
+        raise ValueError(f"loaded data lacks columns {missing}; has {df.columns}")
+    return df

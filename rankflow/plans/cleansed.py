@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rankflow.operators.flatten import flatten_rankings
 from rankflow.operators.merge import merge_teams
-from rankflow.operators.seasons import stamp_season
+from rankflow.operators.seasons import require_columns, stamp_season
 from rankflow.schemas import CLEANSED_COLS, SEASON, TEAM
 from rankflow.sources.columnar import encode_columnar
 from rankflow.sources.snapshots import list_files
@@ -109,3 +109,29 @@ def read_cleansed(spark: SparkSession, out_root: str) -> DataFrame:
     data = spark.read.parquet(out_root)
     # one row per season: a proven small side for the broadcast
     return data.join(F.broadcast(latest), on=["season", "snapshot"], how="left_semi")
+
+
+def poll_table(spark: SparkSession, out_root: str, poll: str, season_type: str,
+               seasons: list[int] | None = None) -> DataFrame:
+    """The multi-season poll table: newest snapshot of each (or each given)
+    season, one poll and season type, rows stamped with their season. The
+    season list prunes partitions at planning time."""
+    rows = read_cleansed(spark, out_root)
+    if seasons is not None:
+        rows = rows.where(F.col("season").isin([int(s) for s in seasons]))
+    rows = rows.where((F.col("poll") == poll) & (F.col("seasonType") == season_type))
+    return require_columns(rows, CLEANSED_COLS)
+
+
+def latest_poll_rows(spark: SparkSession, out_root: str, season: int | None = None) -> DataFrame:
+    """Rows of the newest snapshot of one season, or of the single newest
+    snapshot over all seasons (``season=None``; equal stamps: first folder)."""
+    snaps = snapshot_listing(spark, out_root)
+    if season is not None:
+        snaps = snaps.where(F.col("season") == season)
+    newest_stamp = snaps.agg(F.max("snapshot").alias("snapshot"))
+    pick = (snaps.join(newest_stamp, on="snapshot", how="inner")
+            .agg(F.min(F.struct("folder", "season", "snapshot")).alias("_p"))
+            .select("_p.season", "_p.snapshot"))
+    data = spark.read.parquet(out_root)
+    return data.join(F.broadcast(pick), on=["season", "snapshot"], how="left_semi")

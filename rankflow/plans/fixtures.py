@@ -24,10 +24,18 @@ LEFT_OUT_NATION = 24
 LISTING_BASE_SEASON = 2020
 LISTING_SEASONS = 5
 
+# Declared (pruned) schemas of the shared tables this mapping reads.
+ORDERS = ("o_custkey bigint, o_orderstatus string, o_totalprice double, "
+          "o_orderdate timestamp_ntz, o_orderpriority string")
+CUSTOMER = "c_custkey bigint, c_nationkey int"
+NATION = "n_nationkey int, n_name string, n_regionkey int"
+REGION = "r_regionkey int, r_name string"
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
+
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
+    n = table(spark, sf_dir, "nation", NATION)
+    r = table(spark, sf_dir, "region", REGION)
     return n.join(r, n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", F.col("n_name").alias("school"), F.col("r_name").alias("conference"))
 
@@ -37,9 +45,9 @@ def poll_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer key (shuffle join; AQE splits a hot customer), nations come in by
     broadcast (a fixed 25-row table), then one partial+final aggregate and a
     rank window per poll (bounded by the number of nations)."""
-    o = table(spark, sf_dir, "orders").select(
+    o = table(spark, sf_dir, "orders", ORDERS).select(
         "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    c = table(spark, sf_dir, "customer", CUSTOMER)
     geo = F.broadcast(_geo(spark, sf_dir))
     facts = (o.join(c, o.o_custkey == c.c_custkey)
              .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
@@ -89,7 +97,7 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot listing rows (key, last_modified, size) from events."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    e = table(spark, sf_dir, "events", EVENTS)
     season = (F.lit(LISTING_BASE_SEASON) + F.col("user_id") % LISTING_SEASONS).cast("string")
     suffix = F.when(F.col("event_type") == "error", ".csv").otherwise(".json")
     return e.select(

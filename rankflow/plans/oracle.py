@@ -157,6 +157,8 @@ _SELECTS = {
     "build_cleansed": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "build_cleansed_stream": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "union_seasons": f"SELECT {_CLEANSED_SELECT} FROM slice",
+    "latest_poll_rows": (f"SELECT {_CLEANSED_SELECT} FROM cleansed "
+                         "WHERE season = (SELECT min(season) FROM cleansed)"),
     "encode_columnar": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "decode_columnar": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "unwrap_envelope": f"SELECT {_CLEANSED_SELECT} FROM cleansed",

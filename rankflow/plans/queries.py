@@ -27,7 +27,8 @@ from rankflow.operators.trajectory import (
 from rankflow.operators.weeks import axis_bounds, season_changes, week_dimension
 from rankflow.plans import fixtures
 from rankflow.plans.cleansed import (
-    RANKINGS, TEAMS, build_cleansed, read_cleansed, read_latest, write_cleansed,
+    RANKINGS, TEAMS, build_cleansed, latest_poll_rows, poll_table, read_cleansed, read_latest,
+    write_cleansed,
 )
 from rankflow.plans.oracle import SLICE_POLL, SLICE_TYPE
 from rankflow.schemas import CLEANSED, CLEANSED_COLS, FLAT_COLS, SEASON, TEAM
@@ -127,10 +128,17 @@ def _cleansed_store(spark, sf) -> str:
 
 def q_union_seasons(spark, sf):
     out = _cleansed_store(spark, sf)
-    rows = filter_poll(read_cleansed(spark, out), SLICE_POLL, SLICE_TYPE)
+    rows = poll_table(spark, out, SLICE_POLL, SLICE_TYPE)
     return _logos_str(rows.select(*CLEANSED_COLS))
 
 
+def q_latest_poll_rows(spark, sf):
+    """Rows of the one newest snapshot over all seasons. Every season gets
+    the same newer stamp, so the first folder (smallest season) is served."""
+    out = _cleansed_store(spark, sf)
+    return _logos_str(latest_poll_rows(spark, out, None).select(*CLEANSED_COLS))
+
+
 def q_stamp_season(spark, sf):
     """Rows stamped with the season of the folder they were read from."""
     root, _ = _land_rankings(spark, sf)
@@ -200,7 +208,7 @@ def q_available_seasons(spark, sf):
 
 
 def q_snapshot_key(spark, sf):
-    e = spark.read.parquet(f"{sf}/events.parquet")
+    e = fixtures.table(spark, sf, "events", fixtures.EVENTS)
     season = F.lit(fixtures.LISTING_BASE_SEASON) + F.col("user_id") % fixtures.LISTING_SEASONS
     return e.select("event_id", snapshot_key(season, "rankings", F.col("ts")).alias("key"))
 
@@ -369,6 +377,7 @@ QUERIES: dict[str, Query] = {
     "top_schools": q_top_schools,
     "sample_rows": q_sample_rows,
     "union_seasons": q_union_seasons,
+    "latest_poll_rows": q_latest_poll_rows,
     "snapshot_key": q_snapshot_key,
     "delta_label": q_delta_label,
 }

@@ -87,5 +87,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
+    """A shared table. With ``schema`` (the needed columns only) no footer
+    is read to infer one, and the scan is pruned to those columns."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
