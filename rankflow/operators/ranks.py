@@ -31,25 +31,23 @@ def tie_positions(df: DataFrame, partition_by: Sequence[str] = ("season", "week"
     (tie size) and ``_pos`` (0-based place in the partition by rank, school).
 
     Only the tie group (partition + rank) is sorted row by row; the offset of a
-    rank group inside the partition comes from one row per tie group (taken
-    from the tie window's own shuffle) with a running sum over the ranks. So a week
+    rank group inside the partition comes from a per-tie-group count (partial
+    + final aggregate) with a running sum over the ranks of the partition. So a week
     with many rows spread over many ranks is split across tasks instead of
     being sorted by one. The tie key is a single struct column: struct
     equality treats null fields as equal, so null ranks/keys survive the join.
     """
     pb = list(partition_by)
     keyed = df.withColumn("_tk", F.struct(*[F.col(c) for c in pb], F.col(rank).alias("_r")))
-    tie = Window.partitionBy("_tk")
-    placed = (keyed
-              .withColumn("_tie_i", F.row_number().over(tie.orderBy(*school_order(school))) - 1)
-              .withColumn("_tie_n", F.count(F.lit(1)).over(tie)))
-    # one row per tie group, taken from the same shuffle as the tie window
-    sizes = placed.where(F.col("_tie_i") == 0).select("_tk", "_tie_n")
+    placed = keyed.withColumn(
+        "_tie_i", F.row_number().over(Window.partitionBy("_tk").orderBy(*school_order(school))) - 1)
+    # tie sizes: partial counts per task, so only (tie groups x tasks) rows shuffle
+    sizes = keyed.groupBy("_tk").agg(F.count(F.lit(1)).alias("_tie_n"))
     w_before = (Window.partitionBy(*[F.col("_tk")[c] for c in pb])
                 .orderBy(F.coalesce(F.col("_tk._r"), F.lit(0)), F.col("_tk._r").asc_nulls_first())
                 .rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select(
-        "_tk", F.coalesce(F.sum("_tie_n").over(w_before), F.lit(0)).alias("_grp_off"))
+        "_tk", "_tie_n", F.coalesce(F.sum("_tie_n").over(w_before), F.lit(0)).alias("_grp_off"))
     return (placed.join(offsets, on="_tk", how="inner")
             .withColumn("_pos", F.col("_grp_off") + F.col("_tie_i"))
             .drop("_tk", "_grp_off"))

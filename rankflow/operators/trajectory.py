@@ -49,16 +49,16 @@ def trajectories(slice_rows: DataFrame, k: int = TOP_K, checkpoint: bool = True)
     """Poll rows of one poll / season type (all seasons) -> chart rows with
     ``visualRank``, ``weekIndex``, default colour and the top-k flag.
 
-    The chart rows feed both the top-k list and the rows themselves (and
-    usually series and movers after that); with ``checkpoint`` they are
-    computed once into the shared checkpoint folder instead of once per
-    consumer.
+    The visual-ranked rows feed the week table, the chart rows and the top-k
+    list (and usually series and movers after that); with ``checkpoint`` they
+    are written once to the shared checkpoint folder right after the rank
+    windows, and every consumer scans that instead of re-running them.
     """
     ranked = visual_rank(slice_rows)
+    if checkpoint:
+        ranked = materialize(ranked, "ranked")
     weeks = week_dimension(ranked)
     rows = chart_rows(ranked, weeks)
-    if checkpoint:
-        rows = materialize(rows, "chart_rows")
     return top_flag(rows, top_schools(rows, k)).select(*CHART_COLS, "isTop")
 
 

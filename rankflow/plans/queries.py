@@ -22,7 +22,7 @@ from rankflow.operators.movers import first_ranks, movers, rank_delta
 from rankflow.operators.ranks import tie_groups, visual_rank, week_groups
 from rankflow.operators.seasons import filter_poll, sample_rows, stamp_season
 from rankflow.operators.trajectory import (
-    chart_rows, emphasis, plot_rank, team_series, top_flag, top_schools, trajectories,
+    chart_rows, emphasis, plot_rank, team_series, top_schools, trajectories,
 )
 from rankflow.operators.weeks import axis_bounds, season_changes, week_dimension
 from rankflow.plans import fixtures
@@ -31,10 +31,10 @@ from rankflow.plans.cleansed import (
     write_cleansed,
 )
 from rankflow.plans.oracle import SLICE_POLL, SLICE_TYPE
-from rankflow.schemas import CLEANSED, CLEANSED_COLS, FLAT_COLS, SEASON, TEAM
+from rankflow.schemas import CLEANSED, CLEANSED_COLS, SEASON, TEAM
 from rankflow.session import shared_dir
 from rankflow.sources.columnar import decode_columnar, decode_snapshot, encode_columnar, encode_rows
-from rankflow.sources.readers import land_raw, read_documents, read_rankings, read_teams, unwrap_envelope
+from rankflow.sources.readers import land_raw, read_documents, unwrap_envelope
 from rankflow.sources.snapshots import (
     available_seasons, latest_per_group, latest_poll, latest_poll_per_season, list_files,
     season_files, with_season,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rankflow.operators.flatten import flatten_rankings, nest_rankings
 from rankflow.operators.merge import duplicate_keys, merge_teams
 from rankflow.plans import fixtures
-from rankflow.schemas import CLEANSED_COLS, FLAT_COLS, SEASON, TEAM
+from rankflow.schemas import CLEANSED_COLS, FLAT_COLS, TEAM
 from rankflow.sources.readers import read_rankings
 
 
