@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from rankflow.operators.flatten import flatten_rankings
 from rankflow.operators.merge import merge_teams
 from rankflow.operators.seasons import require_columns, stamp_season
-from rankflow.schemas import CLEANSED_COLS, SEASON, TEAM
-from rankflow.sources.columnar import encode_columnar
+from rankflow.schemas import CLEANSED, CLEANSED_COLS, SEASON, TEAM
+from rankflow.sources.columnar import decode_columnar, encode_columnar
+from rankflow.session import broadcast_if_small
 from rankflow.sources.snapshots import list_files
 
 RANKINGS, TEAMS = "rankings", "teams"
+SEASON_BROADCAST_MAX_ROWS = 100_000
 
 
 def snapshot_listing(spark: SparkSession, root: str) -> DataFrame:
@@ -97,18 +99,32 @@ def write_cleansed(df: DataFrame, out_root: str, stamp: str, fmt: str = "parquet
     return out_root
 
 
-def read_cleansed(spark: SparkSession, out_root: str) -> DataFrame:
+def read_cleansed(spark: SparkSession, out_root: str, fmt: str = "parquet") -> DataFrame:
     """Rows of the newest cleansed snapshot of every season.
 
     The listing picks the newest (season, snapshot) pair of each season; a
     broadcast semi-join on the partition columns lets dynamic partition
-    pruning skip every older snapshot folder at scan time.
+    pruning skip every older snapshot folder at scan time. ``fmt`` is the
+    format the store was written in (``write_cleansed``); columnar-JSON
+    documents are decoded after the pruned scan (narrow, no shuffle).
     """
     snaps = snapshot_listing(spark, out_root)
     latest = snaps.groupBy("season").agg(F.max("snapshot").alias("snapshot"))
-    data = spark.read.parquet(out_root)
-    # one row per season: a proven small side for the broadcast
-    return data.join(F.broadcast(latest), on=["season", "snapshot"], how="left_semi")
+    if fmt == "parquet":
+        data = spark.read.parquet(out_root)
+    elif fmt == "columnar-json":
+        data = spark.read.text(out_root).withColumnRenamed("value", "doc")
+    else:
+        raise ValueError(f"unknown format {fmt!r}")
+    # one row per season; the broadcast (which is what lets DPP prune the
+    # scan) only behind a row-count check on that listing-derived table
+    picked = data.join(broadcast_if_small(latest, SEASON_BROADCAST_MAX_ROWS),
+                       on=["season", "snapshot"], how="left_semi")
+    if fmt == "columnar-json":
+        decoded = decode_columnar(picked.withColumnRenamed("season", "_dir_season"), CLEANSED,
+                                  keep=["_dir_season", "snapshot"])
+        return decoded.withColumn("season", F.col("_dir_season")).drop("_dir_season")
+    return picked
 
 
 def poll_table(spark: SparkSession, out_root: str, poll: str, season_type: str,
@@ -134,4 +150,4 @@ def latest_poll_rows(spark: SparkSession, out_root: str, season: int | None = No
             .agg(F.min(F.struct("folder", "season", "snapshot")).alias("_p"))
             .select("_p.season", "_p.snapshot"))
     data = spark.read.parquet(out_root)
-    return data.join(F.broadcast(pick), on=["season", "snapshot"], how="left_semi")
+    return data.join(F.broadcast(pick), on=["season", "snapshot"], how="left_semi")  # one row
