@@ -35,7 +35,8 @@ def default_logos(logos="logos") -> Column:
 
 
 def season_week_label(season="season", week="week", sep: str = "/") -> Column:
-    return F.concat_ws(sep, _c(season).cast("string"), _c(week).cast("string"))
+    """``"{season}/{week}"`` as a JS template prints it (null -> 'null')."""
+    return F.concat(js_str(season), F.lit(sep), js_str(week))
 
 
 def snapshot_stamp(ts) -> Column:

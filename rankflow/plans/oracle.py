@@ -70,7 +70,7 @@ vr AS (
     ELSE CAST(row_number() OVER (PARTITION BY season, week
               ORDER BY coalesce(rank, 0), rank NULLS FIRST, school) AS DOUBLE) END AS DOUBLE)
       AS visualRank,
-    CAST(season AS VARCHAR) || '/' || CAST(week AS VARCHAR) AS seasonWeek
+    coalesce(CAST(season AS VARCHAR), 'null') || '/' || coalesce(CAST(week AS VARCHAR), 'null') AS seasonWeek
   FROM slice
 ),
 weeks0 AS (
@@ -81,7 +81,7 @@ weeks0 AS (
   FROM vr GROUP BY season, week
 ),
 weeks AS (
-  SELECT season, week, CAST(season AS VARCHAR) || '/' || CAST(week AS VARCHAR) AS seasonWeek,
+  SELECT season, week, coalesce(CAST(season AS VARCHAR), 'null') || '/' || coalesce(CAST(week AS VARCHAR), 'null') AS seasonWeek,
          weekIndex,
          weekIndex = max(weekIndex) OVER () AS isCurrent,
          (prev_season IS NOT NULL AND season <> prev_season) AS seasonChange,
@@ -167,7 +167,7 @@ _SELECTS = {
     "stamp_season": (f"SELECT {_FLAT_SELECT} FROM poll_rows "
                      f"WHERE poll = '{SLICE_POLL}' AND seasonType = '{SLICE_TYPE}'"),
     "season_week_label": ("SELECT season, week, school, "
-                          "CAST(season AS VARCHAR) || '/' || CAST(week AS VARCHAR) AS seasonWeek "
+                          "coalesce(CAST(season AS VARCHAR), 'null') || '/' || coalesce(CAST(week AS VARCHAR), 'null') AS seasonWeek "
                           "FROM slice"),
     "default_color": "SELECT id, school, coalesce(nullif(color, ''), '#ccc') AS color FROM teams",
     "default_logos": ("SELECT id, school, "
@@ -178,7 +178,7 @@ _SELECTS = {
     "tie_groups": ("SELECT season, week, rank, CAST(count(*) AS INTEGER) AS tieSize, "
                    "count(*) > 1 AS isTie FROM slice GROUP BY season, week, rank"),
     "week_groups": ("SELECT CAST(week AS VARCHAR) AS week, season, "
-                    "CAST(season AS VARCHAR) || '/' || CAST(week AS VARCHAR) AS seasonWeek, "
+                    "coalesce(CAST(season AS VARCHAR), 'null') || '/' || coalesce(CAST(week AS VARCHAR), 'null') AS seasonWeek, "
                     "CAST(count(*) AS INTEGER) AS n_ranks, "
                     "string_agg(school, ',' ORDER BY coalesce(rank, 0), rank NULLS FIRST, school) "
                     "AS schools FROM slice GROUP BY season, week"),
