@@ -54,3 +54,28 @@ def test_land_raw_never_overwrites(spark, tmp_path):
     land_raw(payload, str(tmp_path), "teams", None, "2024-01-01T00-00-00Z")
     with pytest.raises(Exception):
         land_raw(payload, str(tmp_path), "teams", None, "2024-01-01T00-00-00Z")
+
+
+def _land_json(root, dataset, season, snapshot, docs):
+    part = f"season={season}/" if season is not None else ""
+    d = root / dataset / f"{part}snapshot={snapshot}"
+    d.mkdir(parents=True)
+    (d / "part-0.json").write_text("\n".join(__import__("json").dumps(x) for x in docs) + "\n")
+
+
+def test_build_cleansed_teams_per_season_and_newest_only(spark, tmp_path):
+    from rankflow.plans.cleansed import build_cleansed
+
+    doc = lambda season, pts: {"season": season, "seasonType": "regular", "week": 1,
+                               "polls": [{"poll": "P", "ranks": [{"school": "A", "rank": 1,
+                                                                  "points": pts}]}]}
+    _land_json(tmp_path, "rankings", 2023, "2023-01-01T00-00-00Z", [doc(2023, 1)])
+    _land_json(tmp_path, "rankings", 2023, "2023-02-01T00-00-00Z", [doc(2023, 2)])
+    # the document says 2099: the folder's season is stamped on the rows
+    _land_json(tmp_path, "rankings", 2024, "2024-01-01T00-00-00Z", [doc(2099, 3)])
+    _land_json(tmp_path, "teams", 2023, "2023-01-01T00-00-00Z", [{"id": 1, "school": "A", "color": "#023"}])
+    _land_json(tmp_path, "teams", 2024, "2024-01-01T00-00-00Z", [{"id": 1, "school": "A", "color": "#024"}])
+    rows = build_cleansed(spark, str(tmp_path), teams_per_season=True).collect()
+    assert sorted((r.season, r.points, r.color) for r in rows) == [(2023, 2, "#023"), (2024, 3, "#024")]
+    newest_teams = build_cleansed(spark, str(tmp_path)).collect()
+    assert sorted((r.season, r.color) for r in newest_teams) == [(2023, "#024"), (2024, "#024")]
