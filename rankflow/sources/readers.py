@@ -41,6 +41,14 @@ def land_raw(payload: DataFrame, dest_root: str, dataset: str, season: int | str
     return target
 
 
+def land_raw_files(spark: SparkSession, src: str, dest_root: str, dataset: str,
+                   season: int | str | None, stamp: str) -> str:
+    """Land fetched payload files as they are: each file is read whole
+    (``wholetext``, one row per file, no re-encoding) and written under the
+    snapshot folder. The text writer ends each payload with a newline."""
+    return land_raw(spark.read.option("wholetext", True).text(src), dest_root, dataset, season, stamp)
+
+
 def stamp_now(spark: SparkSession) -> str:
     """Current UTC time in the snapshot stamp format (one tiny query)."""
     ts = F.convert_timezone(F.lit(spark.conf.get("spark.sql.session.timeZone")), F.lit("UTC"),

@@ -79,3 +79,16 @@ def test_build_cleansed_teams_per_season_and_newest_only(spark, tmp_path):
     assert sorted((r.season, r.points, r.color) for r in rows) == [(2023, 2, "#023"), (2024, 3, "#024")]
     newest_teams = build_cleansed(spark, str(tmp_path)).collect()
     assert sorted((r.season, r.color) for r in newest_teams) == [(2023, "#024"), (2024, "#024")]
+
+
+def test_land_raw_files_keeps_payload(spark, tmp_path):
+    from rankflow.sources.readers import land_raw_files, read_rankings
+
+    src = tmp_path / "fetched.json"
+    payload = '[{"season": 2024, "seasonType": "regular", "week": 1, "polls": []},\n {"season": 2024}]'
+    src.write_text(payload)
+    target = land_raw_files(spark, str(src), str(tmp_path / "raw"), "rankings", 2024,
+                            "2024-09-02T12-00-03Z")
+    landed = "".join(p.read_text() for p in __import__("pathlib").Path(target).glob("part-*"))
+    assert landed == payload + "\n"
+    assert read_rankings(spark, target, multi_line=True).count() == 2
