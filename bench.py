@@ -3,7 +3,8 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [query ...]
 
 Each query runs to completion through the ``noop`` sink (full execution, no
-collect). Every query is run once cold (first run in the JVM: class loading
+collect). With ``BENCH_EVENT_LOG_DIR`` set, Spark's event log is written there
+for stage and task times. Every query is run once cold (first run in the JVM: class loading
 and code generation included) and once warm; ``value`` is the sum of the warm
 runs. Prints one JSON line.
 """
@@ -33,7 +34,9 @@ def main() -> None:
     from rankflow.plans.queries import QUERIES
     from rankflow.session import get_session
 
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir} if event_dir else {}
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, extra_conf=extra)
     names = sys.argv[1:] or HEADLINE
     cold = {name: _run(QUERIES[name], spark, sf_dir) for name in names}
     warm = {name: _run(QUERIES[name], spark, sf_dir) for name in names}

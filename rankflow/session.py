@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "rankflow") -> SparkSession:
+                app_name: str = "rankflow",
+                extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the operators assume.
 
     AQE stays on so joins against derived dimensions can turn into broadcasts
@@ -31,6 +32,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -70,7 +73,8 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     would run the plan twice.)"""
     path = shared_dir(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: no footer job to infer it again
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
