@@ -53,29 +53,54 @@ def latest_snapshots(spark: SparkSession, root: str, dataset: str,
     return grouped.agg(best).select("_b.key", "_b.snapshot")
 
 
-def read_latest(spark: SparkSession, root: str, dataset: str, schema,
-                per_season: bool = True) -> DataFrame:
-    """Scan only the chosen snapshot folders. They are a handful of rows (one
-    per season), collected as the scan's path list. ``_path_season`` is the
+def latest_folders(spark: SparkSession, root: str,
+                   datasets: dict[str, bool]) -> dict[str, list[str]]:
+    """Newest snapshot folders of several datasets from one listing: per
+    season for datasets mapped to True, the single newest for False. One
+    aggregate; the result (a folder per season and dataset) is collected as
+    the scan's path list."""
+    snaps = snapshot_listing(spark, root).where(F.col("dataset").isin(list(datasets)))
+    per_season = [d for d, flag in datasets.items() if flag]
+    group_season = F.when(F.col("dataset").isin(per_season), F.col("season")) if per_season \
+        else F.lit(None).cast("int")
+    best = snaps.groupBy("dataset", group_season.alias("_s")).agg(
+        F.max(F.struct("snapshot", "folder")).alias("_b"))
+    out: dict[str, list[str]] = {d: [] for d in datasets}
+    for r in best.select("dataset", "_b.folder").collect():
+        out[r["dataset"]].append(r["folder"])
+    return out
+
+
+def read_folders(spark: SparkSession, root: str, folders: list[str], schema,
+                 what: str = "snapshot") -> DataFrame:
+    """JSON scan of the chosen snapshot folders. ``_path_season`` is the
     season of the folder a row was read from."""
-    chosen = [r["key"] for r in
-              latest_snapshots(spark, root, dataset, per_season).select("key").collect()]
-    if not chosen:
-        raise FileNotFoundError(f"No {dataset} snapshot under {root}")
+    if not folders:
+        raise FileNotFoundError(f"No {what} under {root}")
     base = root.rstrip("/")
-    df = spark.read.schema(schema).json([f"{base}/{k}" for k in chosen])
+    df = spark.read.schema(schema).json([f"{base}/{k}" for k in sorted(folders)])
     found = F.regexp_extract(F.col("_metadata.file_path"), r"/season=(-?[0-9]+)/", 1)
     return df.withColumn("_path_season", F.when(found != "", found.cast("int")))
 
 
+def read_latest(spark: SparkSession, root: str, dataset: str, schema,
+                per_season: bool = True) -> DataFrame:
+    """Scan only the newest snapshot folder per season (or overall) of one
+    dataset."""
+    folders = latest_folders(spark, root, {dataset: per_season})[dataset]
+    return read_folders(spark, root, folders, schema, f"{dataset} snapshot")
+
+
 def build_cleansed(spark: SparkSession, raw_root: str, teams_per_season: bool = False) -> DataFrame:
     """Newest rankings snapshot of every season, flattened, stamped with the
     season of its folder and left-joined to the newest teams snapshot (the
-    same season's when ``teams_per_season``)."""
-    docs = read_latest(spark, raw_root, RANKINGS, SEASON)
+    same season's when ``teams_per_season``). Both datasets are picked from
+    one listing."""
+    chosen = latest_folders(spark, raw_root, {RANKINGS: True, TEAMS: teams_per_season})
+    docs = read_folders(spark, raw_root, chosen[RANKINGS], SEASON, "rankings snapshot")
     docs = stamp_season(docs, F.coalesce(F.col("_path_season"), F.col("season")))
     rows = flatten_rankings(docs)
-    teams = read_latest(spark, raw_root, TEAMS, TEAM, per_season=teams_per_season)
+    teams = read_folders(spark, raw_root, chosen[TEAMS], TEAM, "teams snapshot")
     if teams_per_season:
         teams = teams.withColumn("season", F.col("_path_season")).drop("_path_season")
         merged = merge_teams(rows, teams.select("season", *TEAM.fieldNames()),
