@@ -89,7 +89,8 @@ def _typed(values: Column, dt: T.DataType) -> Column:
         return values
     if isinstance(dt, (T.ArrayType, T.StructType, T.MapType)):
         return F.transform(values, lambda v: F.from_json(v, dt))
-    return F.transform(values, lambda v: v.cast(dt))
+    # try_cast: a malformed value becomes null instead of failing the job (ANSI)
+    return F.transform(values, lambda v: v.try_cast(dt))
 
 
 def decode_columnar(docs: DataFrame, schema: T.StructType, doc: str = "doc",

@@ -128,3 +128,8 @@ def test_copies_are_split_across_bounded_blocks(spark):
     sizes = [r.n_rows for r in enc.collect()]
     assert sum(sizes) == 1000 and max(sizes) <= 300 and len(sizes) >= 4
     assert decode_columnar(enc, ROW).count() == 1000
+
+
+def test_malformed_value_becomes_null(spark):
+    doc = json.dumps({"columns": [{"name": "a", "values": [1, "x", [2]]}]})
+    assert [r.a for r in decode_columnar(_docs(spark, [doc]), ROW).collect()] == [1, None, None]
