@@ -1,0 +1,17 @@
+"""Plan guards over every registered query: no cross joins, no Python UDFs."""
+
+import pytest
+
+import __spark_entry__ as E
+
+SF = "/root/testdata/sf0.001"
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+             "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_cross_join_or_python(spark, name):
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    bad = [op for op in FORBIDDEN if op in plan]
+    assert not bad, f"{name}: {bad}"
