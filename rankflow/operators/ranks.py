@@ -87,9 +87,12 @@ def week_groups(ranked: DataFrame, season: str = "season", week: str = "week") -
     """Group visual-ranked rows (``keep_position=True``) into one row per
     (season, week) with the ordered ``ranks`` list. A week is one poll, so the
     list is bounded by the poll size."""
+    color = F.col("color") if "color" in ranked.columns else F.lit(None).cast("string")
+    logos = F.col("logos") if "logos" in ranked.columns else F.lit(None).cast("array<string>")
     entry = F.struct(F.col("_pos"), F.col("rank"), F.col("visualRank"), F.col("school"),
-                     F.col("color"), F.coalesce(F.col("logos"), F.array().cast("array<string>"))
-                     .alias("logos"), F.col(season).alias("season"))
+                     color.alias("color"),
+                     F.coalesce(logos, F.array().cast("array<string>")).alias("logos"),
+                     F.col(season).alias("season"))
     grouped = ranked.groupBy(season, week).agg(
         F.array_sort(F.collect_list(entry)).alias("_ranks"), F.first("seasonWeek").alias("seasonWeek"))
     return grouped.select(

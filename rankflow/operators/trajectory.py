@@ -21,11 +21,14 @@ CHART_COLS = ["season", "week", "seasonWeek", "weekIndex", "rank", "visualRank",
 
 
 def chart_rows(ranked: DataFrame, weeks: DataFrame) -> DataFrame:
-    """Visual-ranked rows + their week ordinal, default colour and logos."""
+    """Visual-ranked rows + their week ordinal, default colour and logos
+    (``color`` and ``logos`` are optional input columns)."""
     rows = attach_weeks(ranked, weeks)
+    color = F.col("color") if "color" in rows.columns else F.lit(None).cast("string")
+    logos = F.col("logos") if "logos" in rows.columns else F.lit(None).cast("array<string>")
     return rows.select(
         "season", "week", "seasonWeek", "weekIndex", "rank", "visualRank", "school",
-        default_color("color").alias("color"), default_logos("logos").alias("logos"),
+        default_color(color).alias("color"), default_logos(logos).alias("logos"),
         "isCurrent", "yMax")
 
 

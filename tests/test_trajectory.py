@@ -76,3 +76,11 @@ def test_empty_input_axis_bounds(spark):
 def test_axis_bounds_on_data(spark):
     b = axis_bounds(week_dimension(visual_rank(_two_seasons(spark)))).first()
     assert b.maxWeekIndex == 3 and b.yMax == pytest.approx(3.0)
+
+
+def test_minimal_rows_without_team_columns(spark):
+    rows = spark.createDataFrame([(2024, 1, "A", 1), (2024, 2, "A", 2)],
+                                 "season int, week int, school string, rank int")
+    traj = trajectories(rows, checkpoint=False).collect()
+    assert {(r.seasonWeek, r.color, tuple(r.logos), r.isTop) for r in traj} == {
+        ("2024/1", "#ccc", (), True), ("2024/2", "#ccc", (), True)}
