@@ -109,15 +109,18 @@ def build_cleansed(spark: SparkSession, raw_root: str, teams_per_season: bool =
     return merge_teams(rows, teams.drop("_path_season"), on="school")
 
 
-def write_cleansed(df: DataFrame, out_root: str, stamp: str, fmt: str = "parquet") -> str:
-    """Append one immutable snapshot per season. ``fmt="columnar-json"``
-    writes the compatibility encoding (bounded documents, one per line)."""
-    out = df.withColumn("snapshot", F.lit(stamp))
+def write_cleansed(df: DataFrame, out_root: str, stamp: str | None, fmt: str = "parquet") -> str:
+    """Append one immutable snapshot per season. ``stamp=None`` takes the
+    snapshot from a ``snapshot`` column (several snapshots in one job).
+    ``fmt="columnar-json"`` writes the compatibility encoding (bounded
+    documents, one per line)."""
+    out = df if stamp is None else df.withColumn("snapshot", F.lit(stamp))
     if fmt == "parquet":
         out.write.mode("append").partitionBy("season", "snapshot").parquet(out_root)
     elif fmt == "columnar-json":
-        enc = encode_columnar(df, ["season"])
-        enc.select("season", F.lit(stamp).alias("snapshot"), "doc").write.mode("append") \
+        # documents carry their snapshot id as a column too
+        enc = encode_columnar(out, ["season", "snapshot"])
+        enc.select("season", "snapshot", "doc").write.mode("append") \
             .partitionBy("season", "snapshot").text(out_root)
     else:
         raise ValueError(f"unknown format {fmt!r}")

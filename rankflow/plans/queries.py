@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankflow.functions.scalar import (
-    default_color, default_logos, delta_label, point_label, season_week_label, snapshot_key,
-    tooltip,
+    default_color, default_logos, delta_label, iso_utc, point_label, season_week_label,
+    snapshot_key, tooltip,
 )
 from rankflow.operators.flatten import flatten_rankings, nest_rankings
 from rankflow.operators.merge import merge_teams
@@ -39,7 +39,6 @@ from rankflow.sources.snapshots import (
     available_seasons, latest_per_group, latest_poll, latest_poll_per_season, list_files,
     season_files, with_season,
 )
-from rankflow.functions.scalar import iso_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 # Fixed stamps of the fixture landings: an older and a newer snapshot.
@@ -71,11 +70,13 @@ def _land_rankings(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     root = shared_dir(spark, "raw")
     docs = nest_rankings(fixtures.poll_rows(spark, sf))
     stale = nest_rankings(flatten_rankings(docs).withColumn("points", F.col("points") - 1))
+    # both snapshots in one write job: the shared upstream exchange is reused
+    both = None
     for stamp, frame in ((OLD_STAMP, stale), (NEW_STAMP, docs)):
-        (frame.select("season", F.lit(stamp).alias("snapshot"),
-                      F.to_json(F.struct(*[f.name for f in SEASON.fields])).alias("value"))
-         .write.mode("append").partitionBy("season", "snapshot")
-         .text(f"{root}/{RANKINGS}"))
+        part = frame.select("season", F.lit(stamp).alias("snapshot"),
+                            F.to_json(F.struct(*[f.name for f in SEASON.fields])).alias("value"))
+        both = part if both is None else both.unionByName(part)
+    both.write.mode("errorifexists").partitionBy("season", "snapshot").text(f"{root}/{RANKINGS}")
     teams_json = fixtures.teams(spark, sf).select(F.to_json(F.struct("*")).alias("v"))
     land_raw(teams_json, root, TEAMS, None, OLD_STAMP)
     land_raw(teams_json, root, TEAMS, None, NEW_STAMP)
@@ -121,8 +122,11 @@ def _cleansed_store(spark, sf) -> str:
     """Cleansed store with an older (stale) and a newer snapshot per season."""
     out = shared_dir(spark, "cleansed")
     rows = _cleansed(spark, sf)
-    write_cleansed(rows.withColumn("points", F.col("points") - 1), out, OLD_STAMP)
-    write_cleansed(rows, out, NEW_STAMP)
+    stale = rows.withColumn("points", F.col("points") - 1)
+    # both snapshots in one write job (the shared upstream exchange is reused)
+    both = (stale.withColumn("snapshot", F.lit(OLD_STAMP))
+            .unionByName(rows.withColumn("snapshot", F.lit(NEW_STAMP))))
+    write_cleansed(both, out, None)
     return out
 
 
