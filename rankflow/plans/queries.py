@@ -158,14 +158,16 @@ def q_encode_columnar(spark, sf):
 
 
 def q_decode_columnar(spark, sf):
-    """Even seasons stored columnar, odd seasons row-oriented; written as
-    text, read back and decoded by shape."""
+    """Regular-season rows stored columnar, postseason rows row-oriented
+    (every row is in one of the two); written as text, read back and decoded
+    by shape."""
     rows = _cleansed(spark, sf)
-    even = rows.where(F.col("season") % 2 == 0)
-    odd = rows.where(F.col("season") % 2 == 1)
+    regular = rows.where(F.col("seasonType") == "regular")
+    other = rows.where(~F.col("seasonType").eqNullSafe(F.lit("regular")))
     path = shared_dir(spark, "snapshots")
-    docs = (encode_columnar(even, ["season"], block_rows=FIXTURE_BLOCK_ROWS).select("season", "doc")
-            .unionByName(encode_rows(odd, ["season"], block_rows=FIXTURE_BLOCK_ROWS)
+    docs = (encode_columnar(regular, ["season"], block_rows=FIXTURE_BLOCK_ROWS)
+            .select("season", "doc")
+            .unionByName(encode_rows(other, ["season"], block_rows=FIXTURE_BLOCK_ROWS)
                          .select("season", "doc")))
     docs.write.mode("errorifexists").partitionBy("season").text(path)
     back = read_documents(spark, path)
@@ -174,9 +176,10 @@ def q_decode_columnar(spark, sf):
 
 def q_unwrap_envelope(spark, sf):
     rows = _cleansed(spark, sf)
-    env = encode_rows(rows.where(F.col("season") % 2 == 0), ["season"],
+    # regular-season documents in an envelope, the rest as bare arrays
+    env = encode_rows(rows.where(F.col("seasonType") == "regular"), ["season"],
                       block_rows=FIXTURE_BLOCK_ROWS, envelope=True)
-    bare = encode_rows(rows.where(F.col("season") % 2 == 1), ["season"],
+    bare = encode_rows(rows.where(~F.col("seasonType").eqNullSafe(F.lit("regular"))), ["season"],
                        block_rows=FIXTURE_BLOCK_ROWS)
     docs = env.select("doc").unionByName(bare.select("doc"))
     return _logos_str(unwrap_envelope(docs, CLEANSED).select(*CLEANSED_COLS))
