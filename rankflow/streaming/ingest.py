@@ -45,11 +45,13 @@ def cleansed_stream(docs: DataFrame, teams: DataFrame) -> DataFrame:
 
 def start_cleansed_stream(spark: SparkSession, raw_root: str, teams: DataFrame, out_root: str,
                           checkpoint_location: str, available_now: bool = True,
-                          processing_time: str | None = None) -> StreamingQuery:
+                          processing_time: str | None = None,
+                          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental build. ``available_now`` processes everything
-    landed so far in bounded batches and stops (a scheduled run); otherwise
-    it keeps running with ``processing_time`` triggers."""
-    out = cleansed_stream(raw_rankings_stream(spark, raw_root), teams)
+    landed so far in bounded batches (``max_files_per_trigger`` files each)
+    and stops (a scheduled run); otherwise it keeps running with
+    ``processing_time`` triggers."""
+    out = cleansed_stream(raw_rankings_stream(spark, raw_root, max_files_per_trigger), teams)
     writer = (out.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint_location)
               .partitionBy("season", "snapshot"))

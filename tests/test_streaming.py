@@ -37,3 +37,17 @@ def test_stream_processes_new_snapshots_once(spark, tmp_path):
     # the first snapshot was written once and not again
     all_rows = spark.read.parquet(str(out)).where("season = 2024").count()
     assert all_rows == 4
+
+
+def test_stream_in_several_batches(spark, tmp_path):
+    raw, out, ckpt = tmp_path / "raw", tmp_path / "out", tmp_path / "ckpt"
+    teams = spark.createDataFrame([], TEAM)
+    for i, season in enumerate([2021, 2022, 2023]):
+        _land(raw, season, f"{season}-09-0{i + 1}T00-00-00Z", season)
+    q = start_cleansed_stream(spark, str(raw), teams, str(out), str(ckpt), max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    rows = spark.read.parquet(str(out)).collect()
+    assert sorted((r.season, r.school, r.points) for r in rows) == [
+        (2021, "A", 2021), (2021, "B", None), (2022, "A", 2022), (2022, "B", None),
+        (2023, "A", 2023), (2023, "B", None)]
