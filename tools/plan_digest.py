@@ -32,7 +32,17 @@ def main() -> None:
 
     spark = get_session("local[8]", shuffle_partitions=8)
     out = ["# Final physical plans (after AQE) of headline queries",
-           "", f"Generated by `tools/plan_digest.py` on `{sf}`; operator lines only.", ""]
+           "", f"Generated by `tools/plan_digest.py` on `{sf}`; operator lines only.", "",
+           "Reading notes:",
+           "- `trajectories`/`movers` start from the visual-ranked rows that",
+           "  `trajectories()` wrote once (the rank windows are in `visual_rank` below).",
+           "  The week table is aggregated from those files twice, pruned differently for",
+           "  the chart rows and the top-k branch: two narrow scans, instead of a second",
+           "  shuffle of the facts through the tie window.",
+           "- Broadcasts shown as `BroadcastQueryStage` over derived tables were chosen",
+           "  by AQE from runtime sizes; the team and top-k broadcasts are size-checked.",
+           "- `union_seasons` shows the dynamic partition pruning subquery on the",
+           "  cleansed store scan.", ""]
     for name in HEADLINE:
         df = QUERIES[name](spark, sf)
         df.collect()
