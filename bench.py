@@ -22,9 +22,13 @@ HEADLINE = ["trajectories", "build_cleansed", "movers", "merge_teams", "visual_r
             "team_series", "decode_columnar", "latest_poll_season"]
 
 
-def _run(q, spark, sf_dir) -> float:
+def _run(q, spark, sf_dir, errors: dict, name: str) -> float | None:
     t0 = time.perf_counter()
-    q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    try:
+        q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    except Exception as e:  # noqa: BLE001 - report and keep timing the others
+        errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+        return None
     return round(time.perf_counter() - t0, 3)
 
 
@@ -38,12 +42,17 @@ def main() -> None:
     extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir} if event_dir else {}
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, extra_conf=extra)
     names = sys.argv[1:] or HEADLINE
-    cold = {name: _run(QUERIES[name], spark, sf_dir) for name in names}
-    warm = {name: _run(QUERIES[name], spark, sf_dir) for name in names}
+    errors: dict[str, str] = {}
+    cold = {name: _run(QUERIES[name], spark, sf_dir, errors, name) for name in names}
+    warm = {name: _run(QUERIES[name], spark, sf_dir, errors, name) for name in names}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total_wall_warm", "value": round(sum(warm.values()), 3),
-                      "unit": "sec", "queries": warm, "cold": cold,
-                      "cold_total": round(sum(cold.values()), 3), "sf": sf}))
+    result = {"metric": "headline_total_wall_warm",
+              "value": round(sum(v for v in warm.values() if v is not None), 3),
+              "unit": "sec", "queries": warm, "cold": cold,
+              "cold_total": round(sum(v for v in cold.values() if v is not None), 3), "sf": sf}
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
