@@ -6,12 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's output byte for byte.
+# Text templates are printf style (format_string prints a null argument as
+# "null", as a JS template literal does).
 DEFAULT_COLOR = "#ccc"
 MUTED_COLOR = "#444"
 SNAPSHOT_STAMP_FORMAT = "yyyy-MM-dd'T'HH-mm-ss'Z'"  # e.g. 2024-09-02T12-00-03Z
+SEASON_WEEK_FORMAT = "%s/%s"  # season, week
+TOOLTIP_FORMAT = "%s: Rank %s (%s)"  # school, rank, seasonWeek
 SYMBOL_FELL = "🔽"
 SYMBOL_ROSE = "🔼"
 SYMBOL_HELD = "➖"
+DELTA_LABEL_FORMAT = "%s %s"  # |delta|, symbol
+VERB_ROSE = "rose"
+VERB_FELL = "fell"
+MOVED_FORMAT = "%s %s %s place%s since entering the %s poll"  # school, verb, |delta|, plural, poll
+HELD_FORMAT = "%s held steady since entering the %s poll"  # school, poll
 DEFAULT_POLL_LABEL = "AP Top 25"
 
 
@@ -34,9 +43,9 @@ def default_logos(logos="logos") -> Column:
     return F.coalesce(_c(logos), F.array().cast("array<string>"))
 
 
-def season_week_label(season="season", week="week", sep: str = "/") -> Column:
+def season_week_label(season="season", week="week") -> Column:
     """``"{season}/{week}"`` as a JS template prints it (null -> 'null')."""
-    return F.concat(js_str(season), F.lit(sep), js_str(week))
+    return F.format_string(SEASON_WEEK_FORMAT, _c(season), _c(week))
 
 
 def snapshot_stamp(ts) -> Column:
@@ -62,19 +71,13 @@ def iso_utc(ts) -> Column:
                  F.lit("+00:00")))
 
 
-def js_str(c) -> Column:
-    """String form of a value inside a JS template literal (null -> 'null')."""
-    return F.coalesce(_c(c).cast("string"), F.lit("null"))
-
-
 def point_label(rank="rank") -> Column:
     """``rank ?? ''``."""
     return F.coalesce(_c(rank).cast("string"), F.lit(""))
 
 
 def tooltip(school="school", rank="rank", season_week="seasonWeek") -> Column:
-    return F.concat(js_str(school), F.lit(": Rank "), js_str(rank), F.lit(" ("),
-                    js_str(season_week), F.lit(")"))
+    return F.format_string(TOOLTIP_FORMAT, _c(school), _c(rank), _c(season_week))
 
 
 def delta_symbol(delta="delta") -> Column:
@@ -84,14 +87,13 @@ def delta_symbol(delta="delta") -> Column:
 
 def delta_label(delta="delta") -> Column:
     """``"{abs} {symbol}"``."""
-    return F.concat(F.abs(_c(delta)).cast("string"), F.lit(" "), delta_symbol(delta))
+    return F.format_string(DELTA_LABEL_FORMAT, F.abs(_c(delta)), delta_symbol(delta))
 
 
 def delta_title(school="school", delta="delta", poll_label: str = DEFAULT_POLL_LABEL) -> Column:
     d = _c(delta)
-    tail = F.lit(f" since entering the {poll_label} poll")
-    moved = F.concat(
-        js_str(school), F.when(d < 0, F.lit(" rose ")).otherwise(F.lit(" fell ")),
-        F.abs(d).cast("string"), F.lit(" place"),
-        F.when(F.abs(d) == 1, F.lit("")).otherwise(F.lit("s")), tail)
-    return F.when(d == 0, F.concat(js_str(school), F.lit(" held steady"), tail)).otherwise(moved)
+    moved = F.format_string(
+        MOVED_FORMAT, _c(school), F.when(d < 0, F.lit(VERB_ROSE)).otherwise(F.lit(VERB_FELL)),
+        F.abs(d), F.when(F.abs(d) == 1, F.lit("")).otherwise(F.lit("s")), F.lit(poll_label))
+    held = F.format_string(HELD_FORMAT, _c(school), F.lit(poll_label))
+    return F.when(d == 0, held).otherwise(moved)
