@@ -36,7 +36,8 @@ from rankflow.session import shared_dir
 from rankflow.sources.columnar import decode_columnar, decode_snapshot, encode_columnar, encode_rows
 from rankflow.sources.readers import land_raw, read_documents, unwrap_envelope
 from rankflow.sources.snapshots import (
-    available_seasons, latest_per_group, latest_poll, latest_poll_per_season, list_files,
+    FALLBACK_SEASONS, available_seasons, latest_per_group, latest_poll, latest_poll_per_season,
+    list_files,
     season_files, with_season,
 )
 
@@ -211,7 +212,7 @@ def q_season_files(spark, sf):
 
 
 def q_available_seasons(spark, sf):
-    return available_seasons(fixtures.listing(spark, sf), default=[2024])
+    return available_seasons(fixtures.listing(spark, sf), default=FALLBACK_SEASONS)
 
 
 def q_snapshot_key(spark, sf):
