@@ -116,7 +116,11 @@ def write_cleansed(df: DataFrame, out_root: str, stamp: str | None, fmt: str = "
     documents, one per line)."""
     out = df if stamp is None else df.withColumn("snapshot", F.lit(stamp))
     if fmt == "parquet":
-        out.write.mode("append").partitionBy("season", "snapshot").parquet(out_root)
+        # rebalance by the partition columns: AQE splits a hot season over
+        # several tasks and merges small ones, so each season gets a few
+        # right-sized files instead of one file per upstream task
+        (out.hint("rebalance", "season", "snapshot")
+         .write.mode("append").partitionBy("season", "snapshot").parquet(out_root))
     elif fmt == "columnar-json":
         # documents carry their snapshot id as a column too
         enc = encode_columnar(out, ["season", "snapshot"])
