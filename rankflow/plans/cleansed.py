@@ -24,14 +24,16 @@ SEASON_BROADCAST_MAX_ROWS = 100_000
 
 def snapshot_listing(spark: SparkSession, root: str) -> DataFrame:
     """One row per snapshot folder: (dataset, season, snapshot, path, newest
-    file time). Parsed from ``key=value`` folder names of the listing."""
+    file time). Parsed from ``key=value`` folder names of the listing. Like
+    Spark's own file index, any path part starting with ``_`` or ``.`` is
+    hidden (``_temporary`` of a running write, ``_SUCCESS``, checksums, a
+    streaming sink's ``_spark_metadata``)."""
     files = list_files(spark, root)
     key = F.col("key")
     season = F.regexp_extract(key, r"(^|/)season=([^/]+)/", 2)
     snap = F.regexp_extract(key, r"(^|/)snapshot=([^/]+)/", 2)
     folder = F.regexp_extract(key, r"^(.*snapshot=[^/]+)/", 1)
-    return (files.where(~F.element_at(F.split(key, "/"), -1).startswith("_")
-                        & ~F.element_at(F.split(key, "/"), -1).startswith("."))
+    return (files.where(~key.rlike(r"(^|/)[_.]"))
             .select(F.split(key, "/")[0].alias("dataset"),
                     F.when(season != "", season.try_cast("int")).alias("season"),
                     F.nullif(snap, F.lit("")).alias("snapshot"), folder.alias("folder"),

@@ -92,3 +92,14 @@ def test_land_raw_files_keeps_payload(spark, tmp_path):
     landed = "".join(p.read_text() for p in __import__("pathlib").Path(target).glob("part-*"))
     assert landed == payload + "\n"
     assert read_rankings(spark, target, multi_line=True).count() == 2
+
+
+def test_running_write_is_not_picked(spark, rows, tmp_path):
+    out = tmp_path / "store"
+    write_cleansed(rows, str(out), "2024-01-01T00-00-00Z")
+    # a newer snapshot still being written lives under _temporary
+    t = out / "_temporary" / "0" / "season=1995" / "snapshot=2099-01-01T00-00-00Z"
+    t.mkdir(parents=True)
+    (t / "part-0.parquet").write_text("not yet committed")
+    got = read_cleansed(spark, str(out)).select("snapshot").distinct().collect()
+    assert [r.snapshot for r in got] == ["2024-01-01T00-00-00Z"]
