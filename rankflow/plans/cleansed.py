@@ -133,7 +133,8 @@ def write_cleansed(df: DataFrame, out_root: str, stamp: str | None, fmt: str = "
     return out_root
 
 
-def read_cleansed(spark: SparkSession, out_root: str, fmt: str = "parquet") -> DataFrame:
+def read_cleansed(spark: SparkSession, out_root: str, fmt: str = "parquet",
+                  committed_only: bool = False) -> DataFrame:
     """Rows of the newest cleansed snapshot of every season.
 
     The listing picks the newest (season, snapshot) pair of each season; a
@@ -141,15 +142,23 @@ def read_cleansed(spark: SparkSession, out_root: str, fmt: str = "parquet") -> D
     pruning skip every older snapshot folder at scan time. ``fmt`` is the
     format the store was written in (``write_cleansed``); columnar-JSON
     documents are decoded after the pruned scan (narrow, no shuffle).
+
+    ``committed_only`` (for a streaming sink's folder) picks the newest
+    snapshot from what the reader sees, which follows the sink's commit log,
+    so files of a failed micro-batch are never chosen; it costs a pass over
+    the partition values instead of a file listing.
     """
-    snaps = snapshot_listing(spark, out_root)
-    latest = snaps.groupBy("season").agg(F.max("snapshot").alias("snapshot"))
     if fmt == "parquet":
         data = spark.read.parquet(out_root)
     elif fmt == "columnar-json":
         data = spark.read.text(out_root).withColumnRenamed("value", "doc")
     else:
         raise ValueError(f"unknown format {fmt!r}")
+    if committed_only:
+        latest = data.groupBy("season").agg(F.max("snapshot").alias("snapshot"))
+    else:
+        snaps = snapshot_listing(spark, out_root)
+        latest = snaps.groupBy("season").agg(F.max("snapshot").alias("snapshot"))
     # one row per season; the broadcast (which is what lets DPP prune the
     # scan) only behind a row-count check on that listing-derived table
     picked = data.join(broadcast_if_small(latest, SEASON_BROADCAST_MAX_ROWS),

@@ -403,7 +403,7 @@ def q_build_cleansed_stream(spark, sf):
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return _logos_str(read_cleansed(spark, out).select(*CLEANSED_COLS))
+    return _logos_str(read_cleansed(spark, out, committed_only=True).select(*CLEANSED_COLS))
 
 
 QUERIES["build_cleansed_stream"] = q_build_cleansed_stream

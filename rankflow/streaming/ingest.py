@@ -5,9 +5,9 @@ As a stream, every raw rankings snapshot folder that lands is processed once:
 flattened, stamped with the season and snapshot of its folder, left-joined to
 the (static) team table and appended to the cleansed store under
 ``season=Y/snapshot=S`` by the file sink, whose commit log makes the output
-exactly-once across restarts and lost executors. Readers keep using
-:func:`rankflow.plans.cleansed.read_cleansed`, which picks the newest
-snapshot per season. There is no aggregation, so no state and no watermark.
+exactly-once across restarts and lost executors. Readers use
+:func:`rankflow.plans.cleansed.read_cleansed` with ``committed_only=True``,
+which picks the newest committed snapshot per season. There is no aggregation, so no state and no watermark.
 """
 
 from __future__ import annotations

@@ -24,14 +24,14 @@ def test_stream_processes_new_snapshots_once(spark, tmp_path):
     _land(raw, 2024, "2024-09-02T12-00-00Z", 10)
     q = start_cleansed_stream(spark, str(raw), teams, str(out), str(ckpt))
     q.awaitTermination()
-    got = {(r.school, r.points, r.conference_right) for r in read_cleansed(spark, str(out)).collect()}
+    got = {(r.school, r.points, r.conference_right) for r in read_cleansed(spark, str(out), committed_only=True).collect()}
     assert got == {("A", 10, "X"), ("B", None, None)}
 
     _land(raw, 2024, "2024-09-09T12-00-00Z", 20)
     _land(raw, 2023, "2023-12-01T12-00-00Z", 5)
     q = start_cleansed_stream(spark, str(raw), teams, str(out), str(ckpt))
     q.awaitTermination()
-    rows = read_cleansed(spark, str(out)).collect()
+    rows = read_cleansed(spark, str(out), committed_only=True).collect()
     got = {(r.season, r.school, r.points) for r in rows}
     assert got == {(2024, "A", 20), (2024, "B", None), (2023, "A", 5), (2023, "B", None)}
     # the first snapshot was written once and not again
@@ -51,3 +51,18 @@ def test_stream_in_several_batches(spark, tmp_path):
     assert sorted((r.season, r.school, r.points) for r in rows) == [
         (2021, "A", 2021), (2021, "B", None), (2022, "A", 2022), (2022, "B", None),
         (2023, "A", 2023), (2023, "B", None)]
+
+
+def test_orphan_files_of_a_failed_batch_are_ignored(spark, tmp_path):
+    raw, out, ckpt = tmp_path / "raw", tmp_path / "out", tmp_path / "ckpt"
+    teams = spark.createDataFrame([], TEAM)
+    _land(raw, 2024, "2024-09-02T12-00-00Z", 10)
+    start_cleansed_stream(spark, str(raw), teams, str(out), str(ckpt)).awaitTermination()
+    # a newer snapshot folder whose batch never committed to the sink log
+    orphan = out / "season=2024" / "snapshot=2099-01-01T00-00-00Z"
+    orphan.mkdir(parents=True)
+    good = next((out / "season=2024" / "snapshot=2024-09-02T12-00-00Z").glob("*.parquet"))
+    (orphan / good.name).write_bytes(good.read_bytes())
+    got = read_cleansed(spark, str(out), committed_only=True).collect()
+    assert {(r.snapshot, r.school, r.points) for r in got} == {
+        ("2024-09-02T12-00-00Z", "A", 10), ("2024-09-02T12-00-00Z", "B", None)}
