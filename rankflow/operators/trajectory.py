@@ -58,6 +58,9 @@ def trajectories(slice_rows: DataFrame, k: int = TOP_K, checkpoint: bool = True)
     windows, and every consumer scans that instead of re-running them.
     """
     ranked = visual_rank(slice_rows)
+    # only what the chart reads is written
+    keep = ["season", "week", "seasonWeek", "rank", "visualRank", "school"]
+    ranked = ranked.select(*keep, *[c for c in ("color", "logos") if c in ranked.columns])
     if checkpoint:
         ranked = materialize(ranked, "ranked")
     weeks = week_dimension(ranked)
