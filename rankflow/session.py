@@ -51,13 +51,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder: the session's ``spark.checkpoint.dir``;
-    a local temp folder only when the setting is absent (tests)."""
+    """The reliable checkpoint folder: the session's ``spark.checkpoint.dir``.
+    Only a local-mode session (tests) may fall back to a local temp folder;
+    on a cluster an unset setting is an error, since a machine-local folder
+    is not visible to other executors."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="rankflow-ckpt-")
