@@ -38,3 +38,21 @@ def test_stamps_and_iso(spark):
                   iso_utc("ts").alias("iso")).first()
     assert r.k == "2024/raw/rankings_2024-09-02T12-00-03Z.json"
     assert r.iso == "2024-09-02T12:00:03+00:00"
+
+
+def test_shape_check_stamp_and_union(spark):
+    import re
+
+    import pytest
+
+    from rankflow.operators.seasons import require_columns, union_by_name
+    from rankflow.sources.readers import stamp_now
+
+    df = spark.createDataFrame([(1, "a")], "season int, school string")
+    assert require_columns(df, ["season"]) is df
+    with pytest.raises(ValueError, match="rank"):
+        require_columns(df, ["season", "rank"])
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d-\d\d-\d\dZ", stamp_now(spark))
+    other = spark.createDataFrame([(2, 5)], "season int, rank int")
+    got = sorted(tuple(r) for r in union_by_name([df, other]).collect())
+    assert got == [(1, "a", None), (2, None, 5)]
