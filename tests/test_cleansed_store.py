@@ -103,3 +103,16 @@ def test_running_write_is_not_picked(spark, rows, tmp_path):
     (t / "part-0.parquet").write_text("not yet committed")
     got = read_cleansed(spark, str(out)).select("snapshot").distinct().collect()
     assert [r.snapshot for r in got] == ["2024-01-01T00-00-00Z"]
+
+
+def test_latest_snapshots_per_season_and_overall(spark, tmp_path):
+    from rankflow.plans.cleansed import latest_snapshots
+
+    for season, snap in [(2023, "2023-01-01T00-00-00Z"), (2023, "2023-02-01T00-00-00Z"),
+                         (2024, "2024-01-01T00-00-00Z")]:
+        _land_json(tmp_path, "rankings", season, snap, [{"season": season}])
+    per = {r.key: r.snapshot for r in latest_snapshots(spark, str(tmp_path), "rankings").collect()}
+    assert per == {"rankings/season=2023/snapshot=2023-02-01T00-00-00Z": "2023-02-01T00-00-00Z",
+                   "rankings/season=2024/snapshot=2024-01-01T00-00-00Z": "2024-01-01T00-00-00Z"}
+    one = latest_snapshots(spark, str(tmp_path), "rankings", per_season=False).collect()
+    assert [r.snapshot for r in one] == ["2024-01-01T00-00-00Z"]
