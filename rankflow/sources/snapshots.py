@@ -6,6 +6,7 @@ same plans run on a real file listing (:func:`list_files`) or on a table.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,19 +26,33 @@ class NoSnapshotError(FileNotFoundError):
     pass
 
 
+def _root_prefix(root: str) -> str:
+    """The listing root as listed paths spell it: ``/abs/path/`` for local
+    roots (``file:`` URIs and relative paths included), ``scheme://…/`` else."""
+    r = root.rstrip("/") + "/"
+    if r.startswith("file:"):
+        return "/" + r[len("file:"):].lstrip("/")
+    if "://" not in r:
+        return os.path.abspath(r).rstrip("/") + "/"
+    return r
+
+
 def list_files(spark: SparkSession, root: str, glob: str | None = None,
                recursive: bool = True) -> DataFrame:
     """File listing with metadata. ``binaryFile`` with the content column
     pruned reads no file bodies; Spark lists directories in parallel."""
+    if "://" not in root and not root.startswith(("/", "file:")):
+        root = os.path.abspath(root)  # one resolution for the reader and the prefix
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(root).select("path", "modificationTime", "length")
-    root_uri = root.rstrip("/") + "/"
+    prefix = _root_prefix(root)
     session_tz = spark.conf.get("spark.sql.session.timeZone")
-    rel = F.regexp_replace(F.col("path"), r"^file:", "")
-    rel = F.when(F.instr(rel, root_uri.replace("file:", "")) == 1,
-                 F.substring(rel, len(root_uri.replace("file:", "")) + 1, 1 << 30)).otherwise(rel)
+    # listed local paths read "file:/a/b"; keys are relative to the root
+    rel = F.regexp_replace(F.col("path"), r"^file:/+", "/")
+    rel = F.when(F.instr(rel, prefix) == 1,
+                 F.substring(rel, len(prefix) + 1, 1 << 30)).otherwise(rel)
     return files.select(
         rel.alias("key"),
         F.convert_timezone(F.lit(session_tz), F.lit("UTC"),

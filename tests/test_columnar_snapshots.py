@@ -111,11 +111,13 @@ def test_season_files_iso_time(spark):
                    "cleansed/2024/poll_2.json": "2024-09-01T12:00:00.000250+00:00"}
 
 
-def test_list_files_real_folder(spark, tmp_path):
+def test_list_files_real_folder(spark, tmp_path, monkeypatch):
     (tmp_path / "cleansed" / "2024").mkdir(parents=True)
     (tmp_path / "cleansed" / "2024" / "poll_x.json").write_text("{}")
-    rows = list_files(spark, str(tmp_path)).collect()
-    assert [(r.key, r.size) for r in rows] == [("cleansed/2024/poll_x.json", 2)]
+    monkeypatch.chdir(tmp_path.parent)
+    for root in (str(tmp_path), f"file://{tmp_path}", f"file:{tmp_path}/", tmp_path.name):
+        rows = list_files(spark, root).collect()
+        assert [(r.key, r.size) for r in rows] == [("cleansed/2024/poll_x.json", 2)], root
     lp = latest_per_group(list_files(spark, str(tmp_path)), []).first()
     assert lp.key == "cleansed/2024/poll_x.json"
 
