@@ -19,7 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["trajectories", "build_cleansed", "movers", "merge_teams", "visual_rank",
-            "team_series", "decode_columnar", "latest_poll_season"]
+            "team_series", "decode_columnar", "latest_poll_season", "union_seasons"]
 
 
 def _run(q, spark, sf_dir, errors: dict, name: str) -> float | None:
