@@ -47,7 +47,8 @@ def _dedupe(rows):
     return out
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=15, deadline=None, derandomize=True,
+          suppress_health_check=list(HealthCheck))
 @given(st.lists(ROW, min_size=0, max_size=25))
 def test_visual_rank_matches_brute_force(spark, rows):
     rows = _dedupe(rows)
@@ -61,7 +62,8 @@ def test_visual_rank_matches_brute_force(spark, rows):
         assert [round(x, 9) for x in sorted(got[k])] == [round(x, 9) for x in want[k]]
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, derandomize=True,
+          suppress_health_check=list(HealthCheck))
 @given(st.lists(ROW, min_size=1, max_size=25))
 def test_movers_match_brute_force(spark, rows):
     rows = _dedupe(rows)
