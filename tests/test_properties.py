@@ -80,3 +80,25 @@ def test_movers_match_brute_force(spark, rows):
         hist = sorted((index[(h[0], h[1])], h[3] or 0) for h in rows if h[2] == r[2])
         want[r[2]] = (r[3] or 0) - hist[0][1]
     assert got == want
+
+
+CELL = st.tuples(st.one_of(st.none(), st.integers(-5, 5)),
+                 st.one_of(st.none(), st.text(alphabet='ab"\\é,', max_size=3)),
+                 st.one_of(st.none(), st.lists(st.text(alphabet="xy", max_size=2), max_size=2)),
+                 st.integers(2023, 2024))
+
+
+@settings(max_examples=6, deadline=None, derandomize=True,
+          suppress_health_check=list(HealthCheck))
+@given(st.lists(CELL, min_size=0, max_size=30), st.integers(1, 7))
+def test_columnar_round_trip_is_identity(spark, rows, block_rows):
+    from pyspark.sql import types as T
+
+    from rankflow.sources.columnar import decode_columnar, encode_columnar
+    from tests.test_columnar_snapshots import ROW
+
+    df = spark.createDataFrame(rows, "a int, b string, tags array<string>, season int")
+    enc = encode_columnar(df, ["season"], block_rows=block_rows)
+    back = decode_columnar(enc, T.StructType([*ROW.fields, T.StructField("season", T.IntegerType())]))
+    key = lambda r: repr(tuple(r))
+    assert sorted(map(key, back.collect())) == sorted(map(key, df.collect()))
