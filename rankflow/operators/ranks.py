@@ -38,9 +38,13 @@ def tie_positions(df: DataFrame, partition_by: Sequence[str] = ("season", "week"
     equality treats null fields as equal, so null ranks/keys survive the join.
     """
     pb = list(partition_by)
+    # last sort key: a hash of the whole row, so rows sharing a school (team
+    # fan-out) are numbered the same way on every run, retries included
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     keyed = df.withColumn("_tk", F.struct(*[F.col(c) for c in pb], F.col(rank).alias("_r")))
     placed = keyed.withColumn(
-        "_tie_i", F.row_number().over(Window.partitionBy("_tk").orderBy(*school_order(school))) - 1)
+        "_tie_i", F.row_number().over(
+            Window.partitionBy("_tk").orderBy(*school_order(school), row_hash)) - 1)
     # tie sizes: partial counts per task, so only (tie groups x tasks) rows shuffle
     sizes = keyed.groupBy("_tk").agg(F.count(F.lit(1)).alias("_tie_n"))
     w_before = (Window.partitionBy(*[F.col("_tk")[c] for c in pb])
