@@ -9,10 +9,14 @@ from rankflow.functions.scalar import DEFAULT_POLL_LABEL, delta_label, delta_tit
 
 
 def first_ranks(rows: DataFrame) -> DataFrame:
-    """Rank at each school's smallest weekIndex (``min_by``: partial + final
-    aggregate, so a school with many rows never lands whole in one task)."""
-    return rows.groupBy("school").agg(
-        F.min_by(F.coalesce(F.col("rank"), F.lit(0)), F.col("weekIndex")).alias("firstRank"))
+    """Rank at each school's smallest weekIndex (``min`` over a struct:
+    partial + final aggregate, so a school with many rows never lands whole
+    in one task)."""
+    first = F.min(F.struct(F.col("weekIndex").alias("w"),
+                           F.coalesce(F.col("rank"), F.lit(0)).alias("r")))
+    # ties in the first week (a school listed twice): the smaller rank, which
+    # comes first in chart order, so the result never depends on row order
+    return rows.groupBy("school").agg(first["r"].alias("firstRank"))
 
 
 def rank_delta(rows: DataFrame) -> DataFrame:

@@ -36,7 +36,8 @@ def top_schools(rows: DataFrame, k: int = TOP_K) -> DataFrame:
     """First ``k`` rows of the final week by rank (stable: school order within
     a tie). Plans as TakeOrderedAndProject: each task keeps its own top k."""
     final = rows.where(F.col("isCurrent"))
-    return (final.orderBy(*rank_order("rank"), *school_order("school"))
+    # visualRank is unique within the week: a deterministic last key
+    return (final.orderBy(*rank_order("rank"), *school_order("school"), F.col("visualRank"))
             .limit(k).select("school", "rank", "visualRank"))
 
 

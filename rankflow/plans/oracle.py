@@ -108,7 +108,8 @@ traj AS (
   SELECT c.*, c.school IN (SELECT school FROM top) AS isTop FROM chart c
 ),
 firsts AS (
-  SELECT school, arg_min(coalesce(rank, 0), weekIndex) AS firstRank FROM traj GROUP BY school
+  SELECT school, arg_min(coalesce(rank, 0), (weekIndex, coalesce(rank, 0))) AS firstRank
+  FROM traj GROUP BY school
 ),
 deltas AS (
   SELECT t.school, t.visualRank, t.rank, f.firstRank,
