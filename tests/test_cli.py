@@ -25,3 +25,24 @@ def test_build_then_read(spark, tmp_path, capsys):
     main(["movers", "--store", store, "--out", str(tmp_path / "movers")])
     rows = {r.school: r.delta for r in spark.read.json(str(tmp_path / "movers")).collect()}
     assert rows == {"A": 1, "B": -1}
+
+
+def test_latest_poll_and_season_files(spark, tmp_path, capsys):
+    from pyspark.sql import functions as F
+
+    from rankflow.plans.cleansed import write_cleansed
+    from rankflow.plans.queries import _cleansed
+
+    rows = _cleansed(spark, "/root/testdata/sf0.001")
+    season = rows.agg(F.max("season")).first()[0]
+    store = str(tmp_path / "store")
+    write_cleansed(rows, store, "2024-01-01T00-00-00Z")
+    write_cleansed(rows, store, "2024-02-01T00-00-00Z")
+    main(["season-files", "--store", store, "--season", str(season)])
+    files = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert files["season"] == season
+    assert [f["snapshot"] for f in files["files"]] == ["2024-01-01T00-00-00Z", "2024-02-01T00-00-00Z"]
+    main(["latest-poll", "--store", store, "--out", str(tmp_path / "lp"), "--season", str(season)])
+    got = spark.read.json(str(tmp_path / "lp"))
+    assert got.count() == rows.where(F.col("season") == season).count()
+    assert {r.snapshot for r in got.select("snapshot").distinct().collect()} == {"2024-02-01T00-00-00Z"}
