@@ -135,3 +135,11 @@ def test_copies_are_split_across_bounded_blocks(spark):
 def test_malformed_value_becomes_null(spark):
     doc = json.dumps({"columns": [{"name": "a", "values": [1, "x", [2]]}]})
     assert [r.a for r in decode_columnar(_docs(spark, [doc]), ROW).collect()] == [1, None, None]
+
+
+def test_row_documents_write_nulls_explicitly(spark):
+    src = spark.createDataFrame([(1, None, None)], ROW).withColumn("season", F.lit(2024))
+    doc = json.loads(encode_rows(src, ["season"]).first().doc)
+    assert doc == [{"a": 1, "b": None, "tags": None, "season": 2024}]
+    env = json.loads(encode_rows(src, ["season"], envelope=True).first().doc)
+    assert env == {"season": 2024, "data": doc}
