@@ -44,7 +44,8 @@ def exact_duplicates(docs: DataFrame, salts: int | None = None, block: int = BLO
     rows = (
         id_text(docs)
         .select("doc_id", ascii_lower(F.col("text")).alias("content"))
-        .withColumn("digest", F.unhex(F.sha2("content", 256)))
+        # coalesce: never null, so no join adds a filter that hashes each text again
+        .withColumn("digest", F.coalesce(F.unhex(F.sha2("content", 256)), F.lit(b"")))
     )
     # narrow rows, written once; ``part`` tells apart different texts of one digest
     keys = materialize(rows.select("doc_id", "digest", F.xxhash64("content").alias("part")),
