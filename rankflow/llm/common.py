@@ -88,3 +88,19 @@ class FileBytes:
     @property
     def value(self) -> bytes:
         return self._sent.value
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: int,
+             share: int = 1000) -> DataFrame:
+    """Inner join of many rows a key with one row a key (``weight``: how many
+    rows ``left`` has for it, ``total`` over all keys). Keys with more than a
+    ``share``-th of the rows, so fewer than ``share`` of them at any size, are
+    broadcast; the others are shuffled."""
+    is_hot = F.col(weight) > F.lit(total / share)
+    hot = F.broadcast(right.filter(is_hot).drop(weight).withColumn("__hot", F.lit(True)))
+    cold = right.filter(~is_hot).drop(weight)
+    values = [c for c in right.columns if c not in (key, weight)]
+    flagged = left.join(hot, key, "left")
+    return (flagged.filter("__hot").select(*left.columns, *values)
+            .unionByName(flagged.filter("__hot is null").select(*left.columns).join(cold, key)
+                         .select(*left.columns, *values)))

@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rankflow.llm.common import documents
 from rankflow.llm.exact_dedup import exact_duplicates
+from rankflow.llm.simhash_dedup import near_duplicates
+
+
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), words=3, max_bits=2)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +20,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_dedup": op2_simhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
