@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rankflow.llm import secret_scan
 from rankflow.llm.common import documents
 from rankflow.llm.exact_dedup import exact_duplicates
 from rankflow.llm.simhash_dedup import near_duplicates
@@ -19,9 +20,15 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secret_scan.report(secret_scan.scan(docs, secret_scan.train(docs)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL = {
