@@ -104,3 +104,22 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: in
     return (flagged.filter("__hot").select(*left.columns, *values)
             .unionByName(flagged.filter("__hot is null").select(*left.columns).join(cold, key)
                          .select(*left.columns, *values)))
+
+
+class Remembered(dict):
+    """``make(key)`` by key, for the keys of late: two generations of at most
+    ``most`` entries each, so memory is bounded however many keys come."""
+
+    def __init__(self, make: Callable, most: int = 150_000):
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value

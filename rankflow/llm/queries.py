@@ -6,28 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankflow.llm import secret_scan
-from rankflow.llm.common import documents
+from rankflow.llm import bpe_codec, secret_scan
+from rankflow.llm.common import documents, tokenizer_path
 from rankflow.llm.exact_dedup import exact_duplicates
+from rankflow.llm.packing import pack_documents
 from rankflow.llm.simhash_dedup import near_duplicates
+from rankflow.llm.token_count import count_tokens
+
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), tokenizer_path(WORD_BPE), capacity=2048)
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), words=3, max_bits=2)
 
 
+def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digests(documents(spark, sf_dir), tokenizer_path(WORD_BPE))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir), tokenizer_path(BYTE_BPE), limit=1024)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return secret_scan.report(secret_scan.scan(docs, secret_scan.train(docs)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op5_bpe_codec": op5_bpe_codec,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_token_count": op9_token_count,
     "op10_secret_scan": op10_secret_scan,
 }
 
