@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankflow.llm import bpe_codec, secret_scan
+from rankflow.llm import bpe_codec, secret_scan, toxicity
 from rankflow.llm.common import documents, tokenizer_path
 from rankflow.llm.exact_dedup import exact_duplicates
 from rankflow.llm.packing import pack_documents
@@ -29,6 +29,12 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(documents(spark, sf_dir), tokenizer_path(WORD_BPE))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.scores(docs, toxicity.train(docs, labels))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -46,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op5_bpe_codec": op5_bpe_codec,
+    "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_count": op9_token_count,
     "op10_secret_scan": op10_secret_scan,
