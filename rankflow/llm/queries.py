@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rankflow.llm import bpe_codec, secret_scan, toxicity
 from rankflow.llm.common import documents, tokenizer_path
 from rankflow.llm.exact_dedup import exact_duplicates
+from rankflow.llm.lm_scoring import score_documents
 from rankflow.llm.packing import pack_documents
 from rankflow.llm.simhash_dedup import near_duplicates
 from rankflow.llm.token_count import count_tokens
@@ -29,6 +30,10 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(documents(spark, sf_dir), tokenizer_path(WORD_BPE))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir), tokenizer_path(WORD_BPE))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_toxicity": op7_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_count": op9_token_count,
