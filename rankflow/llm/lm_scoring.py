@@ -17,6 +17,7 @@ list, are looked up; the others, rare by that, are joined.
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from dataclasses import dataclass
 
@@ -66,8 +67,8 @@ def sample_documents(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 
 def fit(sample: DataFrame, vocabulary: FileBytes, common: int = COMMON, windows: int = WINDOWS,
         steps: int = STEPS) -> Sampled:
-    """Train on the sample: ``common`` words and ``windows`` windows at most
-    come to the driver."""
+    """Train on the sample: at most ``common`` words come to the driver and at
+    most ``windows`` windows to the training task."""
     def count():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             n = Counter(w for raw in raw_texts(batch) for w in raw.lower().split())
@@ -88,9 +89,20 @@ def fit(sample: DataFrame, vocabulary: FileBytes, common: int = COMMON, windows:
     words = (map_rows(sample.select("text"), count, "word binary, n long").groupBy("word")
              .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(common).toArrow())
     drawn = (map_rows(sample.select("text"), cut, "ids binary")
-             .orderBy(F.xxhash64("ids")).limit(windows).toArrow())
-    ids = np.frombuffer(b"".join(drawn.column("ids").to_pylist()), "<u2").astype(np.int64)
-    ids = ids.reshape(-1, SPAN + 1)
+             .orderBy(F.xxhash64("ids")).limit(windows))
+
+    def learn(batches):
+        ids = b"".join(x for batch in batches for x in batch.column(0).to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_learn(ids, steps))])], ["model"])
+
+    # in a task of its own: Spark gives it one thread, and another one if it is lost
+    model = drawn.repartition(1).mapInArrow(learn, "model binary").first().model
+    return Sampled(words.column("word").to_pylist(), pickle.loads(model))
+
+
+def _learn(windows: bytes, steps: int) -> AttentionModel:
+    """Classes of the ids and the trained model, from windows of SPAN + 1 ids."""
+    ids = np.frombuffer(windows, "<u2").astype(np.int64).reshape(-1, SPAN + 1)
     counts = np.bincount(ids.ravel(), minlength=IDS)
     marks = np.argsort(-counts, kind="stable")[:128]
     number = np.full(IDS, -1)
@@ -103,7 +115,7 @@ def fit(sample: DataFrame, vocabulary: FileBytes, common: int = COMMON, windows:
     model = AttentionModel.new(counts, attention.classes_of(counts, before, after))
     if len(ids):
         model.train(ids, steps)
-    return Sampled(words.column("word").to_pylist(), model)
+    return model
 
 
 def _sequence(ids: bytes) -> np.ndarray:

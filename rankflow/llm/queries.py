@@ -12,6 +12,7 @@ from rankflow.llm.exact_dedup import exact_duplicates
 from rankflow.llm.lm_scoring import score_documents
 from rankflow.llm.packing import pack_documents
 from rankflow.llm.simhash_dedup import near_duplicates
+from rankflow.llm.spotsigs import edited_fingerprints
 from rankflow.llm.token_count import count_tokens
 
 WORD_BPE = "word_bpe_49k.json"
@@ -26,6 +27,10 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), words=3, max_bits=2)
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, sf_dir))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(documents(spark, sf_dir), tokenizer_path(WORD_BPE))
 
@@ -56,6 +61,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_spotsigs": op3_spotsigs,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_toxicity": op7_toxicity,
