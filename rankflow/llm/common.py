@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -123,3 +123,16 @@ class Remembered(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def without(docs: DataFrame, mark: Column, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose doc_id and ``mark`` are among the two columns
+    of ``gone``, nulls equal, and less repeated rows of one doc_id and mark."""
+    key = F.struct(F.col("doc_id").cast("long").alias("id"), mark.alias("mark"))
+    names = docs.columns
+    gone = gone.toDF("id", "mark").distinct()
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), key.alias("key"))
+    left = rows.join(gone, F.col("key.id").eqNullSafe(F.col("id"))
+                     & (F.col("key.mark") == F.col("mark")), "left_anti")
+    copy = F.row_number().over(Window.partitionBy("key.id", "key.mark").orderBy(F.lit(1)))
+    return left.withColumn("copy", copy).filter("copy = 1").select("row.*")

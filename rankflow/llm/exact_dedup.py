@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import ascii_lower, id_text, partitions
+from rankflow.llm.common import ascii_lower, id_text, partitions, without
 from rankflow.session import materialize
 
 BLOCK = 256
@@ -84,3 +84,12 @@ def exact_duplicates(docs: DataFrame, salts: int | None = None, block: int = BLO
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & first).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def keep_distinct(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that stay (see ``exact_duplicates``), all columns as
+    they came."""
+    found = exact_duplicates(docs, **options)
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    text = ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return without(docs, F.sha2(text, 256), gone.select("doc_id", "text_sha256"))

@@ -155,17 +155,23 @@ def report(spans: DataFrame) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
-def mask(text: Column, model: RandomnessModel, threshold: float = THRESHOLD,
-         with_: str = MASK) -> Column:
-    """The text with each secret replaced, kind after kind: nothing else in it
-    changes. Null stays null."""
+def mask(docs: DataFrame, model: RandomnessModel, threshold: float = THRESHOLD,
+         mark: str = MASK) -> DataFrame:
+    """``docs`` with each secret in ``text`` replaced, kind after kind; nothing
+    else changes, and a null text stays null."""
     for kind, pattern, ok in _rules(model, threshold):
+        text = F.col("text")
         matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         tested = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)) if kind == 0 else matches
         pieces = F.transform(
             F.arrays_zip(F.split(text, pattern, -1).alias("g"), matches.alias("m"),
                          tested.alias("t")),
-            lambda x, ok=ok: F.concat(x.g, F.when(x.m.isNull(), "").when(ok(x.t), with_)
-                                      .otherwise(x.m)))
-        text = F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)
-    return text
+            _masked_by(ok, mark))
+        docs = docs.withColumn(
+            "text", F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text))
+    return docs
+
+
+def _masked_by(ok, mark: str):
+    """A piece between matches and the match after it, which may be missing."""
+    return lambda x: F.concat(x.g, F.when(x.m.isNull(), "").when(ok(x.t), mark).otherwise(x.m))

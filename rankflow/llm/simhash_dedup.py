@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import id_text, join_hot, map_rows, raw_texts
+from rankflow.llm.common import id_text, join_hot, map_rows, raw_texts, without
 from rankflow.session import materialize
 
 PIVOTS = 16
@@ -60,16 +60,18 @@ def fingerprint(raw: bytes, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, fp: a row for each input row."""
+    """doc_id, fp, text_hash: a row for each input row."""
 
     def make():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             fps = [fingerprint(x, words) for x in raw_texts(batch)]
             return pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+                [batch.column(0), pa.array(fps, pa.int64()), batch.column(2)],
+                ["doc_id", "fp", "text_hash"])
         return each
 
-    return map_rows(id_text(docs), make, "doc_id long, fp long")
+    rows = id_text(docs).withColumn("text_hash", F.xxhash64("text"))
+    return map_rows(rows, make, "doc_id long, fp long, text_hash long")
 
 
 def _bits(fp: Column, low: int, width: int) -> Column:
@@ -166,25 +168,39 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: a row for each input row.
+    """doc_id, fingerprint (16 hex digits), component_id, text_hash, kept: a row
+    for each input row.
 
     Fingerprints link at ``max_bits`` or fewer differing bits; component_id is
-    the smallest doc_id reachable by links, itself included. Null and empty
-    texts have fingerprint zero and link like any other. Null doc_ids are never
-    a component's id (null when it has no other); repeated rows all come back.
-    An empty table gives no rows; other columns are ignored.
+    the smallest doc_id reachable by links, itself included, and that document
+    is ``kept`` (of several texts with this doc_id the least text_hash; all
+    rows that repeat it). Null and empty texts have fingerprint zero and link
+    like any other. A null doc_id is a component's id, and kept, only if all
+    are null. An empty table gives no rows; other columns are ignored.
     """
     fps = materialize(fingerprints(docs, words), "simhash_fingerprints")
     total = fps.count()
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     distinct = materialize(
-        fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")),
+        fps.groupBy("fp").agg(F.min(row).alias("least"), F.count(F.lit(1)).alias("n")),
         "simhash_distinct")
     labels = components(links(distinct.select("fp"), max_bits))
     rooted = materialize(
         distinct.join(labels, "fp", "left")
         .select("fp", "least", "n", F.coalesce("root", "fp").alias("root")), "simhash_roots")
-    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"),
+    groups = rooted.groupBy("root").agg(F.min("least").alias("stays"),
                                         F.count(F.lit(1)).alias("members"))
     named = join_hot(rooted, groups, "root", "members", total)
-    return join_hot(fps, named.select("fp", "component_id", "n"), "fp", "n", total).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return join_hot(fps, named.select("fp", "stays", "n"), "fp", "n", total).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("stays.doc_id").alias("component_id"), "text_hash",
+        (F.col("doc_id").eqNullSafe(F.col("stays.doc_id"))
+         & (F.col("text_hash") == F.col("stays.text_hash"))).alias("kept"))
+
+
+def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of ``docs`` that stay (see ``near_duplicates``), all columns as
+    they came."""
+    gone = near_duplicates(docs, words, max_bits).filter(~F.col("kept"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return without(docs, F.xxhash64(text), gone.select("doc_id", "text_hash"))
