@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankflow.llm.bpe_codec import byte_symbols
 from rankflow.llm.common import FileBytes, Remembered, id_text, map_rows, partitions, raw_texts
 from rankflow.session import materialize
 
@@ -44,9 +45,14 @@ class LibraryEncoder:
 
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.marks = [t["content"].lower().encode() for t in json.loads(data)["added_tokens"]]
-        self.plain = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\s]+")
-        self.pieces = Remembered(self._piece)
-        self.chunks = Remembered(self._chunk)
+        # signs and letters that are NFC already and lower-cased one by one
+        self.simple = regex.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+        letters = "a-z\u00df-\u00f6\u00f8-\u00ff"
+        self.plain = regex.compile(
+            rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9]+")
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.pieces = Remembered(self._piece, 200_000)
+        self.chunks = Remembered(self._chunk, 400_000)
 
     def _piece(self, piece: str) -> bytes:
         ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
@@ -54,8 +60,10 @@ class LibraryEncoder:
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
-        if text.isascii() and text.isprintable():
-            pieces = self.plain.findall(text)
+        if self.simple.fullmatch(text):
+            pieces = self.plain.findall(text.lower())
+            if not text.isascii():
+                pieces = [p.encode().decode("latin-1").translate(self.symbols) for p in pieces]
         else:
             text = self.tokenizer.normalizer.normalize_str(text)
             pieces = [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
