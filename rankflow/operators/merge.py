@@ -5,21 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.session import broadcast_if_small
-
-# A team dimension has a few thousand rows; above this bound the join is left
-# to sort-merge / AQE instead of a broadcast.
-TEAM_BROADCAST_MAX_ROWS = 200_000
-
 
 def merge_teams(rankings: DataFrame, teams: DataFrame, on: str | list[str] = "school",
-                suffix: str = "_right",
-                broadcast_max_rows: int = TEAM_BROADCAST_MAX_ROWS) -> DataFrame:
+                suffix: str = "_right") -> DataFrame:
     """Left equi-join keeping every team column.
 
     Output layout: every left column in order, then every right column except
     the key; right names that clash with a left name get ``suffix``. Null keys
-    never match; duplicate teams fan out (plain left-join semantics).
+    never match; duplicate teams fan out (plain left-join semantics). There is
+    no hint: AQE broadcasts the teams when their bytes at run time allow it.
     """
     keys = [on] if isinstance(on, str) else list(on)
     left_cols = rankings.columns
@@ -27,7 +21,7 @@ def merge_teams(rankings: DataFrame, teams: DataFrame, on: str | list[str] = "sc
         F.col(c).alias(c + suffix if (c in left_cols and c not in keys) else c)
         for c in teams.columns])
     right_cols = [c for c in right.columns if c not in keys]
-    joined = rankings.join(broadcast_if_small(right, broadcast_max_rows), on=keys, how="left")
+    joined = rankings.join(right, on=keys, how="left")
     return joined.select(*left_cols, *right_cols)
 
 

@@ -19,12 +19,18 @@ def first_ranks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("school").agg(first["r"].alias("firstRank"))
 
 
+def with_first_rank(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``rows`` with each school's ``firstRank``."""
+    firsts = firsts.withColumnRenamed("school", "_school")
+    return rows.join(firsts, F.col("school").eqNullSafe(F.col("_school"))).drop("_school")
+
+
 def rank_delta(rows: DataFrame) -> DataFrame:
     """Final-week rows joined to their first appearance (inner: a missing
-    history drops the row). delta = final rank - first rank (null rank = 0)."""
+    history drops the row; a null school is one like any other). delta = final
+    rank - first rank (null rank = 0)."""
     final = rows.where(F.col("isCurrent")).select("school", "rank", "visualRank")
-    joined = final.join(first_ranks(rows), on="school", how="inner")
-    return joined.select(
+    return with_first_rank(final, first_ranks(rows)).select(
         "school", "visualRank", "rank", "firstRank",
         (F.coalesce(F.col("rank"), F.lit(0)) - F.col("firstRank")).cast("int").alias("delta"))
 

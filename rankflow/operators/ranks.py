@@ -30,31 +30,24 @@ def tie_positions(df: DataFrame, partition_by: Sequence[str] = ("season", "week"
     """Adds ``_tie_i`` (0-based place in the tie group by school), ``_tie_n``
     (tie size) and ``_pos`` (0-based place in the partition by rank, school).
 
-    Only the tie group (partition + rank) is sorted row by row; the offset of a
-    rank group inside the partition comes from a per-tie-group count (partial
-    + final aggregate) with a running sum over the ranks of the partition. So a week
-    with many rows spread over many ranks is split across tasks instead of
-    being sorted by one. The tie key is a single struct column: struct
-    equality treats null fields as equal, so null ranks/keys survive the join.
+    Place and size come from one shuffle by tie group, the offset of the tie
+    group from a running sum over the ranks of the partition: one pass over the
+    facts, no join. A partition is one poll of one week, so what a task sorts is
+    bounded by the schools of a poll. Window keys treat nulls as equal, so null
+    ranks and keys are groups of their own.
     """
-    pb = list(partition_by)
+    pb = [F.col(c) for c in partition_by]
     # last sort key: a hash of the whole row, so rows sharing a school (team
     # fan-out) are numbered the same way on every run, retries included
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    keyed = df.withColumn("_tk", F.struct(*[F.col(c) for c in pb], F.col(rank).alias("_r")))
-    placed = keyed.withColumn(
-        "_tie_i", F.row_number().over(
-            Window.partitionBy("_tk").orderBy(*school_order(school), row_hash)) - 1)
-    # tie sizes: partial counts per task, so only (tie groups x tasks) rows shuffle
-    sizes = keyed.groupBy("_tk").agg(F.count(F.lit(1)).alias("_tie_n"))
-    w_before = (Window.partitionBy(*[F.col("_tk")[c] for c in pb])
-                .orderBy(F.coalesce(F.col("_tk._r"), F.lit(0)), F.col("_tk._r").asc_nulls_first())
-                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select(
-        "_tk", "_tie_n", F.coalesce(F.sum("_tie_n").over(w_before), F.lit(0)).alias("_grp_off"))
-    return (placed.join(offsets, on="_tk", how="inner")
-            .withColumn("_pos", F.col("_grp_off") + F.col("_tie_i"))
-            .drop("_tk", "_grp_off"))
+    tie = Window.partitionBy(*pb, rank)
+    place = F.row_number().over(tie.orderBy(*school_order(school), row_hash)) - 1
+    # each tie group counts once, with its first row
+    once = F.when(F.col("_tie_i") == 0, F.col("_tie_n")).otherwise(0)
+    upto = (Window.partitionBy(*pb).orderBy(*rank_order(rank))
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return (df.withColumn("_tie_i", place).withColumn("_tie_n", F.count(F.lit(1)).over(tie))
+            .withColumn("_pos", F.sum(once).over(upto) - F.col("_tie_n") + F.col("_tie_i")))
 
 
 def visual_rank(df: DataFrame, partition_by: Sequence[str] = ("season", "week"),
@@ -87,18 +80,19 @@ def tie_groups(df: DataFrame, partition_by: Sequence[str] = ("season", "week"),
             .withColumn("isTie", F.col("tieSize") > 1))
 
 
-def week_groups(ranked: DataFrame, season: str = "season", week: str = "week") -> DataFrame:
+def week_groups(ranked: DataFrame, season: str = "season", week: str = "week",
+                also_by: Sequence[str] = ()) -> DataFrame:
     """Group visual-ranked rows (``keep_position=True``) into one row per
-    (season, week) with the ordered ``ranks`` list. A week is one poll, so the
-    list is bounded by the poll size."""
+    (season, week, and ``also_by``, e.g. poll and season type) with the ordered
+    ``ranks`` list, which is bounded by the poll size."""
     color = F.col("color") if "color" in ranked.columns else F.lit(None).cast("string")
     logos = F.col("logos") if "logos" in ranked.columns else F.lit(None).cast("array<string>")
     entry = F.struct(F.col("_pos"), F.col("rank"), F.col("visualRank"), F.col("school"),
                      color.alias("color"),
                      F.coalesce(logos, F.array().cast("array<string>")).alias("logos"),
                      F.col(season).alias("season"))
-    grouped = ranked.groupBy(season, week).agg(
+    grouped = ranked.groupBy(season, week, *also_by).agg(
         F.array_sort(F.collect_list(entry)).alias("_ranks"), F.first("seasonWeek").alias("seasonWeek"))
     return grouped.select(
-        F.col(week).cast("string").alias("week"), F.col(season).alias("season"), "seasonWeek",
-        F.transform("_ranks", lambda r: r.dropFields("_pos")).alias("ranks"))
+        F.col(week).cast("string").alias("week"), F.col(season).alias("season"), *also_by,
+        "seasonWeek", F.transform("_ranks", lambda r: r.dropFields("_pos")).alias("ranks"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from rankflow.functions.scalar import MUTED_COLOR, default_color, default_logos
 from rankflow.operators.ranks import rank_order, school_order, visual_rank
 from rankflow.operators.weeks import attach_weeks, week_dimension
-from rankflow.session import materialize
 
 # Fixed values of the chart.
 TOP_K = 12
@@ -44,26 +43,29 @@ def top_schools(rows: DataFrame, k: int = TOP_K) -> DataFrame:
 def top_flag(rows: DataFrame, top: DataFrame, name: str = "isTop") -> DataFrame:
     """``topSchools.includes(school)`` as a column: left join against the
     distinct top-k names (at most k rows by construction, so broadcast)."""
-    names = F.broadcast(top.select("school").distinct().withColumn("_hit", F.lit(True)))
-    return (rows.join(names, on="school", how="left")
-            .withColumn(name, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit"))
+    names = F.broadcast(top.select(F.col("school").alias("_top"), F.lit(True).alias("_hit"))
+                        .distinct())
+    return (rows.join(names, F.col("school").eqNullSafe(F.col("_top")), "left")
+            .withColumn(name, F.coalesce(F.col("_hit"), F.lit(False))).drop("_hit", "_top"))
 
 
-def trajectories(slice_rows: DataFrame, k: int = TOP_K, checkpoint: bool = True) -> DataFrame:
+def trajectories(slice_rows: DataFrame, k: int = TOP_K, path: str | None = None) -> DataFrame:
     """Poll rows of one poll / season type (all seasons) -> chart rows with
     ``visualRank``, ``weekIndex``, default colour and the top-k flag.
 
     The visual-ranked rows feed the week table, the chart rows and the top-k
-    list (and usually series and movers after that); with ``checkpoint`` they
-    are written once to the shared checkpoint folder right after the rank
-    windows, and every consumer scans that instead of re-running them.
+    list. A caller that reuses them, or reads large facts, gives a ``path`` of
+    its own: they are written there once, right after the rank windows, and
+    every consumer scans that. The folder is the caller's to keep or remove.
+    Without a path nothing is written.
     """
     ranked = visual_rank(slice_rows)
     # only what the chart reads is written
     keep = ["season", "week", "seasonWeek", "rank", "visualRank", "school"]
     ranked = ranked.select(*keep, *[c for c in ("color", "logos") if c in ranked.columns])
-    if checkpoint:
-        ranked = materialize(ranked, "ranked")
+    if path:
+        ranked.write.mode("errorifexists").parquet(path)
+        ranked = ranked.sparkSession.read.schema(ranked.schema).parquet(path)
     weeks = week_dimension(ranked)
     rows = chart_rows(ranked, weeks)
     return top_flag(rows, top_schools(rows, k)).select(*CHART_COLS, "isTop")

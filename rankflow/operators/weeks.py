@@ -51,7 +51,8 @@ def week_dimension(df: DataFrame, season: str = "season", week: str = "week",
 
 def attach_weeks(df: DataFrame, weeks: DataFrame, season: str = "season",
                  week: str = "week") -> DataFrame:
-    """Equi-join the facts to the week dimension.
+    """Join the facts to the week dimension; a null season or week is one like
+    any other.
 
     The week table is derived from the facts, so its size is known only at
     run time: the join is left to AQE, which turns it into a broadcast when
@@ -60,7 +61,10 @@ def attach_weeks(df: DataFrame, weeks: DataFrame, season: str = "season",
     join above it. (A count check up front would recompute the facts.)
     """
     dim = weeks.drop("seasonWeek") if "seasonWeek" in df.columns else weeks
-    return df.join(dim, on=[season, week], how="inner")
+    dim = dim.withColumnsRenamed({season: "_dim_season", week: "_dim_week"})
+    same = (F.col(season).eqNullSafe(F.col("_dim_season"))
+            & F.col(week).eqNullSafe(F.col("_dim_week")))
+    return df.join(dim, same).drop("_dim_season", "_dim_week")
 
 
 def axis_bounds(weeks: DataFrame) -> DataFrame:

@@ -3,106 +3,67 @@
 Store layout (one layout for writer and readers):
   raw:      {raw}/{dataset}/[season={Y}/]snapshot={STAMP}/part-*
   cleansed: {out}/season={Y}/snapshot={STAMP}/part-*   (Parquet by default)
+Both have a manifest of committed snapshots (:mod:`rankflow.plans.manifest`),
+which is what every reader goes by.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.operators.flatten import flatten_rankings
 from rankflow.operators.merge import merge_teams
 from rankflow.operators.seasons import require_columns, stamp_season
+from rankflow.plans.manifest import commit, newest_snapshots, season_folder
 from rankflow.schemas import CLEANSED, CLEANSED_COLS, SEASON, TEAM
 from rankflow.sources.columnar import decode_columnar, encode_columnar
-from rankflow.session import broadcast_if_small
-from rankflow.sources.snapshots import list_files
-
-RANKINGS, TEAMS = "rankings", "teams"
-SEASON_BROADCAST_MAX_ROWS = 100_000
-
-
-def snapshot_listing(spark: SparkSession, root: str) -> DataFrame:
-    """One row per snapshot folder: (dataset, season, snapshot, path, newest
-    file time). Parsed from ``key=value`` folder names of the listing. Like
-    Spark's own file index, any path part starting with ``_`` or ``.`` is
-    hidden (``_temporary`` of a running write, ``_SUCCESS``, checksums, a
-    streaming sink's ``_spark_metadata``)."""
-    files = list_files(spark, root)
-    key = F.col("key")
-    season = F.regexp_extract(key, r"(^|/)season=([^/]+)/", 2)
-    snap = F.regexp_extract(key, r"(^|/)snapshot=([^/]+)/", 2)
-    folder = F.regexp_extract(key, r"^(.*snapshot=[^/]+)/", 1)
-    return (files.where(~key.rlike(r"(^|/)[_.]"))
-            .select(F.split(key, "/")[0].alias("dataset"),
-                    F.when(season != "", season.try_cast("int")).alias("season"),
-                    F.nullif(snap, F.lit("")).alias("snapshot"), folder.alias("folder"),
-                    "last_modified")
-            .where("snapshot IS NOT NULL")
-            .groupBy("dataset", "season", "snapshot", "folder")
-            .agg(F.max("last_modified").alias("last_modified")))
-
-
-def latest_snapshots(spark: SparkSession, root: str, dataset: str,
-                     per_season: bool = True) -> DataFrame:
-    """Newest snapshot folder per season (or the one newest overall) of a
-    dataset. Snapshot stamps are fixed-format UTC times, so the largest stamp
-    is the newest; unlike file times it survives copies and is never tied by
-    folders written in the same job. One partial + final aggregate."""
-    snaps = snapshot_listing(spark, root).where(F.col("dataset") == dataset)
-    best = F.max(F.struct("snapshot", F.col("folder").alias("key"))).alias("_b")
-    grouped = snaps.groupBy("season") if per_season else snaps.groupBy()
-    return grouped.agg(best).select("_b.key", "_b.snapshot")
-
-
-def latest_folders(spark: SparkSession, root: str,
-                   datasets: dict[str, bool]) -> dict[str, list[str]]:
-    """Newest snapshot folders of several datasets from one listing: per
-    season for datasets mapped to True, the single newest for False. One
-    aggregate; the result (a folder per season and dataset) is collected as
-    the scan's path list."""
-    snaps = snapshot_listing(spark, root).where(F.col("dataset").isin(list(datasets)))
-    per_season = [d for d, flag in datasets.items() if flag]
-    group_season = F.when(F.col("dataset").isin(per_season), F.col("season")) if per_season \
-        else F.lit(None).cast("int")
-    best = snaps.groupBy("dataset", group_season.alias("_s")).agg(
-        F.max(F.struct("snapshot", "folder")).alias("_b"))
-    out: dict[str, list[str]] = {d: [] for d in datasets}
-    for r in best.select("dataset", "_b.folder").collect():
-        out[r["dataset"]].append(r["folder"])
-    return out
-
-
-def read_folders(spark: SparkSession, root: str, folders: list[str], schema,
-                 what: str = "snapshot") -> DataFrame:
-    """JSON scan of the chosen snapshot folders. ``_path_season`` is the
-    season of the folder a row was read from."""
-    if not folders:
-        raise FileNotFoundError(f"No {what} under {root}")
-    base = root.rstrip("/")
-    df = spark.read.schema(schema).json([f"{base}/{k}" for k in sorted(folders)])
-    found = F.regexp_extract(F.col("_metadata.file_path"), r"/season=(-?[0-9]+)/", 1)
-    return df.withColumn("_path_season", F.when(found != "", found.cast("int")))
-
-
-def read_latest(spark: SparkSession, root: str, dataset: str, schema,
-                per_season: bool = True) -> DataFrame:
-    """Scan only the newest snapshot folder per season (or overall) of one
-    dataset."""
-    folders = latest_folders(spark, root, {dataset: per_season})[dataset]
-    return read_folders(spark, root, folders, schema, f"{dataset} snapshot")
-
-
-def build_cleansed(spark: SparkSession, raw_root: str, teams_per_season: bool = False) -> DataFrame:
+from rankflow.sources.readers import good_documents, parse_documents
+
+RANKINGS, TEAMS, CLEANSED_SET = "rankings", "teams", "cleansed"
+PARQUET, COLUMNAR = "parquet", "columnar-json"
+_STORED = "snapshot string, season int"
+
+
+def read_newest(spark: SparkSession, root: str, dataset: str, schema, per_season: bool = True,
+                on_bad: str = "raise") -> DataFrame:
+    """Documents of the newest committed snapshot per season (or of the one
+    newest) of a raw dataset. ``_path_season`` is the season of the folder a
+    row was read from. ``on_bad``: see :func:`good_documents`."""
+    chosen = newest_snapshots(spark, root, dataset, per_season).collect()  # a row a season
+    if not chosen:
+        raise FileNotFoundError(f"No {dataset} snapshot under {root}")
+    return read_snapshots(spark, root, schema, chosen, on_bad)
+
+
+def read_snapshots(spark: SparkSession, root: str, schema, chosen: Sequence[Row],
+                   on_bad: str = "raise") -> DataFrame:
+    """Documents of the given manifest rows' folders."""
+    parts = []
+    for whole in (False, True):
+        paths = [f"{root.rstrip('/')}/{r.folder}" for r in chosen
+                 if r.rows and (r.format == "whole") == whole]
+        if paths:
+            parts.append(good_documents(parse_documents(spark, paths, schema, whole), on_bad))
+    if not parts:
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn("_path_season", F.lit(None).cast("int"))
+    docs = reduce(DataFrame.unionByName, parts)
+    found = F.regexp_extract("_file", r"/season=(-?[0-9]+)/", 1)
+    return docs.withColumn("_path_season", F.when(found != "", found.cast("int"))).drop("_file")
+
+
+def build_cleansed(spark: SparkSession, raw_root: str, teams_per_season: bool = False,
+                   on_bad: str = "raise") -> DataFrame:
     """Newest rankings snapshot of every season, flattened, stamped with the
     season of its folder and left-joined to the newest teams snapshot (the
-    same season's when ``teams_per_season``). Both datasets are picked from
-    one listing."""
-    chosen = latest_folders(spark, raw_root, {RANKINGS: True, TEAMS: teams_per_season})
-    docs = read_folders(spark, raw_root, chosen[RANKINGS], SEASON, "rankings snapshot")
-    docs = stamp_season(docs, F.coalesce(F.col("_path_season"), F.col("season")))
-    rows = flatten_rankings(docs)
-    teams = read_folders(spark, raw_root, chosen[TEAMS], TEAM, "teams snapshot")
+    same season's when ``teams_per_season``)."""
+    docs = read_newest(spark, raw_root, RANKINGS, SEASON, on_bad=on_bad)
+    rows = flatten_rankings(stamp_season(docs, F.coalesce("_path_season", "season")))
+    teams = read_newest(spark, raw_root, TEAMS, TEAM, teams_per_season, on_bad)
     if teams_per_season:
         teams = teams.withColumn("season", F.col("_path_season")).drop("_path_season")
         merged = merge_teams(rows, teams.select("season", *TEAM.fieldNames()),
@@ -111,86 +72,118 @@ def build_cleansed(spark: SparkSession, raw_root: str, teams_per_season: bool =
     return merge_teams(rows, teams.drop("_path_season"), on="school")
 
 
-def write_cleansed(df: DataFrame, out_root: str, stamp: str | None, fmt: str = "parquet") -> str:
-    """Append one immutable snapshot per season. ``stamp=None`` takes the
-    snapshot from a ``snapshot`` column (several snapshots in one job).
-    ``fmt="columnar-json"`` writes the compatibility encoding (bounded
-    documents, one per line)."""
-    out = df if stamp is None else df.withColumn("snapshot", F.lit(stamp))
-    if fmt == "parquet":
-        # rebalance by the partition columns: AQE splits a hot season over
-        # several tasks and merges small ones, so each season gets a few
-        # right-sized files instead of one file per upstream task
-        (out.hint("rebalance", "season", "snapshot")
-         .write.mode("append").partitionBy("season", "snapshot").parquet(out_root))
-    elif fmt == "columnar-json":
-        # documents carry their snapshot id as a column too
-        enc = encode_columnar(out, ["season", "snapshot"])
-        enc.select("season", "snapshot", "doc").write.mode("append") \
-            .partitionBy("season", "snapshot").text(out_root)
-    else:
-        raise ValueError(f"unknown format {fmt!r}")
-    return out_root
-
+def raw_seasons(spark: SparkSession, raw_root: str) -> DataFrame:
+    """Seasons that the raw store has a rankings snapshot of, empty ones too."""
+    return newest_snapshots(spark, raw_root, RANKINGS).select("season")
 
-def read_cleansed(spark: SparkSession, out_root: str, fmt: str = "parquet",
-                  committed_only: bool = False) -> DataFrame:
-    """Rows of the newest cleansed snapshot of every season.
 
-    The listing picks the newest (season, snapshot) pair of each season; a
-    broadcast semi-join on the partition columns lets dynamic partition
-    pruning skip every older snapshot folder at scan time. ``fmt`` is the
-    format the store was written in (``write_cleansed``); columnar-JSON
-    documents are decoded after the pruned scan (narrow, no shuffle).
+def write_cleansed(df: DataFrame, out_root: str, stamp: str | Sequence[str], fmt: str = PARQUET,
+                   seasons: DataFrame | None = None, replace: bool = False) -> str:
+    """Write one immutable snapshot per season, then commit it.
 
-    ``committed_only`` (for a streaming sink's folder) picks the newest
-    snapshot from what the reader sees, which follows the sink's commit log,
-    so files of a failed micro-batch are never chosen; it costs a pass over
-    the partition values instead of a file listing.
+    Several stamps mean that a ``snapshot`` column says which row is whose. A
+    season of ``seasons`` without rows gets an empty snapshot, so that an older
+    one is not served in its place. ``replace`` lets a repeated write of the
+    same snapshot take its folder over. ``columnar-json`` writes the
+    compatibility encoding (bounded documents, one per line).
     """
-    if fmt == "parquet":
-        data = spark.read.parquet(out_root)
-    elif fmt == "columnar-json":
-        data = spark.read.text(out_root).withColumnRenamed("value", "doc")
+    spark = df.sparkSession
+    stamps = [stamp] if isinstance(stamp, str) else list(stamp)
+    out = df.withColumn("snapshot", F.lit(stamp)) if isinstance(stamp, str) else df
+    if fmt == PARQUET:
+        # rebalance by the partition columns: AQE splits a hot season over
+        # several tasks and merges small ones
+        rows = out.hint("rebalance", "season", "snapshot")
+    elif fmt == COLUMNAR:
+        rows = encode_columnar(out, ["season", "snapshot"]).select("season", "snapshot", "doc")
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    if committed_only:
-        latest = data.groupBy("season").agg(F.max("snapshot").alias("snapshot"))
-    else:
-        snaps = snapshot_listing(spark, out_root)
-        latest = snaps.groupBy("season").agg(F.max("snapshot").alias("snapshot"))
-    # one row per season; the broadcast (which is what lets DPP prune the
-    # scan) only behind a row-count check on that listing-derived table
-    picked = data.join(broadcast_if_small(latest, SEASON_BROADCAST_MAX_ROWS),
-                       on=["season", "snapshot"], how="left_semi")
-    if fmt == "columnar-json":
-        decoded = decode_columnar(picked.withColumnRenamed("season", "_dir_season"), CLEANSED,
-                                  keep=["_dir_season", "snapshot"])
-        return decoded.withColumn("season", F.col("_dir_season")).drop("_dir_season")
-    return picked
+    writer = rows.write.partitionBy("season", "snapshot")
+    writer = (writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace
+              else writer.mode("append"))
+    writer.parquet(out_root) if fmt == PARQUET else writer.text(out_root)
+
+    # the folders of these stamps only, partition values and row counts only
+    paths = [f"{out_root.rstrip('/')}/season=*/snapshot={s}" for s in stamps]
+    counts = _counts(spark, out_root, paths, fmt)
+    if seasons is not None:
+        every = seasons.withColumn("snapshot", F.explode(F.array(*map(F.lit, stamps))))
+        same = (F.col("e.season").eqNullSafe(F.col("c.season"))
+                & (F.col("e.snapshot") == F.col("c.snapshot")))
+        empty = every.alias("e").join(counts.alias("c"), same, "left_anti")
+        counts = counts.unionByName(empty.withColumn("rows", F.lit(0).cast("long")))
+    commit(counts.withColumn("dataset", F.lit(CLEANSED_SET)).withColumn("format", F.lit(fmt))
+           .withColumn("folder", season_folder()), out_root)
+    return out_root
+
+
+def _counts(spark: SparkSession, root: str, paths: list[str], fmt: str) -> DataFrame:
+    """season, snapshot, rows of the folders that ``paths`` match."""
+    reader = spark.read.option("basePath", root)
+    stored = [p for p in paths if _exists(spark, p)]
+    if not stored:
+        return spark.createDataFrame([], "season int, snapshot string, rows long")
+    data = (reader.schema(f"school string, {_STORED}").parquet(*stored) if fmt == PARQUET
+            else reader.schema(f"value string, {_STORED}").text(stored))
+    return data.groupBy("season", "snapshot").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _exists(spark: SparkSession, glob: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def read_cleansed(spark: SparkSession, out_root: str, chosen: DataFrame | None = None) -> DataFrame:
+    """Rows (with ``snapshot``) of the newest committed snapshot of every
+    season, or of the ``chosen`` manifest rows, in whatever format each was
+    written. Only their folders are opened. Columnar documents are decoded
+    after the scan (narrow, no shuffle)."""
+    rows = chosen if chosen is not None else newest_snapshots(spark, out_root, CLEANSED_SET)
+    picked = [r for r in rows.collect() if r.rows]  # a row a season
+    reader = spark.read.option("basePath", out_root)
+    names = [*CLEANSED_COLS, "snapshot"]
+    parts = []
+    for fmt in (PARQUET, COLUMNAR):
+        paths = [f"{out_root.rstrip('/')}/{r.folder}" for r in picked if r.format == fmt]
+        if not paths:
+            continue
+        if fmt == PARQUET:
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CLEANSED.fields)
+            parts.append(reader.schema(f"{schema}, snapshot string").parquet(*paths).select(*names))
+        else:
+            docs = reader.schema(f"doc string, {_STORED}").text(paths)
+            docs = docs.withColumnRenamed("season", "_dir_season")
+            rows_of = decode_columnar(docs, CLEANSED, keep=["_dir_season", "snapshot"])
+            parts.append(rows_of.withColumn("season", F.col("_dir_season")).select(*names))
+    if not parts:
+        return spark.createDataFrame([], CLEANSED).withColumn(
+            "snapshot", F.lit(None).cast("string"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def poll_table(spark: SparkSession, out_root: str, poll: str, season_type: str,
                seasons: list[int] | None = None) -> DataFrame:
     """The multi-season poll table: newest snapshot of each (or each given)
-    season, one poll and season type, rows stamped with their season. The
-    season list prunes partitions at planning time."""
-    rows = read_cleansed(spark, out_root)
+    season, one poll and season type. Other seasons' folders are not opened."""
+    chosen = newest_snapshots(spark, out_root, CLEANSED_SET)
     if seasons is not None:
-        rows = rows.where(F.col("season").isin([int(s) for s in seasons]))
+        chosen = chosen.where(F.col("season").isin([int(s) for s in seasons]))
+    rows = read_cleansed(spark, out_root, chosen)
     rows = rows.where((F.col("poll") == poll) & (F.col("seasonType") == season_type))
     return require_columns(rows, CLEANSED_COLS)
 
 
 def latest_poll_rows(spark: SparkSession, out_root: str, season: int | None = None) -> DataFrame:
     """Rows of the newest snapshot of one season, or of the single newest
-    snapshot over all seasons (``season=None``; equal stamps: first folder)."""
-    snaps = snapshot_listing(spark, out_root)
-    if season is not None:
-        snaps = snaps.where(F.col("season") == season)
-    newest_stamp = snaps.agg(F.max("snapshot").alias("snapshot"))
-    pick = (snaps.join(newest_stamp, on="snapshot", how="inner")
-            .agg(F.min(F.struct("folder", "season", "snapshot")).alias("_p"))
-            .select("_p.season", "_p.snapshot"))
-    data = spark.read.parquet(out_root)
-    return data.join(F.broadcast(pick), on=["season", "snapshot"], how="left_semi")  # one row
+    snapshot over all seasons (``season=None``)."""
+    if season is None:
+        return read_cleansed(spark, out_root,
+                             newest_snapshots(spark, out_root, CLEANSED_SET, per_season=False))
+    chosen = newest_snapshots(spark, out_root, CLEANSED_SET)
+    return read_cleansed(spark, out_root, chosen.where(F.col("season") == season))
+
+
+__all__ = ["CLEANSED_SET", "COLUMNAR", "PARQUET", "RANKINGS", "TEAMS",
+           "build_cleansed", "latest_poll_rows", "poll_table", "raw_seasons", "read_cleansed",
+           "read_newest", "read_snapshots", "write_cleansed"]

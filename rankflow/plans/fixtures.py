@@ -2,7 +2,9 @@
 
 poll rows   orders x customer x nation x region, one row per
             (season=year, week=month, poll=priority, seasonType, school=nation)
-teams       nation x region (one nation left out: an unmatched school)
+            (1998 and December stand for a null season and week, one nation
+            for a null school)
+teams       nation x region (one nation under another name: an unmatched school)
 listing     events as snapshot-file metadata (key, last_modified, size)
 
 Every step is a Spark join / aggregate / window, so the work grows with the
@@ -15,16 +17,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankflow.schemas import FLAT_COLS, TEAM
-from rankflow.session import broadcast_if_small, table
+from rankflow.session import table
 
 # Fixed values of the fixture mapping.
 FIRST_PLACE_PRICE = 200000
 POSTSEASON_STATUS = "P"
-LEFT_OUT_NATION = 24
+RENAMED_NATION = 24
+NULL_SCHOOL_NATION = 23
+NULL_SEASON_YEAR = 1998
+NULL_WEEK_MONTH = 12
 LISTING_BASE_SEASON = 2020
 LISTING_SEASONS = 5
-# nation x region is 25 rows by the TPC-H spec; still checked before broadcasting
-GEO_BROADCAST_MAX_ROWS = 10_000
 
 # Declared (pruned) schemas of the shared tables this mapping reads.
 ORDERS = ("o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -45,17 +48,19 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 def poll_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat poll rows (the FLAT schema). Orders join customers on the
     customer key (shuffle join; AQE splits a hot customer), nations come in by
-    broadcast (a 25-row table, size-checked), then one partial+final aggregate and a
-    rank window per poll (bounded by the number of nations)."""
+    a join that AQE broadcasts by their bytes, then one partial+final aggregate
+    and a rank window per poll (bounded by the number of nations)."""
     o = table(spark, sf_dir, "orders", ORDERS).select(
         "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
     c = table(spark, sf_dir, "customer", CUSTOMER)
-    geo = broadcast_if_small(_geo(spark, sf_dir), GEO_BROADCAST_MAX_ROWS)
+    geo = _geo(spark, sf_dir).withColumn(
+        "school", F.when(F.col("n_nationkey") != NULL_SCHOOL_NATION, F.col("school")))
+    year, month = F.year("o_orderdate"), F.month("o_orderdate")
     facts = (o.join(c, o.o_custkey == c.c_custkey)
              .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
     agg = facts.groupBy(
-        F.year("o_orderdate").alias("season"),
-        F.month("o_orderdate").alias("week"),
+        F.when(year != NULL_SEASON_YEAR, year).alias("season"),
+        F.when(month != NULL_WEEK_MONTH, month).alias("week"),
         F.col("o_orderpriority").alias("poll"),
         F.when(F.col("o_orderstatus") == POSTSEASON_STATUS, "postseason").otherwise("regular")
         .alias("seasonType"),
@@ -72,14 +77,15 @@ def poll_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Team dimension (TEAM schema) with null / empty / set colours and
     null / one / two logos."""
-    g = _geo(spark, sf_dir).where(F.col("n_nationkey") != LEFT_OUT_NATION)
     k = F.col("n_nationkey")
+    g = _geo(spark, sf_dir)
+    name = F.concat(F.col("school"), F.when(k == RENAMED_NATION, " (renamed)").otherwise(""))
     ks = k.cast("string")
     logo = F.concat(F.lit("logos/"), ks, F.lit(".png"))
     dark = F.concat(F.lit("logos/"), ks, F.lit("-dark.png"))
     out = g.select(
         k.cast("int").alias("id"),
-        F.col("school"),
+        name.alias("school"),
         F.concat(F.lit("Mascot "), ks).alias("mascot"),
         F.concat(F.lit("N"), ks).alias("abbreviation"),
         F.lower("school").alias("alt_name1"),

@@ -14,11 +14,11 @@ geo AS (
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 agg AS (
-  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS season,
-         CAST(month(o.o_orderdate) AS INTEGER) AS week,
+  SELECT CAST(nullif(year(o.o_orderdate), 1998) AS INTEGER) AS season,
+         CAST(nullif(month(o.o_orderdate), 12) AS INTEGER) AS week,
          o.o_orderpriority AS poll,
          CASE WHEN o.o_orderstatus = 'P' THEN 'postseason' ELSE 'regular' END AS seasonType,
-         g.school, g.conference,
+         CASE WHEN g.n_nationkey <> 23 THEN g.school END AS school, g.conference,
          CAST(count(*) AS INTEGER) AS points,
          CAST(count(CASE WHEN o.o_totalprice > 200000 THEN 1 END) AS INTEGER) AS firstPlaceVotes
   FROM orders o
@@ -34,7 +34,8 @@ poll_rows AS (
   FROM agg
 ),
 teams AS (
-  SELECT CAST(n_nationkey AS INTEGER) AS id, school,
+  SELECT CAST(n_nationkey AS INTEGER) AS id,
+         school || CASE WHEN n_nationkey = 24 THEN ' (renamed)' ELSE '' END AS school,
          'Mascot ' || CAST(n_nationkey AS VARCHAR) AS mascot,
          'N' || CAST(n_nationkey AS VARCHAR) AS abbreviation,
          lower(school) AS alt_name1,
@@ -49,7 +50,7 @@ teams AS (
               WHEN n_nationkey % 3 = 1 THEN ['logos/' || CAST(n_nationkey AS VARCHAR) || '.png']
               ELSE ['logos/' || CAST(n_nationkey AS VARCHAR) || '.png',
                     'logos/' || CAST(n_nationkey AS VARCHAR) || '-dark.png'] END AS logos
-  FROM geo WHERE n_nationkey <> 24
+  FROM geo
 ),
 cleansed AS (
   SELECT p.season, p.seasonType, p.week, p.poll, p.school, p.rank, p.conference,
@@ -61,22 +62,26 @@ cleansed AS (
 slice AS (
   SELECT * FROM cleansed WHERE poll = '{SLICE_POLL}' AND seasonType = '{SLICE_TYPE}'
 ),
-vr AS (
+vr_all AS (
   SELECT *,
     CAST(CASE WHEN week = 1 THEN
       coalesce(rank, 0) + CAST(0.1 AS DOUBLE) * (
-        CAST(row_number() OVER (PARTITION BY season, week, rank ORDER BY school) - 1 AS DOUBLE)
-        - CAST(count(*) OVER (PARTITION BY season, week, rank) - 1 AS DOUBLE) / 2)
-    ELSE CAST(row_number() OVER (PARTITION BY season, week
-              ORDER BY coalesce(rank, 0), rank NULLS FIRST, school) AS DOUBLE) END AS DOUBLE)
+        CAST(row_number() OVER (PARTITION BY season, week, poll, seasonType, rank
+                                ORDER BY school NULLS FIRST) - 1 AS DOUBLE)
+        - CAST(count(*) OVER (PARTITION BY season, week, poll, seasonType, rank) - 1 AS DOUBLE) / 2)
+    ELSE CAST(row_number() OVER (PARTITION BY season, week, poll, seasonType
+              ORDER BY coalesce(rank, 0), rank NULLS FIRST, school NULLS FIRST) AS DOUBLE) END AS DOUBLE)
       AS visualRank,
     coalesce(CAST(season AS VARCHAR), 'null') || '/' || coalesce(CAST(week AS VARCHAR), 'null') AS seasonWeek
-  FROM slice
+  FROM cleansed
+),
+vr AS (
+  SELECT * FROM vr_all WHERE poll = '{SLICE_POLL}' AND seasonType = '{SLICE_TYPE}'
 ),
 weeks0 AS (
   SELECT season, week,
-         CAST(row_number() OVER (ORDER BY season, week) - 1 AS INTEGER) AS weekIndex,
-         lag(season) OVER (ORDER BY season, week) AS prev_season,
+         CAST(row_number() OVER (ORDER BY season NULLS FIRST, week NULLS FIRST) - 1 AS INTEGER) AS weekIndex,
+         lag(season) OVER (ORDER BY season NULLS FIRST, week NULLS FIRST) AS prev_season,
          max(visualRank) AS wmax
   FROM vr GROUP BY season, week
 ),
@@ -96,16 +101,17 @@ chart AS (
          coalesce(nullif(v.color, ''), '#ccc') AS color,
          coalesce(v.logos, CAST([] AS VARCHAR[])) AS logos,
          w.isCurrent, w.yMax
-  FROM vr v JOIN weeks w ON v.season = w.season AND v.week = w.week
+  FROM vr v JOIN weeks w ON v.season IS NOT DISTINCT FROM w.season
+    AND v.week IS NOT DISTINCT FROM w.week
 ),
 top AS (
   SELECT school, rank, visualRank,
-         row_number() OVER (ORDER BY coalesce(rank, 0), rank NULLS FIRST, school) AS position
+         row_number() OVER (ORDER BY coalesce(rank, 0), rank NULLS FIRST, school NULLS FIRST) AS position
   FROM chart WHERE isCurrent
   QUALIFY position <= 12
 ),
 traj AS (
-  SELECT c.*, c.school IN (SELECT school FROM top) AS isTop FROM chart c
+  SELECT c.*, EXISTS (SELECT 1 FROM top WHERE top.school IS NOT DISTINCT FROM c.school) AS isTop FROM chart c
 ),
 firsts AS (
   SELECT school, arg_min(coalesce(rank, 0), (weekIndex, coalesce(rank, 0))) AS firstRank
@@ -114,7 +120,7 @@ firsts AS (
 deltas AS (
   SELECT t.school, t.visualRank, t.rank, f.firstRank,
          CAST(coalesce(t.rank, 0) - f.firstRank AS INTEGER) AS delta
-  FROM traj t JOIN firsts f ON t.school = f.school WHERE t.isCurrent
+  FROM traj t JOIN firsts f ON t.school IS NOT DISTINCT FROM f.school WHERE t.isCurrent
 ),
 listing AS (
   SELECT 'cleansed/' || CAST(2020 + user_id % 5 AS VARCHAR) || '/poll_' || CAST(event_id AS VARCHAR)
@@ -148,6 +154,10 @@ _CLEANSED_SELECT = ("season, seasonType, week, poll, school, rank, conference, f
                     "array_to_string(logos, '|') AS logos")
 _FLAT_SELECT = "season, seasonType, week, poll, school, rank, conference, firstPlaceVotes, points"
 
+# each season's stamp goes by its turn, see queries._cleansed_store
+_NEWEST = ("(SELECT season FROM cleansed WHERE season IS NOT NULL GROUP BY season "
+           "ORDER BY ((season - 1995) * 3 % 7 + 7) % 7 DESC, season LIMIT 1)")
+
 _SELECTS = {
     "flatten_rankings": f"SELECT {_FLAT_SELECT} FROM poll_rows",
     "read_rankings": f"SELECT {_FLAT_SELECT} FROM poll_rows",
@@ -158,8 +168,25 @@ _SELECTS = {
     "build_cleansed": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "build_cleansed_stream": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "union_seasons": f"SELECT {_CLEANSED_SELECT} FROM slice",
-    "latest_poll_rows": (f"SELECT {_CLEANSED_SELECT} FROM cleansed "
-                         "WHERE season = (SELECT min(season) FROM cleansed)"),
+    "latest_poll_rows": f"SELECT {_CLEANSED_SELECT} FROM cleansed WHERE season = {_NEWEST}",
+    "latest_poll_columnar": f"SELECT {_CLEANSED_SELECT} FROM cleansed WHERE season = {_NEWEST}",
+    "land_raw": ("SELECT season, seasonType, week, CAST(count(DISTINCT poll) AS INTEGER) AS n_polls, "
+                 "CAST(count(*) AS INTEGER) AS n_ranks FROM poll_rows GROUP BY 1, 2, 3"),
+    "list_snapshots": (
+        "SELECT 'rankings' AS dataset, season, snapshot, true AS hasSize, true AS hasTime "
+        "FROM (SELECT DISTINCT season FROM poll_rows) "
+        "CROSS JOIN (VALUES ('2024-09-02T12-00-00Z'), ('2024-09-09T12-00-00Z')) v(snapshot) "
+        "UNION ALL SELECT DISTINCT 'rankings', season, '2024-09-16T12-00-00Z', true, true "
+        "FROM poll_rows WHERE week = 1 "
+        "UNION ALL SELECT DISTINCT 'rankings', 1900, '2024-09-02T12-00-00Z', true, true "
+        "FROM poll_rows WHERE season = 1995 "
+        "UNION ALL SELECT 'teams', NULL, snapshot, true, true "
+        "FROM (VALUES ('2024-09-02T12-00-00Z'), ('2024-09-09T12-00-00Z')) v(snapshot)"),
+    "bad_documents": (
+        "SELECT reason, season, count(*) AS n FROM (SELECT "
+        "CASE week WHEN 2 THEN 'truncated' WHEN 3 THEN 'not JSON' ELSE 'kept' END AS reason, "
+        "CASE WHEN week IN (2, 3) THEN NULL ELSE season END AS season "
+        "FROM (SELECT DISTINCT season, seasonType, week FROM poll_rows)) GROUP BY 1, 2"),
     "encode_columnar": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "decode_columnar": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
     "unwrap_envelope": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
@@ -167,22 +194,24 @@ _SELECTS = {
                     f"WHERE poll = '{SLICE_POLL}' AND seasonType = '{SLICE_TYPE}'"),
     "stamp_season": (f"SELECT {_FLAT_SELECT} FROM poll_rows "
                      f"WHERE poll = '{SLICE_POLL}' AND seasonType = '{SLICE_TYPE}'"),
-    "season_week_label": ("SELECT season, week, school, "
+    "season_week_label": ("SELECT season, week, poll, seasonType, school, "
                           "coalesce(CAST(season AS VARCHAR), 'null') || '/' || coalesce(CAST(week AS VARCHAR), 'null') AS seasonWeek "
-                          "FROM slice"),
+                          "FROM poll_rows"),
     "default_color": "SELECT id, school, coalesce(nullif(color, ''), '#ccc') AS color FROM teams",
     "default_logos": ("SELECT id, school, "
                       "array_to_string(coalesce(logos, CAST([] AS VARCHAR[])), '|') AS logos, "
                       "CAST(len(coalesce(logos, CAST([] AS VARCHAR[]))) AS INTEGER) AS n_logos "
                       "FROM teams"),
-    "visual_rank": "SELECT season, week, school, rank, visualRank, seasonWeek FROM vr",
-    "tie_groups": ("SELECT season, week, rank, CAST(count(*) AS INTEGER) AS tieSize, "
-                   "count(*) > 1 AS isTie FROM slice GROUP BY season, week, rank"),
-    "week_groups": ("SELECT CAST(week AS VARCHAR) AS week, season, "
+    "visual_rank": ("SELECT season, week, poll, seasonType, school, rank, visualRank, seasonWeek "
+                    "FROM vr_all"),
+    "tie_groups": ("SELECT season, week, poll, seasonType, rank, "
+                   "CAST(count(*) AS INTEGER) AS tieSize, count(*) > 1 AS isTie FROM cleansed "
+                   "GROUP BY season, week, poll, seasonType, rank"),
+    "week_groups": ("SELECT CAST(week AS VARCHAR) AS week, season, poll, seasonType, "
                     "coalesce(CAST(season AS VARCHAR), 'null') || '/' || coalesce(CAST(week AS VARCHAR), 'null') AS seasonWeek, "
                     "CAST(count(*) AS INTEGER) AS n_ranks, "
-                    "string_agg(school, ',' ORDER BY coalesce(rank, 0), rank NULLS FIRST, school) "
-                    "AS schools FROM slice GROUP BY season, week"),
+                    "coalesce(string_agg(school, ',' ORDER BY coalesce(rank, 0), rank NULLS FIRST, "
+                    "school NULLS FIRST), '') AS schools FROM cleansed GROUP BY season, week, poll, seasonType"),
     "week_index": "SELECT season, week, seasonWeek, weekIndex FROM weeks",
     "season_changes": ("SELECT weekIndex, season, seasonWeek, boundary FROM weeks "
                        "WHERE seasonChange"),
@@ -195,9 +224,9 @@ _SELECTS = {
     "top_schools": "SELECT school, rank, visualRank, CAST(position AS INTEGER) AS position FROM top",
     "top_flag": "SELECT DISTINCT school, isTop FROM traj",
     "team_series": (
-        "SELECT school, first_value(color) OVER (PARTITION BY school ORDER BY week, weekIndex) "
+        "SELECT school, first_value(color) OVER (PARTITION BY school ORDER BY week NULLS FIRST, weekIndex) "
         "AS seriesColor, isTop, "
-        "CAST(row_number() OVER (PARTITION BY school ORDER BY week, weekIndex) - 1 AS INTEGER) AS pos, "
+        "CAST(row_number() OVER (PARTITION BY school ORDER BY week NULLS FIRST, weekIndex) - 1 AS INTEGER) AS pos, "
         "season, week, weekIndex, seasonWeek, rank, visualRank FROM traj"),
     "emphasis": ("SELECT school, weekIndex, "
                  "CASE WHEN isTop THEN color ELSE '#444' END AS stroke, "
@@ -216,10 +245,11 @@ _SELECTS = {
     "delta_label": (
         "SELECT school, weekIndex, delta, " + _DELTA_LABEL + " AS deltaLabel FROM ("
         "SELECT t.school, t.weekIndex, CAST(coalesce(t.rank, 0) - f.firstRank AS INTEGER) AS delta "
-        "FROM traj t JOIN firsts f ON t.school = f.school)"),
+        "FROM traj t JOIN firsts f ON t.school IS NOT DISTINCT FROM f.school)"),
     "sample_rows": (f"SELECT {_FLAT_SELECT} FROM poll_rows "
                     f"WHERE poll = '{SLICE_POLL}' AND seasonType = '{SLICE_TYPE}' "
-                    "ORDER BY season, week, rank, school LIMIT 3"),
+                    "ORDER BY season NULLS FIRST, week NULLS FIRST, rank NULLS FIRST, "
+                    "school NULLS FIRST LIMIT 3"),
     "snapshot_key": ("SELECT event_id, CAST(2020 + user_id % 5 AS VARCHAR) || '/raw/rankings_' || "
                      "strftime(ts, '%Y-%m-%dT%H-%M-%SZ') || '.json' AS key FROM events"),
     "latest_raw_snapshot": (

@@ -18,7 +18,7 @@ from rankflow.functions.scalar import (
 )
 from rankflow.operators.flatten import flatten_rankings, nest_rankings
 from rankflow.operators.merge import merge_teams
-from rankflow.operators.movers import first_ranks, movers, rank_delta
+from rankflow.operators.movers import first_ranks, movers, rank_delta, with_first_rank
 from rankflow.operators.ranks import tie_groups, visual_rank, week_groups
 from rankflow.operators.seasons import filter_poll, sample_rows, stamp_season
 from rankflow.operators.trajectory import (
@@ -27,14 +27,17 @@ from rankflow.operators.trajectory import (
 from rankflow.operators.weeks import axis_bounds, season_changes, week_dimension
 from rankflow.plans import fixtures
 from rankflow.plans.cleansed import (
-    RANKINGS, TEAMS, build_cleansed, latest_poll_rows, poll_table, read_cleansed, read_latest,
-    write_cleansed,
+    COLUMNAR, PARQUET, RANKINGS, TEAMS, build_cleansed, latest_poll_rows, poll_table, raw_seasons,
+    read_cleansed, read_newest, write_cleansed,
 )
+from rankflow.plans.manifest import commit, season_folder
 from rankflow.plans.oracle import SLICE_POLL, SLICE_TYPE
 from rankflow.schemas import CLEANSED, CLEANSED_COLS, SEASON, TEAM
 from rankflow.session import shared_dir
 from rankflow.sources.columnar import decode_columnar, decode_snapshot, encode_columnar, encode_rows
-from rankflow.sources.readers import land_raw, read_documents, unwrap_envelope
+from rankflow.sources.readers import (
+    bad_documents, good_documents, land_raw, parse_documents, read_documents, unwrap_envelope,
+)
 from rankflow.sources.snapshots import (
     FALLBACK_SEASONS, available_seasons, latest_per_group, latest_poll, latest_poll_per_season,
     list_files,
@@ -44,6 +47,9 @@ from rankflow.sources.snapshots import (
 Query = Callable[[SparkSession, str], DataFrame]
 # Fixed stamps of the fixture landings: an older and a newer snapshot.
 OLD_STAMP, NEW_STAMP = "2024-09-02T12-00-00Z", "2024-09-09T12-00-00Z"
+TORN_STAMP = "2024-09-16T12-00-00Z"  # written in part, never committed
+FIRST_SEASON, EMPTIED_SEASON = 1995, 1900
+EVERY_POLL = ("season", "week", "poll", "seasonType")
 # Small documents in the codec round trips, so every season spans many blocks.
 FIXTURE_BLOCK_ROWS = 500
 
@@ -66,68 +72,120 @@ def _traj(spark, sf):
 
 # -- sources / sinks -------------------------------------------------------
 
-def _land_rankings(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
-    """Rankings landed as ``rankings/season=Y/snapshot=S`` text files."""
-    root = shared_dir(spark, "raw")
-    docs = nest_rankings(fixtures.poll_rows(spark, sf))
-    stale = nest_rankings(flatten_rankings(docs).withColumn("points", F.col("points") - 1))
-    # both snapshots in one write job: the shared upstream exchange is reused
-    both = None
-    for stamp, frame in ((OLD_STAMP, stale), (NEW_STAMP, docs)):
-        part = frame.select("season", F.lit(stamp).alias("snapshot"),
-                            F.to_json(F.struct(*[f.name for f in SEASON.fields])).alias("value"))
-        both = part if both is None else both.unionByName(part)
-    both.write.mode("errorifexists").partitionBy("season", "snapshot").text(f"{root}/{RANKINGS}")
+def _land_teams(spark: SparkSession, sf: str, root: str) -> None:
     teams_json = fixtures.teams(spark, sf).select(F.to_json(F.struct("*")).alias("v"))
     land_raw(teams_json, root, TEAMS, None, OLD_STAMP)
     land_raw(teams_json, root, TEAMS, None, NEW_STAMP)
-    return root, docs
+
+
+def _land_rankings(spark: SparkSession, sf: str, shift: int = 0) -> str:
+    """Rankings landed as ``rankings/season=Y/snapshot=S`` text files: a stale
+    and a newer snapshot of every season, the null one included, one season
+    whose newest snapshot is empty, and a half-written one that was never
+    committed. ``shift`` makes the documents' own season differ from their
+    folder's."""
+    root = shared_dir(spark, "raw")
+    docs = nest_rankings(fixtures.poll_rows(spark, sf))
+    gone = nest_rankings(fixtures.poll_rows(spark, sf).where(F.col("season") == FIRST_SEASON)
+                         .withColumn("season", F.lit(EMPTIED_SEASON)))
+    stale = nest_rankings(flatten_rankings(docs).withColumn("points", F.col("points") - 1))
+    half = nest_rankings(flatten_rankings(docs).withColumn("points", F.col("points") + 1)
+                         .where("week = 1"))
+    frames = [(OLD_STAMP, stale.unionByName(gone)), (NEW_STAMP, docs), (TORN_STAMP, half)]
+    # all snapshots in one write job: the shared upstream exchange is reused
+    parts = None
+    for stamp, frame in frames:
+        own = frame.withColumn("_folder", F.col("season")).withColumn(
+            "season", F.col("season") + shift)
+        part = own.select(F.col("_folder").alias("season"), F.lit(stamp).alias("snapshot"),
+                          F.to_json(F.struct(*[f.name for f in SEASON.fields])).alias("value"))
+        parts = part if parts is None else parts.unionByName(part)
+    parts.write.mode("errorifexists").partitionBy("season", "snapshot").text(f"{root}/{RANKINGS}")
+    landed = (spark.read.schema("value string, season int, snapshot string")
+              .text(f"{root}/{RANKINGS}").where(F.col("snapshot") != TORN_STAMP)
+              .groupBy("season", "snapshot").agg(F.count(F.lit(1)).alias("rows")))
+    empty = spark.createDataFrame([(EMPTIED_SEASON, NEW_STAMP, 0)],
+                                  "season int, snapshot string, rows long")
+    commit(landed.unionByName(empty).withColumn("dataset", F.lit(RANKINGS))
+           .withColumn("format", F.lit("lines"))
+           .withColumn("folder", season_folder(f"{RANKINGS}/")), root)
+    _land_teams(spark, sf, root)
+    return root
 
 
 def q_land_raw(spark, sf):
-    """Raw payload landed unmodified and read back (rows = documents)."""
+    """A raw payload landed unmodified: header, polls and ranks of each
+    document, parsed from the landed text."""
     root = shared_dir(spark, "land")
     docs = nest_rankings(fixtures.poll_rows(spark, sf))
     payload = docs.select(F.to_json(F.struct(*[f.name for f in SEASON.fields])).alias("v"))
-    target = land_raw(payload, root, RANKINGS, "all", NEW_STAMP)
-    return spark.read.text(target).select(F.col("value").alias("payload"))
+    target = land_raw(payload, root, RANKINGS, None, NEW_STAMP)
+    doc = F.from_json("value", SEASON)
+    return spark.read.text(target).select(doc.alias("d")).select(
+        "d.season", "d.seasonType", "d.week", F.size("d.polls").alias("n_polls"),
+        F.aggregate("d.polls", F.lit(0), lambda n, p: n + F.size(p["ranks"])).alias("n_ranks"))
 
 
 def q_read_rankings(spark, sf):
-    root, _ = _land_rankings(spark, sf)
-    docs = read_latest(spark, root, RANKINGS, SEASON)
+    docs = read_newest(spark, _land_rankings(spark, sf), RANKINGS, SEASON)
     return flatten_rankings(docs)
 
 
 def q_read_teams(spark, sf):
-    root, _ = _land_rankings(spark, sf)
-    teams = read_latest(spark, root, TEAMS, TEAM, per_season=False).drop("_path_season")
+    root = shared_dir(spark, "raw_teams")
+    _land_teams(spark, sf, root)
+    teams = read_newest(spark, root, TEAMS, TEAM, per_season=False)
     return _logos_str(teams.select(*TEAM.fieldNames()))
 
 
 def q_list_snapshots(spark, sf):
-    """File listing (key, mtime, size) of a landed fixture: real file times,
-    so no SQL oracle."""
-    root, _ = _land_rankings(spark, sf)
-    return list_files(spark, root)
+    """Snapshots in the file listing (key, mtime, size) of a landed store."""
+    files = list_files(spark, _land_rankings(spark, sf))
+    key = F.col("key")
+    part = lambda name: F.regexp_extract(key, f"(^|/){name}=([^/]+)/", 2)
+    return files.where(~key.rlike(r"(^|/)[_.]")).groupBy(
+        F.split(key, "/")[0].alias("dataset"), part("season").try_cast("int").alias("season"),
+        part("snapshot").alias("snapshot"),
+    ).agg(F.bool_and(F.col("size") > 0).alias("hasSize"),
+          F.bool_and(F.col("last_modified").isNotNull()).alias("hasTime"))
+
+
+def q_bad_documents(spark, sf):
+    """Documents by what became of them: every week-2 document is cut short and
+    every week-3 one replaced by text that is no JSON."""
+    path = shared_dir(spark, "mixed")
+    docs = nest_rankings(fixtures.poll_rows(spark, sf))
+    text = F.to_json(F.struct(*[f.name for f in SEASON.fields]))
+    week = F.col("week")
+    broken = (F.when(week == 2, F.expr("substring(v, 1, length(v) - 5)"))
+              .when(week == 3, F.concat(F.lit("<html> "), F.col("season").cast("string")))
+              .otherwise(F.col("v")))
+    docs.withColumn("v", text).select(F.coalesce(broken, F.lit("<html>"))).write.text(path)
+    parsed = parse_documents(spark, [path], SEASON)
+    kept = good_documents(parsed, "skip").select(F.lit("kept").alias("reason"), "season")
+    gone = bad_documents(parsed).select("reason", F.lit(None).cast("int").alias("season"))
+    return kept.unionByName(gone).groupBy("reason", "season").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_build_cleansed(spark, sf):
-    raw, _ = _land_rankings(spark, sf)
+    raw = _land_rankings(spark, sf)
     out = shared_dir(spark, "cleansed")
-    write_cleansed(build_cleansed(spark, raw), out, NEW_STAMP)
+    write_cleansed(build_cleansed(spark, raw), out, NEW_STAMP, seasons=raw_seasons(spark, raw))
     return _logos_str(read_cleansed(spark, out).select(*CLEANSED_COLS))
 
 
-def _cleansed_store(spark, sf) -> str:
-    """Cleansed store with an older (stale) and a newer snapshot per season."""
+def _cleansed_store(spark, sf, fmt: str = PARQUET) -> str:
+    """Cleansed store with a stale and a newer snapshot per season. Each season
+    has a stamp of its own; the newest is neither the smallest season's nor
+    the largest's."""
     out = shared_dir(spark, "cleansed")
     rows = _cleansed(spark, sf)
-    stale = rows.withColumn("points", F.col("points") - 1)
-    # both snapshots in one write job (the shared upstream exchange is reused)
-    both = (stale.withColumn("snapshot", F.lit(OLD_STAMP))
-            .unionByName(rows.withColumn("snapshot", F.lit(NEW_STAMP))))
-    write_cleansed(both, out, None)
+    stale = rows.withColumn("points", F.col("points") - 1).withColumn("snapshot", F.lit(OLD_STAMP))
+    stamps = [f"2024-09-{day:02d}T12-00-00Z" for day in range(9, 16)]
+    turn = F.pmod((F.col("season") - FIRST_SEASON) * 3, F.lit(7))
+    own = F.element_at(F.array(*map(F.lit, stamps)), F.coalesce(turn, F.lit(0)) + 1)
+    both = stale.unionByName(rows.withColumn("snapshot", own))
+    write_cleansed(both, out, [OLD_STAMP, *stamps], fmt)
     return out
 
 
@@ -138,16 +196,21 @@ def q_union_seasons(spark, sf):
 
 
 def q_latest_poll_rows(spark, sf):
-    """Rows of the one newest snapshot over all seasons. Every season gets
-    the same newer stamp, so the first folder (smallest season) is served."""
+    """Rows of the one newest snapshot over all seasons."""
     out = _cleansed_store(spark, sf)
     return _logos_str(latest_poll_rows(spark, out, None).select(*CLEANSED_COLS))
 
 
+def q_latest_poll_columnar(spark, sf):
+    """The same from a store of columnar documents."""
+    out = _cleansed_store(spark, sf, COLUMNAR)
+    return _logos_str(latest_poll_rows(spark, out, None).select(*CLEANSED_COLS))
+
+
 def q_stamp_season(spark, sf):
-    """Rows stamped with the season of the folder they were read from."""
-    root, _ = _land_rankings(spark, sf)
-    docs = read_latest(spark, root, RANKINGS, SEASON)
+    """Rows stamped with the season of the folder they were read from; the
+    documents say another one."""
+    docs = read_newest(spark, _land_rankings(spark, sf, shift=100), RANKINGS, SEASON)
     rows = flatten_rankings(stamp_season(docs, F.col("_path_season")))
     return filter_poll(rows, SLICE_POLL, SLICE_TYPE)
 
@@ -177,11 +240,11 @@ def q_decode_columnar(spark, sf):
 
 def q_unwrap_envelope(spark, sf):
     rows = _cleansed(spark, sf)
-    # regular-season documents in an envelope, the rest as bare arrays
-    env = encode_rows(rows.where(F.col("seasonType") == "regular"), ["season"],
-                      block_rows=FIXTURE_BLOCK_ROWS, envelope=True)
-    bare = encode_rows(rows.where(~F.col("seasonType").eqNullSafe(F.lit("regular"))), ["season"],
-                       block_rows=FIXTURE_BLOCK_ROWS)
+    # regular-season documents in an envelope, the rest (and rows without a
+    # season, which an envelope cannot state) as bare arrays
+    in_env = F.col("seasonType").eqNullSafe(F.lit("regular")) & F.col("season").isNotNull()
+    env = encode_rows(rows.where(in_env), ["season"], block_rows=FIXTURE_BLOCK_ROWS, envelope=True)
+    bare = encode_rows(rows.where(~in_env), ["season"], block_rows=FIXTURE_BLOCK_ROWS)
     docs = env.select("doc").unionByName(bare.select("doc"))
     return _logos_str(unwrap_envelope(docs, CLEANSED).select(*CLEANSED_COLS))
 
@@ -240,8 +303,8 @@ def q_sample_rows(spark, sf):
 
 
 def q_season_week_label(spark, sf):
-    return _slice(spark, sf).select("season", "week", "school",
-                                    season_week_label().alias("seasonWeek"))
+    return fixtures.poll_rows(spark, sf).select(
+        "season", "week", "poll", "seasonType", "school", season_week_label().alias("seasonWeek"))
 
 
 def q_default_color(spark, sf):
@@ -255,18 +318,19 @@ def q_default_logos(spark, sf):
 
 
 def q_visual_rank(spark, sf):
-    return visual_rank(_slice(spark, sf)).select(
-        "season", "week", "school", "rank", "visualRank", "seasonWeek")
+    return visual_rank(_cleansed(spark, sf), EVERY_POLL).select(
+        "season", "week", "poll", "seasonType", "school", "rank", "visualRank", "seasonWeek")
 
 
 def q_tie_groups(spark, sf):
-    return tie_groups(_slice(spark, sf))
+    return tie_groups(_cleansed(spark, sf), EVERY_POLL)
 
 
 def q_week_groups(spark, sf):
-    ranked = visual_rank(_slice(spark, sf), keep_position=True)
-    g = week_groups(ranked)
-    return g.select("week", "season", "seasonWeek", F.size("ranks").alias("n_ranks"),
+    ranked = visual_rank(_cleansed(spark, sf), EVERY_POLL, keep_position=True)
+    g = week_groups(ranked, also_by=("poll", "seasonType"))
+    return g.select("week", "season", "poll", "seasonType", "seasonWeek",
+                    F.size("ranks").alias("n_ranks"),
                     F.array_join(F.transform("ranks", lambda r: r["school"]), ",").alias("schools"))
 
 
@@ -340,7 +404,7 @@ def q_movers(spark, sf):
 
 def q_delta_label(spark, sf):
     rows = _traj(spark, sf)
-    d = rows.join(first_ranks(rows), on="school", how="inner").select(
+    d = with_first_rank(rows, first_ranks(rows)).select(
         "school", "weekIndex",
         (F.coalesce(F.col("rank"), F.lit(0)) - F.col("firstRank")).cast("int").alias("delta"))
     return d.withColumn("deltaLabel", delta_label("delta"))
@@ -396,14 +460,15 @@ def q_build_cleansed_stream(spark, sf):
     trigger), then read back as the newest snapshot per season."""
     from rankflow.streaming.ingest import start_cleansed_stream
 
-    raw, _ = _land_rankings(spark, sf)
+    raw = _land_rankings(spark, sf)
     out = shared_dir(spark, "cleansed_stream")
-    ckpt = shared_dir(spark, "stream_checkpoint")
-    query = start_cleansed_stream(spark, raw, fixtures.teams(spark, sf), out, ckpt)
+    query = start_cleansed_stream(spark, raw, out, shared_dir(spark, "stream_checkpoint"))
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return _logos_str(read_cleansed(spark, out, committed_only=True).select(*CLEANSED_COLS))
+    return _logos_str(read_cleansed(spark, out).select(*CLEANSED_COLS))
 
 
 QUERIES["build_cleansed_stream"] = q_build_cleansed_stream
+QUERIES["bad_documents"] = q_bad_documents
+QUERIES["latest_poll_columnar"] = q_latest_poll_columnar

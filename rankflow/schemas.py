@@ -1,4 +1,7 @@
-"""Declared schemas. Every JSON read uses one of these; nothing is inferred."""
+"""Declared schemas. Every JSON read uses one of these; nothing is inferred.
+
+The field names are fixed values: they are the wire names of the documents.
+"""
 
 from pyspark.sql import types as T
 
@@ -41,12 +44,8 @@ TEAM = T.StructType([
 HEADER_COLS = ["season", "seasonType", "week"]
 FLAT_COLS = ["season", "seasonType", "week", "poll", "school", "rank",
              "conference", "firstPlaceVotes", "points"]
-FLAT = T.StructType([
-    *[f for f in SEASON.fields if f.name in HEADER_COLS],
-    T.StructField("poll", T.StringType()),
-    *RANK.fields,
-])
-FLAT = T.StructType(sorted(FLAT.fields, key=lambda f: FLAT_COLS.index(f.name)))
+_FIELDS = {f.name: f for f in [*SEASON.fields, *POLL.fields, *RANK.fields]}
+FLAT = T.StructType([_FIELDS[c] for c in FLAT_COLS])
 
 # Left join on school: left columns first, then every team column except the
 # key; a clashing name gets the "_right" suffix.

@@ -42,8 +42,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The setting is read from the session; only when it is unset (a local test
-    run) do we fall back to a folder under the system temp dir.
+    The setting is read from the session; where it is unset, a folder of the
+    session's warehouse, which is shared as well.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     leaf = "/".join(p.strip("/") for p in parts if p) or "scratch"
@@ -51,20 +51,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder: the session's ``spark.checkpoint.dir``.
-    Only a local-mode session (tests) may fall back to a local temp folder;
-    on a cluster an unset setting is an error, since a machine-local folder
-    is not visible to other executors."""
+    """The reliable checkpoint folder: the session's ``spark.checkpoint.dir``,
+    or, where that is unset, a folder under ``spark.sql.warehouse.dir``."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="rankflow-ckpt-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(base)
     return base
 
@@ -81,20 +75,6 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows, so the check itself stays bounded.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise leave the join
-    strategy to the planner (sort-merge, or AQE's runtime broadcast)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None) -> DataFrame:
     """A shared table. With ``schema`` (the needed columns only) no footer
     is read to infer one, and the scan is pruned to those columns."""

@@ -4,7 +4,7 @@ from rankflow.sources.columnar import (  # noqa: F401
     decode_columnar, decode_snapshot, encode_columnar, encode_rows,
 )
 from rankflow.sources.readers import (  # noqa: F401
-    land_raw, land_raw_files, read_documents, read_rankings, read_teams, stamp_now,
+    bad_documents, good_documents, land_raw, land_raw_files, parse_documents, read_documents, read_rankings, read_teams, stamp_now,
     unwrap_envelope,
 )
 from rankflow.sources.snapshots import (  # noqa: F401

@@ -90,34 +90,64 @@ def _typed(values: Column, dt: T.DataType) -> Column:
     if isinstance(dt, (T.ArrayType, T.StructType, T.MapType)):
         return F.transform(values, lambda v: F.from_json(v, dt))
     # try_cast: a malformed value becomes null instead of failing the job (ANSI)
+    if isinstance(dt, T.IntegralType):
+        def whole(v: Column) -> Column:  # JSON writes the number 5 as 5.0 as well
+            number = v.try_cast("decimal(38,18)")
+            return F.coalesce(v.try_cast(dt), F.when(number == F.floor(number),
+                                                     F.floor(number).try_cast(dt)))
+        return F.transform(values, whole)
     return F.transform(values, lambda v: v.try_cast(dt))
 
 
 def decode_columnar(docs: DataFrame, schema: T.StructType, doc: str = "doc",
-                    keep: Sequence[str] = ()) -> DataFrame:
+                    keep: Sequence[str] = (), undeclared: str | None = None) -> DataFrame:
     """Rows of columnar documents. Row count of a document is its longest
     column; shorter or missing columns are padded with null; a name given
-    twice keeps the last. Documents without ``columns`` yield no rows (see
-    :func:`decode_snapshot` for the row-oriented pass-through)."""
+    twice keeps the last. With ``undeclared`` (a column name) the columns that
+    the schema lacks are kept, as a map of name to text. Documents without
+    ``columns`` yield no rows (see :func:`decode_snapshot` for the others)."""
     parsed = docs.select(*keep, F.from_json(F.col(doc), _DOC_T)["columns"].alias("_cols"))
     arrays = []
     for f in schema.fields:
         hit = F.try_element_at(F.filter("_cols", _named(f.name)), F.lit(-1))
         vals = F.coalesce(hit["values"], F.array().cast("array<string>"))
         arrays.append(_typed(vals, f.dataType).alias(f.name))
+    if undeclared:
+        names = [f.name for f in schema.fields]
+        other = F.filter("_cols", lambda c: ~c["name"].isin(names))
+        longest = F.array_max(F.transform("_cols", lambda c: F.size(c["values"])))
+        last = lambda i: F.aggregate(  # noqa: E731  a name given twice keeps the last
+            other, F.create_map().cast("map<string,string>"),
+            lambda m, c: F.map_concat(F.map_filter(m, lambda k, _: k != c["name"]),
+                                      F.create_map(c["name"], F.get(c["values"], i))))
+        extra = F.when(longest > 0, F.transform(
+            F.sequence(F.lit(0), F.greatest(longest - 1, F.lit(0))), last)).otherwise(
+            F.array().cast("array<map<string,string>>"))
+        arrays.append(extra.alias(undeclared))
     zipped = F.arrays_zip(*arrays)
     return parsed.where(F.col("_cols").isNotNull()).select(*keep, F.inline(zipped))
 
 
 def decode_snapshot(docs: DataFrame, schema: T.StructType, doc: str = "doc",
-                    keep: Sequence[str] = ()) -> DataFrame:
-    """Dispatch on shape: columnar documents are decoded, a row-oriented
-    document (array of row objects) is passed through."""
+                    keep: Sequence[str] = (), on_bad: str = "raise") -> DataFrame:
+    """Dispatch on shape: columnar documents are decoded; an array of row
+    objects, bare or in an envelope's ``data``, is passed through. Anything
+    else fails the job with the start of the document (``on_bad="raise"``) or
+    is left out (``"skip"``)."""
+    if on_bad not in ("raise", "skip"):
+        raise ValueError("on_bad must be 'raise' or 'skip'")
     text = F.trim(F.col(doc))
+    rows_t = T.ArrayType(schema)
     is_col = text.startswith("{") & F.get_json_object(text, "$.columns").isNotNull()
     columnar = decode_columnar(docs.where(is_col), schema, doc, keep)
-    rows = docs.where(~is_col & text.startswith("[")).select(
-        *keep, F.inline(F.from_json(F.col(doc), T.ArrayType(schema))))
+    bare = F.from_json(F.when(text.startswith("["), text), rows_t)
+    inner = F.from_json(F.when(text.startswith("{"), F.get_json_object(text, "$.data")), rows_t)
+    found = F.coalesce(bare, inner)
+    if on_bad == "raise":
+        message = F.concat(F.lit("neither columns nor rows in document: "),
+                           F.substring(F.coalesce(text, F.lit("null")), 1, 80))
+        found = F.coalesce(found, F.raise_error(message).cast(rows_t))
+    rows = docs.where(~F.coalesce(is_col, F.lit(False))).select(*keep, F.inline(found))
     return columnar.unionByName(rows)
 
 

@@ -1,5 +1,5 @@
 """Structured Streaming: the incremental cleansed build."""
 
 from rankflow.streaming.ingest import (  # noqa: F401
-    cleansed_stream, raw_rankings_stream, start_cleansed_stream,
+    build_snapshots, committed_rankings, start_cleansed_stream,
 )

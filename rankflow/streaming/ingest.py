@@ -1,13 +1,12 @@
 """Incremental cleansed build with Structured Streaming.
 
-The batch pipeline re-reads the newest snapshot of every season on each run.
-As a stream, every raw rankings snapshot folder that lands is processed once:
-flattened, stamped with the season and snapshot of its folder, left-joined to
-the (static) team table and appended to the cleansed store under
-``season=Y/snapshot=S`` by the file sink, whose commit log makes the output
-exactly-once across restarts and lost executors. Readers use
-:func:`rankflow.plans.cleansed.read_cleansed` with ``committed_only=True``,
-which picks the newest committed snapshot per season. There is no aggregation, so no state and no watermark.
+The stream reads the raw store's manifest: a rankings snapshot arrives as one
+row, appended after its data is complete. Each new snapshot is therefore built
+whole, whatever number of files it has, joined to the teams snapshot that is
+newest when its batch runs, and committed to the cleansed store's manifest
+under its own stamp. A batch that is repeated after a failure replaces the
+folders it has written before. There is no aggregation, so no state and no
+watermark; readers are those of the batch store.
 """
 
 from __future__ import annotations
@@ -18,45 +17,52 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rankflow.operators.flatten import flatten_rankings
 from rankflow.operators.merge import merge_teams
-from rankflow.plans.cleansed import RANKINGS
-from rankflow.schemas import CLEANSED_COLS, SEASON
+from rankflow.operators.seasons import stamp_season
+from rankflow.plans.cleansed import (
+    PARQUET, RANKINGS, TEAMS, read_newest, read_snapshots, write_cleansed,
+)
+from rankflow.plans.manifest import MANIFEST, manifest_path
+from rankflow.schemas import CLEANSED_COLS, SEASON, TEAM
 
 
-def raw_rankings_stream(spark: SparkSession, raw_root: str,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of landed rankings (``rankings/season=Y/snapshot=S/*``)
-    with the folder's season and snapshot as columns."""
-    reader = spark.readStream.schema(SEASON)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(f"{raw_root.rstrip('/')}/{RANKINGS}/season=*/snapshot=*")
-    path = F.col("_metadata.file_path")
-    season = F.regexp_extract(path, r"/season=(-?[0-9]+)/", 1)
-    return (raw.withColumn("season", F.coalesce(F.when(season != "", season.cast("int")),
-                                                F.col("season")))
-            .withColumn("snapshot", F.regexp_extract(path, r"/snapshot=([^/]+)/", 1)))
+def committed_rankings(spark: SparkSession, raw_root: str,
+                       max_commits_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the raw store's committed rankings snapshots."""
+    reader = spark.readStream.schema(MANIFEST)
+    if max_commits_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_commits_per_trigger)
+    return reader.json(manifest_path(raw_root)).where(F.col("dataset") == RANKINGS)
 
 
-def cleansed_stream(docs: DataFrame, teams: DataFrame) -> DataFrame:
-    """Stream of cleansed rows (+ ``snapshot``): stream-static left join."""
-    rows = flatten_rankings(docs, keep=["snapshot"])
-    return merge_teams(rows, teams, on="school").select(*CLEANSED_COLS, "snapshot")
+def build_snapshots(spark: SparkSession, raw_root: str, out_root: str, commits: DataFrame,
+                    fmt: str = PARQUET) -> None:
+    """Build each committed (season, snapshot) of a batch and commit it."""
+    rows = commits.drop("committed").distinct().collect()  # manifest rows
+    teams = read_newest(spark, raw_root, TEAMS, TEAM, per_season=False).drop("_path_season")
+    for stamp in sorted({r.snapshot for r in rows}):
+        own = [r for r in rows if r.snapshot == stamp]
+        docs = read_snapshots(spark, raw_root, SEASON, own)
+        flat = flatten_rankings(stamp_season(docs, F.coalesce("_path_season", "season")))
+        seasons = spark.createDataFrame([(r.season,) for r in own], "season int").distinct()
+        write_cleansed(merge_teams(flat, teams).select(*CLEANSED_COLS), out_root, stamp, fmt,
+                       seasons=seasons, replace=True)
 
 
-def start_cleansed_stream(spark: SparkSession, raw_root: str, teams: DataFrame, out_root: str,
+def start_cleansed_stream(spark: SparkSession, raw_root: str, out_root: str,
                           checkpoint_location: str, available_now: bool = True,
                           processing_time: str | None = None,
-                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+                          max_commits_per_trigger: int | None = None,
+                          fmt: str = PARQUET) -> StreamingQuery:
     """Start the incremental build. ``available_now`` processes everything
-    landed so far in bounded batches (``max_files_per_trigger`` files each)
-    and stops (a scheduled run); otherwise it keeps running with
-    ``processing_time`` triggers."""
-    out = cleansed_stream(raw_rankings_stream(spark, raw_root, max_files_per_trigger), teams)
-    writer = (out.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint_location)
-              .partitionBy("season", "snapshot"))
+    committed so far in bounded batches and stops (a scheduled run); otherwise
+    it keeps running with ``processing_time`` triggers."""
+    def batch(commits: DataFrame, _: int) -> None:
+        build_snapshots(commits.sparkSession, raw_root, out_root, commits, fmt)
+
+    writer = (committed_rankings(spark, raw_root, max_commits_per_trigger)
+              .writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_location))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start(out_root)
+    return writer.start()

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,3 +144,25 @@ def test_row_documents_write_nulls_explicitly(spark):
     assert doc == [{"a": 1, "b": None, "tags": None, "season": 2024}]
     env = json.loads(encode_rows(src, ["season"], envelope=True).first().doc)
     assert env == {"season": 2024, "data": doc}
+
+
+def test_numbers_undeclared_columns_and_shapes(spark):
+    from pyspark.sql import types as T
+
+    from rankflow.sources.columnar import decode_columnar, decode_snapshot
+
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    doc = ('{"columns":[{"name":"a","values":[5.0,"6",7.5]},{"name":"x","values":[1,2]},'
+           '{"name":"x","values":["last"]},{"name":"b","values":["p"]}]}')
+    docs = spark.createDataFrame([(doc,)], "doc string")
+    rows = decode_columnar(docs, schema, undeclared="other").collect()
+    assert [(r.a, r.b, r.other) for r in rows] == [
+        (5, "p", {"x": "last"}), (6, None, {"x": None}), (None, None, {"x": None})]
+    mixed = spark.createDataFrame([(doc,), ('[{"a":1}]',), ('{"season":2024,"data":[{"a":2}]}',)],
+                                  "doc string")
+    assert sorted(str(r.a) for r in decode_snapshot(mixed, schema).collect()) == [
+        "1", "2", "5", "6", "None"]
+    bad = spark.createDataFrame([("garbage",), ('{"else":1}',), ('[{"a":1}]',)], "doc string")
+    with pytest.raises(Exception, match="neither columns nor rows"):
+        decode_snapshot(bad, schema).collect()
+    assert [r.a for r in decode_snapshot(bad, schema, on_bad="skip").collect()] == [1]

@@ -31,7 +31,7 @@ def test_week_index_and_season_boundary(spark):
 
 
 def test_series_order_week_parity_and_time(spark):
-    traj = trajectories(_two_seasons(spark), checkpoint=False)
+    traj = trajectories(_two_seasons(spark))
     parity = team_series(traj).where("school = 'A'").first()
     assert [p.seasonWeek for p in parity.ranks] == ["2023/1", "2024/1", "2023/2", "2024/2"]
     assert parity.color == "#ccc"  # colour of the first point after the sort (null -> #ccc)
@@ -40,7 +40,7 @@ def test_series_order_week_parity_and_time(spark):
 
 
 def test_default_color_in_chart_rows(spark):
-    traj = trajectories(_two_seasons(spark), checkpoint=False)
+    traj = trajectories(_two_seasons(spark))
     got = {(r.seasonWeek, r.school): r.color for r in traj.collect()}
     assert got[("2023/1", "A")] == "#ccc" and got[("2023/2", "A")] == "#ccc"
     assert got[("2024/1", "A")] == "#0a0"
@@ -51,7 +51,7 @@ def test_deltas_and_labels(spark):
                          (2024, 1, "H", 2, None, None), (2024, 2, "R", 3, None, None),
                          (2024, 2, "F", 4, None, None), (2024, 2, "H", 2, None, None)])
     got = {r.school: (r.delta, r.deltaLabel, r.deltaTitle) for r in
-           movers(trajectories(rows, checkpoint=False)).collect()}
+           movers(trajectories(rows)).collect()}
     assert got["R"] == (-2, "2 🔼", "R rose 2 places since entering the AP Top 25 poll")
     assert got["F"] == (1, "1 🔽", "F fell 1 place since entering the AP Top 25 poll")
     assert got["H"] == (0, "0 ➖", "H held steady since entering the AP Top 25 poll")
@@ -81,6 +81,40 @@ def test_axis_bounds_on_data(spark):
 def test_minimal_rows_without_team_columns(spark):
     rows = spark.createDataFrame([(2024, 1, "A", 1), (2024, 2, "A", 2)],
                                  "season int, week int, school string, rank int")
-    traj = trajectories(rows, checkpoint=False).collect()
+    traj = trajectories(rows).collect()
     assert {(r.seasonWeek, r.color, tuple(r.logos), r.isTop) for r in traj} == {
         ("2024/1", "#ccc", (), True), ("2024/2", "#ccc", (), True)}
+
+
+def test_null_school_and_week_stay_in_the_chart(spark):
+    rows = spark.createDataFrame(
+        [(2024, 1, "A", 1), (2024, 1, None, 2), (2024, None, "A", 3), (2024, 2, None, 1),
+         (2024, 2, "A", 2), (None, 1, "B", 1)], "season int, week int, school string, rank int")
+    traj = trajectories(rows)
+    assert traj.count() == 6
+    assert {(r.school, r.delta) for r in movers(traj).collect()} == {("A", -1), (None, -1)}
+    assert {r.school for r in traj.where("isTop").select("school").collect()} == {"A", None}
+
+
+def test_facts_are_scanned_once(spark, sf_small):
+    """One pass over orders for the ranks, and no job before the plan runs."""
+    from rankflow.operators.ranks import visual_rank
+    from rankflow.plans.queries import _cleansed
+
+    spark.catalog.clearCache()  # other tests cache the same rows
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    ranked = visual_rank(_cleansed(spark, sf_small))
+    trajectories(ranked.select("season", "week", "school", "rank", "color", "logos"))
+    assert list(tracker.getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = ranked._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet [o_custkey") == 1
+
+
+def test_rows_are_written_only_to_a_given_path(spark, tmp_path):
+    rows = spark.createDataFrame([(2024, 1, "A", 1)],
+                                 "season int, week int, school string, rank int")
+    path = str(tmp_path / "ranked")
+    assert trajectories(rows, path=path).count() == 1
+    assert spark.read.parquet(path).count() == 1
