@@ -38,6 +38,7 @@ LEAST_ROWS = 5
 NEIGHBOURS = 25
 BLOCK = 64
 SHRINK = 0.5
+CLEAN_PRIOR = 10  # clean examples assumed besides, so that a few labels reject nobody
 FOLDS = 5
 
 EDGES = bytes(b for b in range(128) if not chr(b).isalpha())
@@ -301,11 +302,7 @@ def _add_examples(model: ToxicityModel, chosen: DataFrame) -> None:
         groups.setdefault((tuple(r.term), tuple(r.n)), ([], []))[r.toxic != 1].append(r.doc_id)
     bare = groups.pop(((), ()), ([], []))
     yes, no = (len(x) * w for x, w in zip(bare, model.class_weight, strict=True))
-    if yes + no:
-        model.prior = yes / (yes + no)
-    else:
-        all_ = [sum(len(g[i]) for g in groups.values()) * model.class_weight[i] for i in (0, 1)]
-        model.prior = all_[0] / sum(all_) if sum(all_) else 0.0
+    model.prior = yes / (yes + no + CLEAN_PRIOR)
     entries = sorted(groups.items())
     for (ids, counts), _ in entries:
         v = model.vector(dict(zip(ids, counts, strict=True)))
