@@ -118,24 +118,29 @@ def near_pairs(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFram
     return rows.select("doc_id", "set_id"), pairs
 
 
+#: A document's key without nulls: whether it has a doc_id, the doc_id or 0, a
+#: hash of its text. Ascending, documents without a doc_id come first.
+KEY = ["known", "id", "part"]
+
+
 def successors(keys: DataFrame) -> DataFrame:
-    """``keys`` (doc_id, part, n, copies; unique by the first two) with
-    ``next``, a struct of the following key in ascending order; after the last
-    the first. Ranges are sorted side by side; only each range's first key, one
-    row a partition, is put in one order."""
+    """``keys`` (KEY, n, copies; unique by KEY) with ``next``, a struct of the
+    following key and its n in ascending order; after the last the first.
+    Ranges are sorted side by side; only each range's first key, one row a
+    partition, is put in one order."""
     spark = keys.sparkSession
-    key = F.struct("doc_id", "part", "n")
+    item = F.struct(*KEY, "n")
     ranged = materialize(
-        keys.repartitionByRange(partitions(spark), "doc_id", "part")
+        keys.repartitionByRange(partitions(spark), *KEY)
         .withColumn("range", F.spark_partition_id()), "spotsigs_ranges")
-    firsts = ranged.groupBy("range").agg(F.min(key).alias("first"))
+    firsts = ranged.groupBy("range").agg(F.min(item).alias("first"))
     along = Window.orderBy("range")
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = firsts.select("range", F.coalesce(
         F.lead("first").over(along), F.first("first").over(whole)).alias("beyond"))
-    inside = F.lead(key).over(Window.partitionBy("range").orderBy("doc_id", "part"))
+    inside = F.lead(item).over(Window.partitionBy("range").orderBy(*KEY))
     return (ranged.withColumn("inside", inside).join(firsts, "range")
-            .select("doc_id", "part", "n", "copies", F.coalesce("inside", "beyond").alias("next")))
+            .select(*KEY, "n", "copies", F.coalesce("inside", "beyond").alias("next")))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -149,29 +154,27 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     hash of the text decides, and rows that repeat doc_id and text all come
     back with the next other one. No rows give none; other columns are ignored.
     """
-    part = F.xxhash64("text")
-    rows = id_text(docs).withColumn("part", part)
-    keys = (rows.select("doc_id", "part", F.char_length("text").alias("n"))
-            .groupBy("doc_id", "part", "n").agg(F.count(F.lit(1)).alias("copies")))
+    # every join below is by the whole key, so that the texts are shuffled once
+    rows = id_text(docs).select(
+        F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.xxhash64("text").alias("part"), "text")
+    keys = (rows.select(*KEY, F.char_length("text").alias("n"))
+            .groupBy(*KEY, "n").agg(F.count(F.lit(1)).alias("copies")))
     order = materialize(successors(keys), "spotsigs_order")
-    texts = rows.dropDuplicates(["doc_id", "part"])
+    texts = rows.dropDuplicates(KEY)
     half = lambda n: F.floor(n / 2).cast("int")
-    same = lambda a, b, c, d: a.eqNullSafe(b) & (c == d)
 
     # as the next of another: what that one needs of this text
-    wanted = order.select(F.col("next.doc_id").alias("id"), F.col("next.part").alias("p"),
-                          F.col("doc_id").alias("to_id"), F.col("part").alias("to_part"),
-                          half(F.col("n")).alias("need"))
-    given = texts.join(wanted, same(F.col("doc_id"), F.col("id"), F.col("part"), F.col("p"))).select(
-        "to_id", "to_part", F.substring("text", F.lit(1), F.col("need")).alias("head"),
+    wanted = order.select(*[F.col(f"next.{k}").alias(k) for k in KEY],
+                          F.struct(*KEY).alias("to"), half(F.col("n")).alias("need"))
+    given = texts.join(wanted, KEY).select(
+        "to.*", F.substring("text", F.lit(1), F.col("need")).alias("head"),
         signatures(F.col("text")).alias("next_sigs"))
-    own = texts.join(
-        order.select(F.col("doc_id").alias("id"), F.col("part").alias("p"), "n", "copies"),
-        same(F.col("doc_id"), F.col("id"), F.col("part"), F.col("p")))
+    own = texts.join(order.select(*KEY, "n", "copies"), KEY)
     edited = F.concat(F.substring("text", F.lit(1), F.col("n") - half(F.col("n"))), F.col("head"))
     return (
-        own.join(given, same(F.col("doc_id"), F.col("to_id"), F.col("part"), F.col("to_part")))
-        .select("doc_id", "n", "copies", "next_sigs", signatures(F.col("text")).alias("sigs"),
+        own.join(given, KEY)
+        .select(F.when(F.col("known"), F.col("id")).alias("doc_id"), "n", "copies", "next_sigs", signatures(F.col("text")).alias("sigs"),
                 edited.alias("edited"))
         .select("*", signatures(F.col("edited")).alias("edited_sigs"))
         .select(
