@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankflow.llm import bpe_codec, secret_scan, toxicity
+from rankflow.llm import bpe_codec, license_scan, secret_scan, toxicity
 from rankflow.llm.common import documents, tokenizer_path
 from rankflow.llm.exact_dedup import exact_duplicates
 from rankflow.llm.lm_scoring import score_documents
@@ -31,6 +31,10 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(documents(spark, sf_dir))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(documents(spark, sf_dir), tokenizer_path(WORD_BPE))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_spotsigs": op3_spotsigs,
+    "op4_license_scan": op4_license_scan,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_toxicity": op7_toxicity,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL = {
+    "op4_license_scan": license_scan.oracle_sql(),
     "op8_exact_dedup": """
 with t as (
   select doc_id,
