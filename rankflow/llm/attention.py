@@ -1,8 +1,10 @@
 """A small causal self-attention model over subword ids, in numpy.
 
-It predicts the class of the next id: frequent ids are classes of their own,
-the others are clustered by what stands before and after them. An id's share of
-its class is a count, see ``lm_scoring``.
+It predicts the class of the next id: the most frequent ids are classes of
+their own, the others are clustered by what stands before and after them. An
+id's share of its class, given the context class of the id before (more ids are
+of their own there, as that costs a look-up only), is a count, see
+``lm_scoring``.
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SINGLES, CLUSTERS = 64, 63
+SINGLES, CLUSTERS = 32, 31
 CLASSES = SINGLES + CLUSTERS + 1  # the last one for ids that the sample lacks
+CONTEXT_IDS = 192  # ids that are a context class of their own
+CONTEXTS = CONTEXT_IDS + CLASSES
 INPUTS = 1024  # frequent ids with an embedding of their own; others share their class's
 DIM, HIDDEN = 24, 48
 HALF = 32  # positions scored in a window; as many more are context only
@@ -49,15 +53,21 @@ class AttentionModel:
     params: dict[str, np.ndarray]
     class_of: np.ndarray  # of each id
     input_of: np.ndarray  # row of the embedding table of each id
+    context_of: np.ndarray  # context class of each id
 
     @classmethod
     def new(cls, counts: np.ndarray, class_of: np.ndarray, seed: int = 0) -> AttentionModel:
         rng = np.random.default_rng(seed)
         draw = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
-        input_of = INPUTS + class_of
-        top = np.argsort(-counts, kind="stable")[:INPUTS]
-        top = top[counts[top] > 0]
-        input_of[top] = np.arange(len(top))
+        order = np.argsort(-counts, kind="stable")
+        order = order[counts[order] > 0]
+
+        def own_first(n: int) -> np.ndarray:
+            out = n + class_of
+            out[order[:n]] = np.arange(len(order[:n]))
+            return out
+
+        input_of, context_of = own_first(INPUTS), own_first(CONTEXT_IDS)
         share = np.bincount(class_of, weights=counts, minlength=CLASSES) + 1
         return cls({
             "E": (0.3 * rng.standard_normal((INPUTS + CLASSES, DIM))).astype(np.float32),
@@ -66,7 +76,7 @@ class AttentionModel:
             "U": draw(HIDDEN, CLASSES) * np.float32(0.5),
             "u": np.log(share / share.sum()).astype(np.float32),
             "D": np.linspace(0, -2, SPAN).astype(np.float32),  # by distance
-        }, class_of, input_of)
+        }, class_of, input_of, context_of)
 
     def _attend(self, x: np.ndarray, keys: np.ndarray, values: np.ndarray, first: int,
                 hide: np.ndarray | None = None) -> tuple[np.ndarray, ...]:

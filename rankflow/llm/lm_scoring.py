@@ -5,10 +5,11 @@
    the attention model (``attention``) is trained on, in numpy on the driver.
 2. Every document is turned into ids once and written as a table, together with
    what the whole training part is counted for: common words, and each id by
-   the class of the id before it. The other words are counted by a shuffle.
+   the context class of the id before it. The other words are counted by a shuffle.
 3. The ids are scored in overlapping windows, each id once. The probability of
    an id is its class's by the attention model, times its share of the class
-   after the class before it, by the counts of the whole training part.
+   after the id before it (its context class), by the counts of the whole
+   training part.
 
 The base score needs each word's count. The sample's common words, a bounded
 list, are looked up; the others, rare by that, are joined.
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.llm import attention
-from rankflow.llm.attention import CLASSES, SPAN, AttentionModel
+from rankflow.llm.attention import CLASSES, CONTEXTS, SPAN, AttentionModel
 from rankflow.llm.common import FileBytes, id_text, map_rows, on_workers, raw_texts
 from rankflow.llm.packing import encoder
 from rankflow.session import shared_dir
@@ -37,6 +38,7 @@ SAMPLE_ROWS = 6000
 COMMON = 1 << 17
 WINDOWS = 40_000
 STEPS = 400
+SLICE = 1000  # rows that a worker turns into ids at a time
 IDS = 1 << 16  # ids are stored in two bytes
 START, END = 49406, 49407
 MIX = 5.0  # counts' weight of a share that ignores the class before
@@ -129,27 +131,30 @@ TOKENS = ("row long, doc_id long, held boolean, n_tokens long, ids binary, commo
 def tokenize(docs: DataFrame, vocabulary: FileBytes, sampled: Sampled) -> DataFrame:
     """The token table, written to the shared folder: a row of kind 0 for each
     document; kinds 1 and 2 are each partition's counts of common words and of
-    ids by class before, of training rows only."""
+    ids by context class before, of training rows only."""
     spark = docs.sparkSession
     on_workers(spark)
-    sent = spark.sparkContext.broadcast((sampled.common, sampled.model.class_of.astype(np.uint8)))
+    sent = spark.sparkContext.broadcast((sampled.common, sampled.model.context_of.astype(np.uint8)))
 
     def run(batches):
         encode = encoder(vocabulary.value).encode
-        common, class_of = sent.value
+        common, context_of = sent.value
         number = {w: i for i, w in enumerate(common)}.get
         n_common = np.zeros(len(common), np.int64)
-        n_pairs = np.zeros(CLASSES * IDS, np.int32)
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []  # keys and counts
         pending: list[np.ndarray] = []
         waiting = 0
 
         def settle() -> None:
             if pending:
-                np.add(n_pairs, np.bincount(np.concatenate(pending), minlength=len(n_pairs)),
-                       out=n_pairs, casting="unsafe")
+                pairs.append(np.unique(np.concatenate(pending), return_counts=True))
                 pending.clear()
+            if len(pairs) > 1:
+                keys, at = np.unique(np.concatenate([k for k, _ in pairs]), return_inverse=True)
+                n = np.bincount(at, weights=np.concatenate([c for _, c in pairs]))
+                pairs[:] = [(keys, n.astype(np.int64))]
 
-        for batch in batches:
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             held = batch.column(3).to_pylist()
             n_tokens, ids_of, common_of, words_of, n_of, ends = [], [], [], [], [], [0]
             for raw, out in zip(raw_texts(batch), held, strict=True):
@@ -169,9 +174,9 @@ def tokenize(docs: DataFrame, vocabulary: FileBytes, sampled: Sampled) -> DataFr
                 if not out:
                     n_common += np.bincount(known, minlength=len(n_common))
                     seq = np.concatenate([[START], ids, [END]]).astype(np.int64)
-                    pending.append(class_of[seq[:-1]].astype(np.int64) * IDS + seq[1:])
+                    pending.append(context_of[seq[:-1]].astype(np.int64) * IDS + seq[1:])
                     waiting += len(seq)
-                    if waiting > 2_000_000:
+                    if waiting > 1_000_000:
                         settle()
                         waiting = 0
             rare = pa.ListArray.from_arrays(
@@ -181,10 +186,10 @@ def tokenize(docs: DataFrame, vocabulary: FileBytes, sampled: Sampled) -> DataFr
                          held=batch.column(3), n_tokens=n_tokens, ids=ids_of,
                          common=common_of, rare=rare, kind=[0] * len(held))
         settle()
-        for kind, counts in ((1, n_common), (2, n_pairs)):
-            keys = np.flatnonzero(counts)
+        used = np.flatnonzero(n_common)
+        for kind, (keys, counts) in [(1, (used, n_common[used])), *[(2, p) for p in pairs]]:
             if len(keys):
-                yield _batch(len(keys), kind=[kind] * len(keys), key=keys, n=counts[keys])
+                yield _batch(len(keys), kind=[kind] * len(keys), key=keys, n=counts)
 
     path = shared_dir(spark, "lm_tokens")
     rows = id_text(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text",
@@ -209,12 +214,13 @@ def _batch(rows: int, **columns) -> pa.RecordBatch:
 
 
 def _shares(class_of: np.ndarray, counted: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Log share of its class that an id has after a class: rows are classes, a
-    column for each counted id and a last one for all others; column of each id."""
+    """Log share of its class that an id has after a context class: rows are
+    those, a column for each counted id and a last one for all others; column of
+    each id."""
     keys = counted.column("key").to_numpy()
     before, ids = keys // IDS, keys % IDS
     seen, at = np.unique(ids, return_inverse=True)
-    table = np.zeros((CLASSES, len(seen) + 1))
+    table = np.zeros((CONTEXTS, len(seen) + 1))
     table[before, at] = counted.column("n").to_numpy()
     column = np.full(IDS, len(seen))
     column[seen] = np.arange(len(seen))
@@ -223,7 +229,7 @@ def _shares(class_of: np.ndarray, counted: pa.Table) -> tuple[np.ndarray, np.nda
     size = np.bincount(class_of, minlength=CLASSES)
     plain = (total + 0.1) / (np.bincount(kind, weights=total, minlength=CLASSES)
                              + 0.1 * size)[kind]
-    by_class = np.zeros((CLASSES, CLASSES))
+    by_class = np.zeros((CONTEXTS, CLASSES))
     for k in range(CLASSES):
         by_class[:, k] = table[:, kind == k].sum(axis=1)
     return (np.log((table + MIX * plain) / (by_class[:, kind] + MIX)).astype(np.float32), column)
@@ -270,7 +276,7 @@ def _text_scores(rows: list[np.ndarray], model: AttentionModel, shares: np.ndarr
     """log10 probability of each sequence after its first id."""
     out = []
     for seq, logs in zip(rows, model.log_probs(rows), strict=True):
-        own = shares[model.class_of[seq[:-1]], column[seq[1:]]]
+        own = shares[model.context_of[seq[:-1]], column[seq[1:]]]
         out.append((float(logs.sum(dtype=np.float64)) + float(own.sum(dtype=np.float64)))
                    / math.log(10))
     return out
@@ -291,7 +297,7 @@ def score_documents(docs: DataFrame, path: str, sample_rows: int = SAMPLE_ROWS,
     vocabulary = FileBytes(spark, path)
     sampled = fit(sample_documents(docs, sample_rows), vocabulary, common, steps=steps)
     tokens = tokenize(docs, vocabulary, sampled)
-    counted = (tokens.filter("kind > 0").groupBy("kind", "key")  # common + classes * ids rows
+    counted = (tokens.filter("kind > 0").groupBy("kind", "key")  # common + contexts * ids rows
                .agg(F.sum("n").alias("n")).toArrow())
     of = lambda k: counted.filter(pa.compute.equal(counted.column("kind"), k))
     n_common = np.zeros(len(sampled.common), np.int64)
