@@ -91,7 +91,8 @@ class AttentionModel:
         s += np.where(far >= 0, p["D"][np.clip(far, 0, SPAN - 1)], np.float32(-1e9))
         if hide is not None:
             s[hide, :, :first] = -1e9
-        a = np.exp(s)
+        with np.errstate(over="ignore"):  # caught below
+            a = np.exp(s)
         total = a.sum(axis=2, keepdims=True)
         if not np.isfinite(total).all() or (total == 0).any():
             a = np.exp(s - s.max(axis=2, keepdims=True))
@@ -206,7 +207,8 @@ class AttentionModel:
             *_, c = self._attend(x, both(k), both(v), HALF, opens[lo:hi])
             _, z = self._logits(x.reshape(-1, DIM), c.reshape(-1, DIM))
             want = z[np.arange(len(z)), target[lo * HALF:hi * HALF]]
-            sums = np.exp(z).sum(axis=1)
+            with np.errstate(over="ignore"):  # caught below
+                sums = np.exp(z).sum(axis=1)
             if not np.isfinite(sums).all() or (sums == 0).any():
                 high = z.max(axis=1)
                 sums, want = np.exp(z - high[:, None]).sum(axis=1), want - high

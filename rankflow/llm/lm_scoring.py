@@ -143,10 +143,14 @@ def tokenize(docs: DataFrame, vocabulary: FileBytes, sampled: Sampled) -> DataFr
         n_common = np.zeros(len(common), np.int64)
         pairs: list[tuple[np.ndarray, np.ndarray]] = []  # keys and counts
         pending: list[np.ndarray] = []
+        words_seen: list[np.ndarray] = []
         waiting = 0
 
         def settle() -> None:
+            nonlocal n_common
             if pending:
+                n_common += np.bincount(np.concatenate(words_seen), minlength=len(n_common))
+                words_seen.clear()
                 pairs.append(np.unique(np.concatenate(pending), return_counts=True))
                 pending.clear()
             if len(pairs) > 1:
@@ -172,9 +176,9 @@ def tokenize(docs: DataFrame, vocabulary: FileBytes, sampled: Sampled) -> DataFr
                 ids_of.append(ids.astype("<u2").tobytes())
                 common_of.append(known.tobytes())
                 if not out:
-                    n_common += np.bincount(known, minlength=len(n_common))
-                    seq = np.concatenate([[START], ids, [END]]).astype(np.int64)
-                    pending.append(context_of[seq[:-1]].astype(np.int64) * IDS + seq[1:])
+                    words_seen.append(known)
+                    seq = np.concatenate([[START], ids, [END]]).astype(np.int32)
+                    pending.append(context_of[seq[:-1]].astype(np.int32) * IDS + seq[1:])
                     waiting += len(seq)
                     if waiting > 1_000_000:
                         settle()
