@@ -63,6 +63,7 @@ class Vocabulary:
         self.ascii_words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\s]+")
         self.spaces = regex.compile(f"[{SPACE}]+")
         self.cut = regex.compile("|".join(map(regex.escape, self.special)))
+        self.merged = Remembered(lambda w: self.merge(w.encode()), 200_000)
 
     def pieces(self, text: str) -> list[str]:
         if text.isascii() and text.isprintable():
@@ -130,7 +131,7 @@ class Vocabulary:
 
     def encode_piece(self, text: str) -> list[int]:
         """Ids of a text without special strings."""
-        return [i for w in self.pieces(text) for i in self.merge(w.encode())]
+        return [i for w in self.pieces(text) for i in self.merged[w]]
 
     def encode(self, text: str) -> list[int]:
         out, at = [], 0
@@ -151,7 +152,7 @@ class Codec:
     def __init__(self, data: bytes):
         self.vocabulary = Vocabulary(data)
         self.marks = [s.lower().encode() for s in self.vocabulary.special]
-        self.known = Remembered(self._one)
+        self.known = Remembered(self._one, 300_000)
 
     def _one(self, chunk: bytes) -> tuple[bytes, bytes]:
         return self._both(self.vocabulary.encode_piece(chunk.decode()))
