@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 
 SINGLES, CLUSTERS = 32, 31
-CLASSES = SINGLES + CLUSTERS + 1  # the last one for ids that the sample lacks
+CLASSES = SINGLES + CLUSTERS + 1  # the last one for ids that the training rows lack
 CONTEXT_IDS = 192  # ids that are a context class of their own
 CONTEXTS = CONTEXT_IDS + CLASSES
 INPUTS = 1024  # frequent ids with an embedding of their own; others share their class's
@@ -48,6 +48,29 @@ def classes_of(counts: np.ndarray, before: np.ndarray, after: np.ndarray, seed:
     return out
 
 
+@dataclass
+class Adam:
+    """Moments of the gradients, by parameter, after ``n`` steps."""
+
+    m: dict[str, np.ndarray]
+    s: dict[str, np.ndarray]
+    n: int = 0
+
+    @classmethod
+    def new(cls, params: dict[str, np.ndarray]) -> Adam:
+        return cls(*({k: np.zeros_like(v) for k, v in params.items()} for _ in range(2)))
+
+    def update(self, params: dict[str, np.ndarray], grads: dict[str, np.ndarray],
+               rate: float) -> None:
+        self.n += 1
+        for k, d in grads.items():
+            self.m[k] = 0.9 * self.m[k] + 0.1 * d
+            self.s[k] = 0.99 * self.s[k] + 0.01 * d * d
+            step = ((self.m[k] / (1 - 0.9 ** self.n))
+                    / (np.sqrt(self.s[k] / (1 - 0.99 ** self.n)) + 1e-8))
+            params[k] -= (rate * step).astype(np.float32)
+
+
 @dataclass
 class AttentionModel:
     params: dict[str, np.ndarray]
@@ -152,23 +175,24 @@ class AttentionModel:
         return loss, g
 
     def train(self, windows: np.ndarray, steps: int, batch: int = 96, rate: float = 6e-3,
-              seed: int = 0) -> list[float]:
+              seed: int = 0, adam: Adam | None = None) -> list[float]:
         """Adam over windows of ids, drawn at random; the losses."""
         rng = np.random.default_rng(seed)
-        m = {k: np.zeros_like(v) for k, v in self.params.items()}
-        s = {k: np.zeros_like(v) for k, v in self.params.items()}
+        adam = Adam.new(self.params) if adam is None else adam
         losses = []
         for n in range(1, steps + 1):
             loss, g = self.step(windows[rng.integers(0, len(windows), batch)])
             losses.append(loss)
-            lr = rate * min(1, n / 20) * (0.05 + 0.95 * (1 - n / (steps + 1)))
-            for k, d in g.items():
-                m[k] = 0.9 * m[k] + 0.1 * d
-                s[k] = 0.99 * s[k] + 0.01 * d * d
-                step = (m[k] / (1 - 0.9 ** n)) / (np.sqrt(s[k] / (1 - 0.99 ** n)) + 1e-8)
-                self.params[k] -= (lr * step).astype(np.float32)
+            adam.update(self.params, g, rate * min(1, n / 20) * (0.05 + 0.95 * (1 - n / (steps + 1))))
         return losses
 
+    def train_once(self, windows: np.ndarray, adam: Adam, rate: float, batch: int = 96) -> None:
+        """Adam over each of the windows once, in an order drawn at random."""
+        order = np.random.default_rng(adam.n).permutation(len(windows))
+        for lo in range(0, len(windows), batch):
+            _, g = self.step(windows[order[lo:lo + batch]])
+            adam.update(self.params, g, rate)
+
     def log_probs(self, rows: list[np.ndarray], most: int = 64) -> list[np.ndarray]:
         """For each sequence of ids: log probability (nats) of the class of each
         id but the first, given those before it.

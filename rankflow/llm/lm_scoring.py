@@ -1,18 +1,21 @@
 """Language-model scores by causal self-attention over subword ids.
 
-1. A bounded sample of the training rows (``SAMPLE_ROWS`` documents, whole)
-   gives the list of common words, the classes of the ids and the windows that
-   the attention model (``attention``) is trained on, in numpy on the driver.
-2. Every document is turned into ids once and written as a table, together with
-   what the whole training part is counted for: common words, and each id by
-   the context class of the id before it. The other words are counted by a shuffle.
+1. Every document is turned into ids once and written as a table, together with
+   what the whole training part is counted for: each id, and the words that are
+   common in a bounded sample. The other words are counted by a shuffle.
+2. The classes of the ids come from counts over all training rows. The attention
+   model (``attention``) is trained in numpy: a bounded draw of windows starts it
+   in one task, then every training row is learned from once, in ``ROUNDS``
+   rounds. In a round each task trains a copy of the model on its part of the
+   rows, and the copies are averaged, weighted by their windows.
 3. The ids are scored in overlapping windows, each id once. The probability of
    an id is its class's by the attention model, times its share of the class
    after the id before it (its context class), by the counts of the whole
    training part.
 
 The base score needs each word's count. The sample's common words, a bounded
-list, are looked up; the others, rare by that, are joined.
+list, are looked up; the others, rare by that, are joined. The sample decides
+which way a word is counted, and no result.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from __future__ import annotations
 import math
 import pickle
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.llm import attention
-from rankflow.llm.attention import CLASSES, CONTEXTS, SPAN, AttentionModel
+from rankflow.llm.attention import CLASSES, CONTEXTS, SPAN, Adam, AttentionModel
 from rankflow.llm.common import FileBytes, id_text, map_rows, on_workers, raw_texts
 from rankflow.llm.packing import encoder
 from rankflow.session import shared_dir
@@ -36,8 +39,12 @@ from rankflow.session import shared_dir
 FOLDS = 10
 SAMPLE_ROWS = 6000
 COMMON = 1 << 17
-WINDOWS = 40_000
-STEPS = 400
+WINDOWS = 40_000  # at most, of those that training starts with
+STEPS = 400  # of the start
+ROUNDS = 8
+RATE = 2e-3  # of the first round, falling to a 16th of it
+BUFFER = 96 * 16  # windows that a task holds
+MARKS = 128  # frequent ids that the others are clustered by
 SLICE = 1000  # rows that a worker turns into ids at a time
 IDS = 1 << 16  # ids are stored in two bytes
 START, END = 49406, 49407
@@ -49,14 +56,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
-@dataclass
-class Sampled:
-    """What the sample gives: common words by number, and the attention model."""
-
-    common: list[bytes]
-    model: AttentionModel
-
-
 def sample_documents(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """About ``rows`` training documents by a hash of the doc_id, written once."""
     texts = id_text(docs)
@@ -67,10 +66,8 @@ def sample_documents(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     return docs.sparkSession.read.schema("doc_id long, text string").parquet(path)
 
 
-def fit(sample: DataFrame, vocabulary: FileBytes, common: int = COMMON, windows: int = WINDOWS,
-        steps: int = STEPS) -> Sampled:
-    """Train on the sample: at most ``common`` words come to the driver and at
-    most ``windows`` windows to the training task."""
+def common_words(sample: DataFrame, common: int = COMMON) -> list[bytes]:
+    """The most frequent words of the sample: at most ``common`` come to the driver."""
     def count():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             n = Counter(w for raw in raw_texts(batch) for w in raw.lower().split())
@@ -78,85 +75,207 @@ def fit(sample: DataFrame, vocabulary: FileBytes, common: int = COMMON, windows:
                 [pa.array(n.keys(), pa.binary()), pa.array(n.values(), pa.int64())], ["word", "n"])
         return each
 
-    def cut():
-        encode = encoder(vocabulary.value).encode
-
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            stream = np.concatenate([_sequence(encode(raw)) for raw in raw_texts(batch)])
-            out = [stream[i:i + SPAN + 1].astype("<u2").tobytes()
-                   for i in range(0, len(stream) - SPAN, SPAN)]
-            return pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
-        return each
-
     words = (map_rows(sample.select("text"), count, "word binary, n long").groupBy("word")
              .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(common).toArrow())
-    drawn = (map_rows(sample.select("text"), cut, "ids binary")
-             .orderBy(F.xxhash64("ids")).limit(windows))
+    return words.column("word").to_pylist()
+
+
+def _training(tokens: DataFrame) -> DataFrame:
+    return tokens.filter("kind = 0 and not held").select("row", "ids")
+
+
+def _streams(batches) -> Iterator[np.ndarray]:
+    """The ids of row, ids batches, about a million at a time, each document
+    with its start and end."""
+    pending, size = [], 0
+    for batch in batches:
+        for ids in batch.column(1).to_pylist():
+            pending.append(_sequence(ids, "<u2"))
+            size += len(pending[-1])
+            if size > 1_000_000:
+                yield np.concatenate(pending)
+                pending, size = [], 0
+    if pending:
+        yield np.concatenate(pending)
+
+
+def _windows(batches) -> Iterator[np.ndarray]:
+    """The same ids in windows of SPAN + 1 that share their end places; the last
+    one of a task overlaps the one before, or repeats ids if there are too few."""
+    rest, last = np.zeros(0, np.int64), None
+    for stream in _streams(batches):
+        rest = np.concatenate([rest, stream])
+        n = (len(rest) - 1) // SPAN
+        if n > 0:
+            yield rest[np.arange(n)[:, None] * SPAN + np.arange(SPAN + 1)]
+            last = rest[(n - 1) * SPAN:]
+            rest = rest[n * SPAN:]
+    if last is None and len(rest) > 1:
+        yield np.resize(rest, (1, SPAN + 1))
+    elif last is not None and len(rest) > 1:
+        yield last[-SPAN - 1:][None]
+
+
+def _count_pairs(tokens: DataFrame, keys_of: Callable[..., np.ndarray], sent) -> pa.Table:
+    """key, n: how often each key occurs that ``keys_of(left, right, sent's value)``
+    gives for the ids that stand side by side in all training rows."""
+    def run(batches):
+        keys, n = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        for stream in _streams(batches):
+            inside = stream[:-1] != END  # not across documents
+            found, m = np.unique(keys_of(stream[:-1][inside], stream[1:][inside], sent.value)
+                                 .astype(np.int32), return_counts=True)
+            keys, at = np.unique(np.concatenate([keys, found]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([n, m]), minlength=len(keys)).astype(np.int64)
+        for lo in range(0, len(keys), 100_000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[lo:lo + 100_000], pa.int32()), pa.array(n[lo:lo + 100_000])],
+                ["key", "n"])
 
-    def learn(batches):
-        ids = b"".join(x for batch in batches for x in batch.column(0).to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_learn(ids, steps))])], ["model"])
+    return (_training(tokens).mapInArrow(run, "key int, n long").groupBy("key")
+            .agg(F.sum("n").alias("n")).toArrow())
 
-    # in a task of its own: Spark gives it one thread, and another one if it is lost
-    model = drawn.repartition(1).mapInArrow(learn, "model binary").first().model
-    return Sampled(words.column("word").to_pylist(), pickle.loads(model))
 
+def _marked(left: np.ndarray, right: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Keys of an id and the mark before it, and of an id and the mark after it."""
+    before, after = number[left], number[right]
+    return np.concatenate([(right * MARKS + before)[before >= 0],
+                           (IDS * MARKS + left * MARKS + after)[after >= 0]])
 
-def _learn(windows: bytes, steps: int) -> AttentionModel:
-    """Classes of the ids and the trained model, from windows of SPAN + 1 ids."""
-    ids = np.frombuffer(windows, "<u2").astype(np.int64).reshape(-1, SPAN + 1)
-    counts = np.bincount(ids.ravel(), minlength=IDS)
-    marks = np.argsort(-counts, kind="stable")[:128]
+
+def _in_context(left: np.ndarray, right: np.ndarray, context_of: np.ndarray) -> np.ndarray:
+    return context_of[left] * IDS + right
+
+
+def untrained(tokens: DataFrame, counts: np.ndarray) -> AttentionModel:
+    """Classes of the ids and a new model, from counts over all training rows."""
     number = np.full(IDS, -1)
-    number[marks] = np.arange(128)
-    before, after = np.zeros((IDS, 128), np.float32), np.zeros((IDS, 128), np.float32)
-    left, right = ids[:, :-1].ravel(), ids[:, 1:].ravel()
-    for table, row, col in ((before, right, number[left]), (after, left, number[right])):
-        ok = col >= 0
-        table += np.bincount(row[ok] * 128 + col[ok], minlength=IDS * 128).reshape(IDS, 128)
-    model = AttentionModel.new(counts, attention.classes_of(counts, before, after))
-    if len(ids):
-        model.train(ids, steps)
+    marks = np.argsort(-counts, kind="stable")[:MARKS]
+    number[marks] = np.arange(MARKS)
+    found = _count_pairs(tokens, _marked, tokens.sparkSession.sparkContext.broadcast(number))
+    tables = np.zeros((2, IDS, MARKS), np.float32)
+    tables.reshape(-1)[found.column("key").to_numpy()] = found.column("n").to_numpy()
+    return AttentionModel.new(counts, attention.classes_of(counts, *tables))
+
+
+def learn(tokens: DataFrame, model: AttentionModel, counts: np.ndarray, steps: int = STEPS,
+          windows: int = WINDOWS, rounds: int = ROUNDS) -> AttentionModel:
+    """The trained model. ``counts``: of each id, over all training rows."""
+    spark = tokens.sparkSession
+    rows = _training(tokens)
+    if not counts.any():
+        return model
+    spread = 1 << 30  # of which a share starts the training: about 1000 rows or more
+    share = math.ceil(spread * min(1.0, max(windows * SPAN / counts.sum(), 1000 / counts[START])))
+
+    def cut(batches):
+        for part in _windows(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x.astype("<u2").tobytes() for x in part], pa.binary())], ["ids"])
+
+    def start(batches):
+        ids = b"".join(x for batch in batches for x in batch.column(0).to_pylist())
+        own, adam = model, Adam.new(model.params)
+        own.train(np.frombuffer(ids, "<u2").astype(np.int64).reshape(-1, SPAN + 1), steps, adam=adam)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((own, adam))])], ["model"])
+
+    drawn = (rows.filter(F.pmod(F.xxhash64(F.lit("lm"), "row"), F.lit(spread)) < share)
+             .mapInArrow(cut, "ids binary").orderBy(F.xxhash64("ids"), "ids").limit(windows))
+    # in a task of its own: Spark gives it one thread, and another one if it is lost
+    got = drawn.repartition(1).mapInArrow(start, "model binary").first()
+    model, adam = pickle.loads(got.model)
+    for r in range(rounds):
+        part = rows.filter(F.pmod(F.xxhash64(F.lit("round"), "row"), F.lit(rounds)) == r)
+        rate = RATE * (1 - r / rounds * 15 / 16)
+        model, adam = _round(part, model, adam, rate)
     return model
 
 
-def _sequence(ids: bytes) -> np.ndarray:
-    return np.concatenate([[START], np.frombuffer(ids, "<u4"), [END]]).astype(np.int64)
+def _round(rows: DataFrame, model: AttentionModel, adam: Adam, rate: float,
+           sums: int = 16) -> tuple[AttentionModel, Adam]:
+    """The model after each task trained a copy on its rows, each of them once.
+    At most ``sums`` sums of copies come to the driver."""
+    sent = rows.sparkSession.sparkContext.broadcast(pickle.dumps((model, adam)))
+    schema = "windows long, steps long, state binary"
+
+    def out(windows: int, steps: int, state: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([windows]), pa.array([steps]), pa.array([state.tobytes()], pa.binary())],
+            ["windows", "steps", "state"])
+
+    def run(batches):
+        own, moments = pickle.loads(sent.value)
+        first, seen, held, size = moments.n, 0, [], 0
+        for part in _windows(batches):
+            held.append(part)
+            size += len(part)
+            if size >= BUFFER:
+                own.train_once(np.concatenate(held), moments, rate)
+                seen, held, size = seen + size, [], 0
+        if held:
+            own.train_once(np.concatenate(held), moments, rate)
+            seen += size
+        if seen:
+            yield out(seen, moments.n - first, seen * _flat(own, moments).astype(np.float64))
+
+    def add(batches):
+        windows, steps, state = 0, 0, np.zeros(1)
+        for batch in batches:
+            for w, n, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                windows, steps, state = windows + w, max(steps, n), state + np.frombuffer(x)
+        if windows:
+            yield out(windows, steps, state)
+
+    found = rows.mapInArrow(run, schema).repartition(sums).mapInArrow(add, schema).collect()
+    sent.destroy()
+    if found:
+        windows = sum(x.windows for x in found)
+        state = sum(np.frombuffer(x.state) for x in found) / windows
+        at = 0
+        for table in (model.params, adam.m, adam.s):
+            for k, v in table.items():
+                table[k] = state[at:at + v.size].reshape(v.shape).astype(np.float32)
+                at += v.size
+        adam.n += max(x.steps for x in found)
+    return model, adam
+
+
+def _flat(model: AttentionModel, adam: Adam) -> np.ndarray:
+    return np.concatenate([v.ravel() for t in (model.params, adam.m, adam.s) for v in t.values()])
+
+
+def _sequence(ids: bytes, kind: str) -> np.ndarray:
+    return np.concatenate([[START], np.frombuffer(ids, kind), [END]]).astype(np.int64)
 
 
 TOKENS = ("row long, doc_id long, held boolean, n_tokens long, ids binary, common binary, "
           "rare array<struct<word:binary,n:long>>, kind int, key long, n long")
 
 
-def tokenize(docs: DataFrame, vocabulary: FileBytes, sampled: Sampled) -> DataFrame:
+def tokenize(docs: DataFrame, vocabulary: FileBytes, common: list[bytes]) -> DataFrame:
     """The token table, written to the shared folder: a row of kind 0 for each
     document; kinds 1 and 2 are each partition's counts of common words and of
-    ids by context class before, of training rows only."""
+    ids, of training rows only."""
     spark = docs.sparkSession
     on_workers(spark)
-    sent = spark.sparkContext.broadcast((sampled.common, sampled.model.context_of.astype(np.uint8)))
+    sent = spark.sparkContext.broadcast(common)
 
     def run(batches):
         encode = encoder(vocabulary.value).encode
-        common, context_of = sent.value
-        number = {w: i for i, w in enumerate(common)}.get
-        n_common = np.zeros(len(common), np.int64)
-        pairs: list[tuple[np.ndarray, np.ndarray]] = []  # keys and counts
+        number = {w: i for i, w in enumerate(sent.value)}.get
+        n_common = np.zeros(len(sent.value), np.int64)
+        n_ids = np.zeros(IDS, np.int64)
         pending: list[np.ndarray] = []
         words_seen: list[np.ndarray] = []
         waiting = 0
 
         def settle() -> None:
-            nonlocal n_common
+            nonlocal n_common, n_ids
             if pending:
                 n_common += np.bincount(np.concatenate(words_seen), minlength=len(n_common))
+                n_ids += np.bincount(np.concatenate(pending), minlength=IDS)
                 words_seen.clear()
-                pairs.append(np.unique(np.concatenate(pending), return_counts=True))
                 pending.clear()
-            if len(pairs) > 1:
-                keys, at = np.unique(np.concatenate([k for k, _ in pairs]), return_inverse=True)
-                n = np.bincount(at, weights=np.concatenate([c for _, c in pairs]))
-                pairs[:] = [(keys, n.astype(np.int64))]
 
         for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             held = batch.column(3).to_pylist()
@@ -177,9 +296,8 @@ def tokenize(docs: DataFrame, vocabulary: FileBytes, sampled: Sampled) -> DataFr
                 common_of.append(known.tobytes())
                 if not out:
                     words_seen.append(known)
-                    seq = np.concatenate([[START], ids, [END]]).astype(np.int32)
-                    pending.append(context_of[seq[:-1]].astype(np.int32) * IDS + seq[1:])
-                    waiting += len(seq)
+                    pending.append(np.concatenate([[START], ids, [END]]).astype(np.int32))
+                    waiting += len(ids) + 2
                     if waiting > 1_000_000:
                         settle()
                         waiting = 0
@@ -190,10 +308,10 @@ def tokenize(docs: DataFrame, vocabulary: FileBytes, sampled: Sampled) -> DataFr
                          held=batch.column(3), n_tokens=n_tokens, ids=ids_of,
                          common=common_of, rare=rare, kind=[0] * len(held))
         settle()
-        used = np.flatnonzero(n_common)
-        for kind, (keys, counts) in [(1, (used, n_common[used])), *[(2, p) for p in pairs]]:
-            if len(keys):
-                yield _batch(len(keys), kind=[kind] * len(keys), key=keys, n=counts)
+        for kind, n in ((1, n_common), (2, n_ids)):
+            used = np.flatnonzero(n)
+            if len(used):
+                yield _batch(len(used), kind=[kind] * len(used), key=used, n=n[used])
 
     path = shared_dir(spark, "lm_tokens")
     rows = id_text(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text",
@@ -236,14 +354,16 @@ def _shares(class_of: np.ndarray, counted: pa.Table) -> tuple[np.ndarray, np.nda
     by_class = np.zeros((CONTEXTS, CLASSES))
     for k in range(CLASSES):
         by_class[:, k] = table[:, kind == k].sum(axis=1)
-    return (np.log((table + MIX * plain) / (by_class[:, kind] + MIX)).astype(np.float32), column)
+    table += MIX * plain
+    table /= by_class[:, kind] + MIX
+    return np.log(table, out=table).astype(np.float32), column
 
 
-def _scored(tokens: DataFrame, sampled: Sampled, shares: np.ndarray, column: np.ndarray,
+def _scored(tokens: DataFrame, model: AttentionModel, shares: np.ndarray, column: np.ndarray,
             n_common: np.ndarray) -> DataFrame:
     """row, doc_id, held, n_tokens, known, base, score: common words only in
     ``known`` and in ``base``, which is the sum of log10(count + 0.1)."""
-    sent = tokens.sparkSession.sparkContext.broadcast((sampled.model, shares, column, n_common))
+    sent = tokens.sparkSession.sparkContext.broadcast((model, shares, column, n_common))
 
     def make():
         model, shares, column, n_common = sent.value
@@ -257,9 +377,8 @@ def _scored(tokens: DataFrame, sampled: Sampled, shares: np.ndarray, column: np.
                 base.append(float(logs[at].sum()))
             pending, size = [], 0
             for ids in batch.column(4).to_pylist():
-                seq = np.concatenate([[START], np.frombuffer(ids, "<u2"), [END]]).astype(np.int64)
-                pending.append(seq)
-                size += len(seq)
+                pending.append(_sequence(ids, "<u2"))
+                size += len(pending[-1])
                 if size > 100_000:
                     score += _text_scores(pending, model, shares, column)
                     pending, size = [], 0
@@ -299,14 +418,22 @@ def score_documents(docs: DataFrame, path: str, sample_rows: int = SAMPLE_ROWS,
     """
     spark = docs.sparkSession
     vocabulary = FileBytes(spark, path)
-    sampled = fit(sample_documents(docs, sample_rows), vocabulary, common, steps=steps)
-    tokens = tokenize(docs, vocabulary, sampled)
-    counted = (tokens.filter("kind > 0").groupBy("kind", "key")  # common + contexts * ids rows
+    words = common_words(sample_documents(docs, sample_rows), common)
+    tokens = tokenize(docs, vocabulary, words)
+    counted = (tokens.filter("kind > 0").groupBy("kind", "key")  # common + ids rows
                .agg(F.sum("n").alias("n")).toArrow())
-    of = lambda k: counted.filter(pa.compute.equal(counted.column("kind"), k))
-    n_common = np.zeros(len(sampled.common), np.int64)
-    n_common[of(1).column("key").to_numpy()] = of(1).column("n").to_numpy()
-    shares, column = _shares(sampled.model.class_of, of(2))
+
+    def of(kind: int, size: int) -> np.ndarray:
+        own = counted.filter(pa.compute.equal(counted.column("kind"), kind))
+        out = np.zeros(size, np.int64)
+        out[own.column("key").to_numpy()] = own.column("n").to_numpy()
+        return out
+
+    n_common, n_ids = of(1, len(words)), of(2, IDS)
+    model = untrained(tokens, n_ids)
+    contexts = spark.sparkContext.broadcast(model.context_of)
+    shares, column = _shares(model.class_of, _count_pairs(tokens, _in_context, contexts))
+    model = learn(tokens, model, n_ids, steps)
 
     rare = (tokens.filter("kind = 0").select("row", "held", F.explode("rare").alias("x"))
             .select("row", "held", "x.*"))
@@ -325,7 +452,7 @@ def score_documents(docs: DataFrame, path: str, sample_rows: int = SAMPLE_ROWS,
         F.sum(F.when(seen > 0, F.col("n")).otherwise(0)).alias("rare_known"),
         F.sum(F.log10(seen + 0.1) * F.col("n")).alias("rare_base")))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return _scored(tokens, sampled, shares, column, n_common).join(of_rare, "row", "left").select(
+    return _scored(tokens, model, shares, column, n_common).join(of_rare, "row", "left").select(
         "doc_id", F.col("held").alias("held_out"), "n_tokens",
         (F.col("known") + zero("rare_known") + F.lit(int(ends > 0))).cast("long").alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),

@@ -4,9 +4,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from rankflow.llm import attention as A
-from rankflow.llm.common import tokenizer_path
+from rankflow.llm import lm_scoring as L
+from rankflow.llm.common import FileBytes, tokenizer_path
 from rankflow.llm.lm_scoring import score_documents
 
 from .conftest import ODD_IDS, ODD_TEXTS
@@ -109,3 +111,34 @@ def test_odd_rows_and_empty_table(odd, none):
     check_base(rows, list(zip(ODD_IDS, ODD_TEXTS, strict=True)))
     assert all(math.isfinite(r.score) for r in rows)
     assert score_documents(none, PATH, steps=2).collect() == []
+
+
+def test_windows_cover_every_id_of_a_task():
+    rng = np.random.default_rng(4)
+    for lengths in ((3,), (0, 1), (62, 1, 0), (63,), (500, 7, 64, 200)):
+        ids = [rng.integers(0, 1000, n).astype("<u2") for n in lengths]
+        batches = [pa.RecordBatch.from_arrays([pa.array([0]), pa.array([x.tobytes()], pa.binary())],
+                                              ["row", "ids"]) for x in ids]
+        stream = np.concatenate([L._sequence(x.tobytes(), "<u2") for x in ids])
+        got = np.concatenate(list(L._windows(batches)))
+        assert got.shape[1] == A.SPAN + 1
+        pairs = {(a, b) for w in got.tolist() for a, b in zip(w, w[1:], strict=False)}
+        assert {*zip(stream[:-1].tolist(), stream[1:].tolist(), strict=True)} <= pairs
+    assert list(L._windows([])) == []
+
+
+def test_classes_and_training_use_rows_outside_the_sample(spark, small):
+    tokens = L.tokenize(small, FileBytes(spark, PATH), [])
+    rows = [L._sequence(r.ids, "<u2") for r in L._training(tokens).collect()]
+    counts = np.bincount(np.concatenate(rows), minlength=L.IDS)
+    got = {r.key: r.n for r in tokens.filter("kind = 2").groupBy("key").agg({"n": "sum"})
+           .toDF("key", "n").collect()}
+    assert got == {i: counts[i] for i in np.flatnonzero(counts)}
+    model = L.untrained(tokens, counts)
+    assert (model.class_of[counts > 0] < A.CLASSES - 1).all()
+    assert (model.class_of[counts == 0] == A.CLASSES - 1).all()
+    loss = {}
+    for rounds in (0, L.ROUNDS):  # a start of two steps on a few windows, then all rows
+        trained = L.learn(tokens, model, counts, steps=2, windows=8, rounds=rounds)
+        loss[rounds] = -np.concatenate(trained.log_probs(rows)).mean()
+    assert loss[L.ROUNDS] < loss[0] - 0.02
