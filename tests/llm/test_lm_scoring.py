@@ -142,3 +142,11 @@ def test_classes_and_training_use_rows_outside_the_sample(spark, small):
         trained = L.learn(tokens, model, counts, steps=2, windows=8, rounds=rounds)
         loss[rounds] = -np.concatenate(trained.log_probs(rows)).mean()
     assert loss[L.ROUNDS] < loss[0] - 0.02
+
+
+def test_better_than_the_base_on_held_out_rows(spark):
+    """Of 1,000 documents, a corpus large enough to learn from."""
+    assert A.CLASSES >= 128
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = score_documents(docs, PATH).filter("held_out").collect()
+    assert sum(r.score for r in held) > 0.985 * sum(r.base_score for r in held)
