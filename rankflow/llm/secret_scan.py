@@ -5,7 +5,7 @@ The models are first-order, over 66 characters, add-one smoothed. Their
 labelled samples come from a bounded sample of the documents: what the fixed
 formats match there, and hashes of the sample's own texts written in hex and
 base 64, are random strings; every other run of four or more of those
-characters is an identifier. A long run of characters whose log-likelihood
+characters is an identifier. A run of ``MIN_RUN`` or more characters whose log-likelihood
 ratio is above ``THRESHOLD`` is reported as kind ``markov``.
 """
 
@@ -26,7 +26,7 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "markov")
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-MIN_RUN = 20
+MIN_RUN = 12
 RUN = f"[A-Za-z0-9+/_-]{{{MIN_RUN},}}"
 SAMPLE_ROWS = 2000
 THRESHOLD = 15.0
@@ -88,7 +88,9 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> RandomnessModel:
         for b in SYMBOLS:
             p = (random_n.get(b, 0) + 1) / (sum(random_n.values()) + len(SYMBOLS))
             q = (plain_n.get(b, 0) + 1) / (sum(plain_n.values()) + len(SYMBOLS))
-            table[128 * ord(a) + ord(b)] = round(math.log(p / q), 4)
+            ratio = round(math.log(p / q), 4)
+            # the steps of an alphabet, as in abcdef, are no sign of a random string
+            table[128 * ord(a) + ord(b)] = min(ratio, 0.0) if ord(b) == ord(a) + 1 else ratio
     return RandomnessModel(tuple(table))
 
 

@@ -1,4 +1,6 @@
+import random
 import re
+import string
 from hashlib import sha256
 
 from rankflow.llm import secret_scan as S
@@ -77,3 +79,21 @@ def test_mask_replaces_every_span_and_nothing_else(spark, small, odd):
             assert not brute(masked[i]) and S.MASK in masked[i]
     assert masked[0] == f"a {S.MASK}\" b"
     assert S.mask(odd, model).schema == odd.schema
+
+
+def test_short_keys_are_found_and_ordinary_runs_are_not(spark, small):
+    """Planted keys of 12 to 19 characters; ordinary runs as the documents have them."""
+    model = S.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    rng = random.Random(5)
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=n))
+            for n in range(12, 20) for _ in range(50)]
+    docs = docs_of(spark, [f"the key {k} here" for k in keys])
+    found = [[(s.start, s.end) for s in r.spans if s.kind_no == 3] == [(8, 8 + len(k))]
+             for k, r in zip(keys, S.scan(docs, model).orderBy("doc_id").collect(), strict=True)]
+    assert sum(found[:200]) >= 170 and sum(found[200:]) >= 195  # 12 to 15; 16 to 19
+    left = S.mask(docs, model).collect()
+    assert sum(S.MASK in r.text for r in left) >= sum(found)
+    markov = [r.text[s.start:s.end] for r in S.scan(small, model).join(small, "doc_id").collect()
+              for s in r.spans if s.kind_no == 3]
+    secrets = [v for r in small.collect() for a, _, b in brute(r.text or "") for v in [r.text[a:b]]]
+    assert all(any(m in v or v in m for v in secrets) for m in markov)
