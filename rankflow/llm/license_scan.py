@@ -1,6 +1,6 @@
 """Licence scans by canonical digests, with built-in functions only.
 
-A text is brought into one form: A-Z lower-cased, copyright lines dropped,
+A text is brought into one form: A-Z lower-cased, copyright statements dropped,
 punctuation and white space between words made equal, equivalent spellings
 replaced. The SHA-256 of the whole form is looked up among the digests of known
 licence texts by a hash join; a document is looked up as a whole, and each of
@@ -62,7 +62,23 @@ KNOWN = [
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
     ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
 ]
-COPYRIGHT = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+# Of lower-cased text: a sign or the word with a year anywhere, or with a holder at
+# a line's start, up to the sentence's end; not words of a licence's body.
+_BODY = (r"(?:notices?|holders?|owners?|licen[cs]\w*|laws?|statements?|interests?|protection|patents?"
+         r"|trademarks?|disclaimers?|and|or|in|is|are|as|to|of|on|for|if|by law|you|your|any|a|an|the"
+         r" (?:software|work|above|copyright|copies|name|program|licen[cs]\w*))\b")
+_NEXT = (r"(?:permission (?:is|to)\b|redistribution and\b|licen[cs]ed under\b|released under\b"
+         r"|distributed under\b|this (?:work|program|software|file|project)\b|all rights reserved"
+         r"|spdx-license|copyright\b|\(c\)|©)")
+_GAP = r"[^\p{L}\p{N}\n]*"
+_MARK = r"(?:copyright\b|\(c\)|©)"
+_END = (rf"[^\n]*?(?:(?=[\s.,;]\s*{_NEXT})[.,;]?|\n|$"
+        r"|(?<!\b\p{L})(?<!\b(?:inc|ltd|co|corp|llc|jr|sr|dr|et al))[.](?=\s))")
+COPYRIGHT = (rf"(?:{_MARK}{_GAP})+(?:(?:19|20)\d\d\b){_END}"
+             rf"|(?:^|(?<=\n)){_GAP}{_MARK}{_GAP}(?=[\p{{L}}\p{{N}}])(?!{_BODY}){_END}"
+             r"|all rights reserved(?=[^\p{L}\p{N}\n]*(?:\n|$)|[.])[.]?")
+# That of the oracle, which takes such lines as a whole.
+SQL_COPYRIGHT = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 MOST_KNOWN = 10_000
 
 
@@ -123,7 +139,7 @@ def oracle_sql() -> str:
     """The same in DuckDB SQL."""
     def form(text: str) -> str:
         out = (f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
-        out = f"regexp_replace({out}, {_sql_text(COPYRIGHT)}, chr(10), 'g')"
+        out = f"regexp_replace({out}, {_sql_text(SQL_COPYRIGHT)}, chr(10), 'g')"
         out = f"regexp_replace('.' || {out} || '.', '[^\\p{{L}}\\p{{N}}]+', '  ', 'g')"
         for a, b in SPELLINGS.items():
             out = (f"replace({out}, {_sql_text(' ' + a.replace(' ', '  ') + ' ')}, "

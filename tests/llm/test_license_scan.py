@@ -1,3 +1,5 @@
+import textwrap
+
 from rankflow.llm import license_scan as S
 
 from .conftest import ODD_IDS, docs_of
@@ -32,3 +34,21 @@ def test_odd_rows_and_empty_table(odd, none):
     assert sorted(repr(r.doc_id) for r in rows) == sorted(map(repr, ODD_IDS))
     assert all(len(r.canonical_sha256) == 64 and r.license is None for r in rows)
     assert S.scan(none).collect() == []
+
+
+def test_known_texts_under_any_wrapping(spark):
+    holders = ["", "Copyright (c) 2024 X. ", "Copyright (c) 2019-2021 Jane Q. Doe, Acme Inc.\n\n",
+               "Copyright 2020 Someone\nAll rights reserved.\n\n", "\u00a9 2021 Me "]
+    texts, want = [], []
+    for name, text in S.KNOWN:
+        words = " ".join(text.split())
+        forms = [words, *(textwrap.fill(words, n) for n in (20, 41, 60, 72, 100)),
+                 words.replace(" ", "\n")]
+        forms += [h + form for h in holders for form in forms[:4]]
+        texts += forms
+        want += [name] * len(forms)
+    texts += ["copyright notice and this permission notice appear in all copies.", "(c) You must"]
+    rows = S.scan(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.license for r in rows] == [*want, None, None]
+    assert len({r.canonical_sha256 for r in rows[-2:]}
+               | {r.canonical_sha256 for r in S.scan(docs_of(spark, [""])).collect()}) == 3
