@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankflow.llm import bpe_codec, license_scan, secret_scan, toxicity
+from rankflow.llm import bpe_codec, fim, license_scan, secret_scan, sharding, toxicity, whitening
 from rankflow.llm.common import documents, tokenizer_path
 from rankflow.llm.exact_dedup import exact_duplicates
 from rankflow.llm.lm_scoring import score_documents
@@ -62,6 +62,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(docs, secret_scan.train(docs)))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(documents(spark, sf_dir), shards=40)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -73,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_count": op9_token_count,
     "op10_secret_scan": op10_secret_scan,
+    "op11_sharding": op11_sharding,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL = {
