@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from rankflow.operators.flatten import flatten_rankings
 from rankflow.operators.merge import merge_teams
 from rankflow.operators.seasons import require_columns, stamp_season
-from rankflow.plans.manifest import commit, newest_snapshots, season_folder
+from rankflow.plans.manifest import claim, commit, head, newest_snapshots, season_folder
 from rankflow.schemas import CLEANSED, CLEANSED_COLS, SEASON, TEAM
 from rankflow.sources.columnar import decode_columnar, encode_columnar
 from rankflow.sources.readers import good_documents, parse_documents
@@ -86,9 +86,16 @@ def write_cleansed(df: DataFrame, out_root: str, stamp: str | Sequence[str], fmt
     one is not served in its place. ``replace`` lets a repeated write of the
     same snapshot take its folder over. ``columnar-json`` writes the
     compatibility encoding (bounded documents, one per line).
+
+    A stamp is one write's: a second one with the same stamp is refused before
+    it writes anything, and of two concurrent writes of a season, whatever
+    their stamps, the first to commit wins (:class:`CommitConflict`).
     """
     spark = df.sparkSession
     stamps = [stamp] if isinstance(stamp, str) else list(stamp)
+    base = head(spark, out_root)
+    for s in stamps:
+        claim(spark, out_root, s, again=replace)
     out = df.withColumn("snapshot", F.lit(stamp)) if isinstance(stamp, str) else df
     if fmt == PARQUET:
         # rebalance by the partition columns: AQE splits a hot season over
@@ -113,7 +120,7 @@ def write_cleansed(df: DataFrame, out_root: str, stamp: str | Sequence[str], fmt
         empty = every.alias("e").join(counts.alias("c"), same, "left_anti")
         counts = counts.unionByName(empty.withColumn("rows", F.lit(0).cast("long")))
     commit(counts.withColumn("dataset", F.lit(CLEANSED_SET)).withColumn("format", F.lit(fmt))
-           .withColumn("folder", season_folder()), out_root)
+           .withColumn("folder", season_folder()), out_root, base)
     return out_root
 
 
@@ -134,14 +141,21 @@ def _exists(spark: SparkSession, glob: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def read_cleansed(spark: SparkSession, out_root: str, chosen: DataFrame | None = None) -> DataFrame:
+def read_cleansed(spark: SparkSession, out_root: str,
+                  chosen: DataFrame | Sequence[Row] | None = None,
+                  ignore_strays: bool = False) -> DataFrame:
     """Rows (with ``snapshot``) of the newest committed snapshot of every
     season, or of the ``chosen`` manifest rows, in whatever format each was
     written. Only their folders are opened. Columnar documents are decoded
-    after the scan (narrow, no shuffle)."""
+    after the scan (narrow, no shuffle). ``ignore_strays`` passes over files
+    that are no Parquet, for callers that have counted the rows."""
     rows = chosen if chosen is not None else newest_snapshots(spark, out_root, CLEANSED_SET)
-    picked = [r for r in rows.collect() if r.rows]  # a row a season
+    if isinstance(rows, DataFrame):
+        rows = rows.collect()  # a row a season
+    picked = [r for r in rows if r.rows]
     reader = spark.read.option("basePath", out_root)
+    if ignore_strays:
+        reader = reader.option("ignoreCorruptFiles", "true")
     names = [*CLEANSED_COLS, "snapshot"]
     parts = []
     for fmt in (PARQUET, COLUMNAR):
@@ -163,10 +177,11 @@ def read_cleansed(spark: SparkSession, out_root: str, chosen: DataFrame | None =
 
 
 def poll_table(spark: SparkSession, out_root: str, poll: str, season_type: str,
-               seasons: list[int] | None = None) -> DataFrame:
+               seasons: list[int] | None = None, version: int | None = None) -> DataFrame:
     """The multi-season poll table: newest snapshot of each (or each given)
-    season, one poll and season type. Other seasons' folders are not opened."""
-    chosen = newest_snapshots(spark, out_root, CLEANSED_SET)
+    season, one poll and season type. Other seasons' folders are not opened.
+    With ``version``, of the store as of then."""
+    chosen = newest_snapshots(spark, out_root, CLEANSED_SET, version=version)
     if seasons is not None:
         chosen = chosen.where(F.col("season").isin([int(s) for s in seasons]))
     rows = read_cleansed(spark, out_root, chosen)

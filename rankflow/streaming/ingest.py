@@ -21,23 +21,23 @@ from rankflow.operators.seasons import stamp_season
 from rankflow.plans.cleansed import (
     PARQUET, RANKINGS, TEAMS, read_newest, read_snapshots, write_cleansed,
 )
-from rankflow.plans.manifest import MANIFEST, manifest_path
+from rankflow.plans.manifest import MANIFEST, log_path
 from rankflow.schemas import CLEANSED_COLS, SEASON, TEAM
 
 
 def committed_rankings(spark: SparkSession, raw_root: str,
                        max_commits_per_trigger: int | None = None) -> DataFrame:
     """Stream of the raw store's committed rankings snapshots."""
-    reader = spark.readStream.schema(MANIFEST)
+    reader = spark.readStream.schema(MANIFEST).option("recursiveFileLookup", "true")
     if max_commits_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_commits_per_trigger)
-    return reader.json(manifest_path(raw_root)).where(F.col("dataset") == RANKINGS)
+    return reader.json(log_path(raw_root)).where(F.col("dataset") == RANKINGS)
 
 
 def build_snapshots(spark: SparkSession, raw_root: str, out_root: str, commits: DataFrame,
                     fmt: str = PARQUET) -> None:
     """Build each committed (season, snapshot) of a batch and commit it."""
-    rows = commits.drop("committed").distinct().collect()  # manifest rows
+    rows = commits.drop("committed", "version").distinct().collect()  # manifest rows
     teams = read_newest(spark, raw_root, TEAMS, TEAM, per_season=False).drop("_path_season")
     for stamp in sorted({r.snapshot for r in rows}):
         own = [r for r in rows if r.snapshot == stamp]
