@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import warnings
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankflow.functions.scalar import snapshot_stamp
 from rankflow.plans.manifest import commit
 from rankflow.schemas import CLEANSED, SEASON, TEAM
+from rankflow.sources.arrays import BLANK, read_elements
 
 
 def read_rankings(spark: SparkSession, path: str, multi_line: bool = False,
                   on_bad: str = "raise") -> DataFrame:
     """Season documents with the declared schema. ``multi_line=True`` reads
-    files holding one JSON value (an array gives one row per element; such a
-    file is one task); the default reads JSON lines, which split."""
+    files holding one JSON value (an array gives one row per element, and a
+    large file goes to many tasks); the default reads JSON lines."""
     parsed = parse_documents(spark, [path], SEASON, multi_line)
     return good_documents(parsed, on_bad).drop("_file")
 
@@ -35,18 +38,23 @@ def read_documents(spark: SparkSession, path: str, whole_file: bool = False) ->
 def parse_documents(spark: SparkSession, paths: list[str], schema: T.StructType,
                     whole: bool = False) -> DataFrame:
     """Documents with ``_bad`` (the text that could not be parsed, else null)
-    and ``_file``. A line, or with ``whole`` a file (one task then), holds a
-    document or an array of them; blank ones are skipped. The text is parsed
+    and ``_file``. A line, or with ``whole`` a file (split over many tasks, see
+    :mod:`rankflow.sources.arrays`), holds a document or an array of them; blank
+    ones are skipped. The text is parsed
     against the whole schema whatever columns are used later, so that what
     counts as bad never depends on the query."""
     marked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    text = spark.read.text(paths, wholetext=whole).select(
-        F.trim("value", F.lit(" \n\r\t")).alias("v"), F.col("_metadata.file_path").alias("_file"))
-    elements = F.when(F.col("v").startswith("["),
+    if whole:
+        elements = read_elements(spark, paths).select("_file", "v")
+    else:
+        text = spark.read.text(paths).select(
+            F.trim("value", F.lit(BLANK)).alias("v"), F.col("_metadata.file_path").alias("_file"))
+        each = F.when(F.col("v").startswith("["),
                       F.from_json("v", "array<string>", {"mode": "PERMISSIVE"}))
-    return (text.where("v <> ''")
-            .select("_file", F.explode(F.coalesce(elements, F.array("v"))).alias("v"))
+        elements = text.where("v <> ''").select(
+            "_file", F.explode(F.coalesce(each, F.array("v"))).alias("v"))
+    return (elements
             .select("_file", F.from_json("v", marked, options).alias("d")).select("d.*", "_file"))
 
 
@@ -125,15 +133,49 @@ def _rows_type(row_schema: T.StructType) -> T.ArrayType:
     return T.ArrayType(row_schema)
 
 
-def unwrap_envelope(docs: DataFrame, row_schema: T.StructType = CLEANSED,
-                    doc: str = "doc") -> DataFrame:
-    """Accept ``{"season": s, "data": [rows]}`` (season non-zero, data
-    present) or a bare array of rows; anything else yields no rows."""
+# Shapes of a response document.
+ENVELOPE, BARE, ODD = "envelope", "rows", "odd"
+
+
+def _response(doc: str, row_schema: T.StructType) -> tuple[Column, Column]:
+    """Shape and rows of a response document."""
     env_t = T.StructType([T.StructField("season", T.IntegerType()),
                           T.StructField("data", _rows_type(row_schema))])
     text = F.trim(F.col(doc))
     env = F.from_json(F.when(text.startswith("{"), text), env_t)
     bare = F.from_json(F.when(text.startswith("["), text), _rows_type(row_schema))
-    rows = F.when(env.isNotNull() & (F.coalesce(env["season"], F.lit(0)) != 0)
-                  & env["data"].isNotNull(), env["data"]).otherwise(bare)
-    return docs.select(F.inline(rows))
+    enveloped = (env.isNotNull() & (F.coalesce(env["season"], F.lit(0)) != 0)
+                 & env["data"].isNotNull())
+    shape = F.when(enveloped, ENVELOPE).when(bare.isNotNull(), BARE).otherwise(ODD)
+    return shape, F.when(enveloped, env["data"]).otherwise(bare)
+
+
+def unwrap_envelope(docs: DataFrame, row_schema: T.StructType = CLEANSED,
+                    doc: str = "doc", seen: Observation | None = None) -> DataFrame:
+    """Accept ``{"season": s, "data": [rows]}`` (season non-zero, data
+    present) or a bare array of rows; anything else yields no rows.
+
+    ``seen`` (an ``Observation``) counts documents by shape, the kept and the
+    dropped, in the very pass that reads the rows; see :func:`warn_skipped`."""
+    shape, rows = _response(doc, row_schema)
+    read = docs.select(shape.alias("_shape"), rows.alias("_rows"))
+    if seen is not None:
+        count = lambda s: F.count(F.when(F.col("_shape") == s, 1)).alias(s)
+        read = read.observe(seen, F.count(F.lit(1)).alias("documents"), count(ENVELOPE),
+                            count(BARE), count(ODD),
+                            F.coalesce(F.sum(F.size("_rows")), F.lit(0)).alias("data_rows"))
+    return read.select(F.inline("_rows"))
+
+
+class SkippedDocuments(UserWarning):
+    """Documents of another shape were left out."""
+
+
+def warn_skipped(seen: Observation, what: str = "read") -> dict[str, int]:
+    """The counts of :func:`unwrap_envelope`, once an action has run on its rows;
+    warns when documents were dropped."""
+    counts = dict(seen.get)
+    if counts[ODD]:
+        warnings.warn(f"{counts[ODD]} of {counts['documents']} documents left out of the {what}: "
+                      "neither an envelope nor an array of rows", SkippedDocuments, stacklevel=2)
+    return counts
