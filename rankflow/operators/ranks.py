@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.functions.scalar import season_week_label
+from rankflow.operators.numbering import with_positions
+from rankflow.operators.skew import salted_join
 
 # Fixed values of the chart's tie spreading.
 TIE_OFFSET = 0.1
@@ -50,18 +52,49 @@ def tie_positions(df: DataFrame, partition_by: Sequence[str] = ("season", "week"
             .withColumn("_pos", F.sum(once).over(upto) - F.col("_tie_n") + F.col("_tie_i")))
 
 
+def tie_positions_by_range(df: DataFrame, partition_by: Sequence[str] = ("season", "week"),
+                           rank: str = "rank", school: str = "school",
+                           parts: int | None = None) -> DataFrame:
+    """:func:`tie_positions` for polls without a bound on their schools.
+
+    The rows are numbered in one order (partition, rank, school) over range
+    partitions, so that a tie group of any size is sorted by many tasks. A place
+    is then the row's number less the first number of its group, which with its
+    size comes from partial and final aggregates; a group with many rows meets
+    its one row of those by a salted join.
+    """
+    pb = [F.col(c) for c in partition_by]
+    order = [*[c.asc_nulls_first() for c in pb], *rank_order(rank), *school_order(school),
+             F.xxhash64(*[F.col(c) for c in df.columns])]
+    key = F.struct(*pb, F.col(rank))  # struct keys match nulls
+    placed = with_positions(df, "_p", order, parts).withColumn("_tie", key)
+    ties = placed.groupBy("_tie").agg(F.min("_p").alias("_t0"),
+                                      F.count(F.lit(1)).alias("_tie_n"))
+    whole = F.struct(*[F.col("_tie")[c] for c in partition_by]).alias("_whole")
+    ties = ties.select("*", whole)
+    firsts = ties.groupBy("_whole").agg(F.min("_t0").alias("_p0"))
+    found = salted_join(placed, ties.join(firsts, "_whole").drop("_whole"), "_tie", "inner",
+                        salt=F.col("_p"), parts=parts)
+    return found.select(*df.columns, (F.col("_p") - F.col("_t0")).alias("_tie_i"), "_tie_n",
+                        (F.col("_p") - F.col("_p0")).alias("_pos"))
+
+
 def visual_rank(df: DataFrame, partition_by: Sequence[str] = ("season", "week"),
                 rank: str = "rank", school: str = "school", week: str = "week",
                 season: str = "season", spread_week: int = SPREAD_WEEK,
-                offset: float = TIE_OFFSET, keep_position: bool = False) -> DataFrame:
+                offset: float = TIE_OFFSET, keep_position: bool = False,
+                by_range: bool = False) -> DataFrame:
     """Adds ``visualRank`` (double) and ``seasonWeek``.
 
     In ``spread_week``: ``rank + offset * (i - (n - 1) / 2)`` with ``i`` the
     place in the tie group by school and ``n`` the tie size (a null rank counts
     as 0). Other weeks: a 1..N counter over (rank, school), no gaps.
     Callers filter to one poll and season type first (or widen ``partition_by``).
+    ``by_range`` bounds what a task sorts however many rows share a rank
+    (:func:`tie_positions_by_range`), for a few more shuffles and a write.
     """
-    tp = tie_positions(df, partition_by, rank=rank, school=school)
+    positions = tie_positions_by_range if by_range else tie_positions
+    tp = positions(df, partition_by, rank=rank, school=school)
     key = F.coalesce(F.col(rank), F.lit(0))
     spread = key + F.lit(float(offset)) * (F.col("_tie_i") - (F.col("_tie_n") - 1) / 2.0)
     counter = (F.col("_pos") + 1).cast("double")

@@ -266,6 +266,50 @@ _SELECTS = {
     "season_files": (f"SELECT season, key, {iso('last_modified')} AS lastModified, size "
                      "FROM listing WHERE key LIKE '%.json'"),
     "available_seasons": "SELECT DISTINCT season FROM listing",
+    "union_best_effort": f"SELECT {_CLEANSED_SELECT} FROM slice WHERE season NOT IN (1996, 1997)",
+    "skipped_seasons": (
+        "SELECT 1996 AS season, '2025-01-01T00-00-00Z' AS snapshot, 'folder is missing' AS reason "
+        "UNION ALL SELECT 1997, '2025-01-01T00-00-00Z', '0 of 20 rows are readable' "
+        "UNION ALL SELECT 1900, NULL, 'no snapshot' "
+        # asked for by the years of the orders, so a season may lack rows and commits
+        "UNION ALL SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER), NULL, 'no snapshot' "
+        "FROM orders WHERE year(o_orderdate) NOT IN (1996, 1997, 1998) "
+        "AND year(o_orderdate) NOT IN (SELECT season FROM cleansed WHERE season IS NOT NULL)"),
+    "unwrap_skips": (
+        "SELECT * FROM (WITH d AS (SELECT season, seasonType, week, coalesce(week, 4) % 5 AS turn, count(*) AS n "
+        "FROM poll_rows GROUP BY 1, 2, 3) "
+        "SELECT 'documents' AS what, count(*) AS n FROM d "
+        "UNION ALL SELECT 'envelope', count(*) FROM d WHERE turn = 0 "
+        "UNION ALL SELECT 'rows', count(*) FROM d WHERE turn = 1 "
+        "UNION ALL SELECT 'odd', count(*) FROM d WHERE turn > 1 "
+        "UNION ALL SELECT 'data_rows', CAST(coalesce(sum(n), 0) AS BIGINT) FROM d WHERE turn < 2)"),
+    "season_list": ("SELECT DISTINCT season, 'listing' AS source FROM listing "
+                    "UNION ALL SELECT 2024, 'default'"),
+    "memo_poll_table": f"SELECT {_CLEANSED_SELECT} FROM slice",
+    "concurrent_writes": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
+    "encode_in_place": (
+        f"SELECT {_CLEANSED_SELECT}, row_number() OVER (PARTITION BY season ORDER BY "
+        "week NULLS FIRST, poll NULLS FIRST, seasonType NULLS FIRST, school NULLS FIRST) - 1 "
+        "AS position FROM cleansed"),
+    "decode_json_types": (
+        "SELECT season, week, poll, seasonType, school, "
+        "CASE coalesce(rank, 0) % 5 WHEN 0 THEN 'STRING' WHEN 1 THEN 'BIGINT' WHEN 2 THEN 'ARRAY' "
+        "WHEN 3 THEN 'OBJECT' ELSE 'VOID' END AS kind, "
+        "CASE coalesce(rank, 0) % 5 WHEN 0 THEN '\"' || points || '\"' "
+        "WHEN 1 THEN CAST(points AS VARCHAR) WHEN 2 THEN '[' || points || ',null]' "
+        "WHEN 3 THEN '{\"p\":' || points || '}' ELSE 'null' END AS value FROM poll_rows"),
+    "json_type_report": (
+        "SELECT * FROM (WITH r AS (SELECT *, coalesce(week, 0) AS w FROM poll_rows) "
+        "SELECT * FROM (SELECT 'rank' AS column, 'BIGINT' AS expected, 'STRING' AS found, "
+        "count(rank) AS n FROM r WHERE w = 2 "
+        "UNION ALL SELECT 'extra', NULL, 'BOOLEAN', count(*) FROM r WHERE w = 3 "
+        "UNION ALL SELECT 'points', 'BIGINT', 'DECIMAL', count(points) FROM r WHERE w = 4 "
+        "UNION ALL SELECT NULL, 'ARRAY', 'OBJECT', count(*) FROM "
+        "(SELECT DISTINCT season, poll, seasonType FROM r WHERE w = 5)) WHERE n > 0)"),
+    "read_array": f"SELECT {_FLAT_SELECT} FROM poll_rows",
+    "merge_teams_salted": f"SELECT {_CLEANSED_SELECT} FROM cleansed",
+    "visual_rank_by_range": ("SELECT season, week, poll, seasonType, school, rank, visualRank, "
+                             "seasonWeek FROM vr_all"),
 }
 
 

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import warnings
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rankflow.functions.scalar import (
     default_color, default_logos, delta_label, iso_utc, point_label, season_week_label,
@@ -20,23 +23,28 @@ from rankflow.operators.flatten import flatten_rankings, nest_rankings
 from rankflow.operators.merge import merge_teams
 from rankflow.operators.movers import first_ranks, movers, rank_delta, with_first_rank
 from rankflow.operators.ranks import tie_groups, visual_rank, week_groups
-from rankflow.operators.seasons import filter_poll, sample_rows, stamp_season
+from rankflow.operators.seasons import (
+    filter_poll, json_type_report, sample_rows, stamp_season,
+)
 from rankflow.operators.trajectory import (
     chart_rows, emphasis, plot_rank, team_series, top_schools, trajectories,
 )
 from rankflow.operators.weeks import axis_bounds, season_changes, week_dimension
 from rankflow.plans import fixtures
+from rankflow.plans.besteffort import SkippedSeasons, best_effort_poll_table, season_list
 from rankflow.plans.cleansed import (
     COLUMNAR, PARQUET, RANKINGS, TEAMS, build_cleansed, latest_poll_rows, poll_table, raw_seasons,
     read_cleansed, read_newest, write_cleansed,
 )
-from rankflow.plans.manifest import commit, season_folder
+from rankflow.plans.manifest import CommitConflict, commit, head, season_folder
+from rankflow.plans.memo import memoised_poll_table
 from rankflow.plans.oracle import SLICE_POLL, SLICE_TYPE
 from rankflow.schemas import CLEANSED, CLEANSED_COLS, SEASON, TEAM
 from rankflow.session import shared_dir
 from rankflow.sources.columnar import decode_columnar, decode_snapshot, encode_columnar, encode_rows
 from rankflow.sources.readers import (
-    bad_documents, good_documents, land_raw, parse_documents, read_documents, unwrap_envelope,
+    bad_documents, good_documents, land_raw, parse_documents, read_documents, read_rankings,
+    unwrap_envelope,
 )
 from rankflow.sources.snapshots import (
     FALLBACK_SEASONS, available_seasons, latest_per_group, latest_poll, latest_poll_per_season,
@@ -472,3 +480,201 @@ def q_build_cleansed_stream(spark, sf):
 QUERIES["build_cleansed_stream"] = q_build_cleansed_stream
 QUERIES["bad_documents"] = q_bad_documents
 QUERIES["latest_poll_columnar"] = q_latest_poll_columnar
+
+
+# -- what goes on where something is broken, kept results, places, types -------
+
+GONE_SEASON, TORN_SEASON, NEVER_SEASON = 1996, 1997, 1900
+
+
+def _broken_store(spark, sf) -> str:
+    """The cleansed store, with one season whose newest commit has no folder
+    and one whose newest folder holds a file that is no Parquet."""
+    out = _cleansed_store(spark, sf)
+    late = "2025-01-01T00-00-00Z"
+    base = spark.createDataFrame([(GONE_SEASON, 10), (TORN_SEASON, 20)], "season int, rows long")
+    rows = base.withColumn("snapshot", F.lit(late)).withColumn("dataset", F.lit("cleansed"))
+    folder = season_folder()
+    torn = rows.where(F.col("season") == TORN_SEASON).select(folder.alias("f")).first().f
+    spark.range(1).select(F.lit("half a file")).write.text(f"{out}/{torn}")
+    commit(rows.withColumn("format", F.lit(PARQUET)).withColumn("folder", folder), out)
+    return out
+
+
+def _best_effort(spark, sf):
+    out = _broken_store(spark, sf)
+    years = fixtures.table(spark, sf, "orders", "o_orderdate timestamp_ntz").select(
+        F.year("o_orderdate").alias("y")).distinct()
+    seasons = sorted(r.y for r in years.collect() if r.y != fixtures.NULL_SEASON_YEAR)
+    with warnings.catch_warnings():  # the skipped seasons are a result here
+        warnings.simplefilter("ignore", SkippedSeasons)
+        return best_effort_poll_table(spark, out, SLICE_POLL, SLICE_TYPE, [*seasons, NEVER_SEASON])
+
+
+def q_union_best_effort(spark, sf):
+    """The poll table of all seasons but the two that cannot be read."""
+    return _logos_str(_best_effort(spark, sf).rows.select(*CLEANSED_COLS))
+
+
+def q_skipped_seasons(spark, sf):
+    """Which seasons a best-effort read left out, and why."""
+    return _best_effort(spark, sf).skipped
+
+
+def q_unwrap_skips(spark, sf):
+    """Documents by shape and rows of data, counted in the pass that writes the
+    rows. A document's shape goes by its week."""
+    docs = nest_rankings(fixtures.poll_rows(spark, sf))
+    rows = F.flatten(F.transform("polls", lambda p: p["ranks"]))
+    data, turn = F.to_json(rows), F.pmod(F.coalesce("week", F.lit(4)), F.lit(5))
+    envelope = lambda season: F.concat(
+        F.lit('{"season": '), F.coalesce(season.cast("string"), F.lit("null")),
+        F.lit(', "data": '), data, F.lit("}"))
+    doc = (F.when(turn == 0, envelope(F.lit(2024))).when(turn == 1, data)
+           .when(turn == 2, envelope(F.lit(0))).when(turn == 3, F.lit('{"season": 2024}'))
+           .otherwise(F.lit("<html>")))
+    seen = Observation()
+    row = T.StructType([f for f in CLEANSED.fields if f.name in ("school", "rank", "points")])
+    unwrap_envelope(docs.select(doc.alias("doc")), row, seen=seen).write.parquet(
+        shared_dir(spark, "unwrapped"))
+    counts = seen.get
+    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "what string, n long")
+
+
+def q_season_list(spark, sf):
+    """The seasons of a listing, and the default where listing them fails."""
+    def broken():
+        return available_seasons(list_files(spark, shared_dir(spark, "nothing")))
+
+    found = season_list(spark, lambda: available_seasons(fixtures.listing(spark, sf)))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", SkippedSeasons)
+        default = season_list(spark, broken, FALLBACK_SEASONS)
+    return (found.withColumn("source", F.lit("listing"))
+            .unionByName(default.withColumn("source", F.lit("default"))))
+
+
+def q_memo_poll_table(spark, sf):
+    """A kept result read again, after a commit that made an older one stale."""
+    out = shared_dir(spark, "cleansed")
+    rows = _cleansed(spark, sf)
+    write_cleansed(rows.withColumn("points", F.col("points") - 1), out, OLD_STAMP)
+    memoised_poll_table(spark, out, SLICE_POLL, SLICE_TYPE)
+    write_cleansed(rows, out, NEW_STAMP)
+    memoised_poll_table(spark, out, SLICE_POLL, SLICE_TYPE)
+    again = memoised_poll_table(spark, out, SLICE_POLL, SLICE_TYPE)
+    return _logos_str(again.select(*CLEANSED_COLS))
+
+
+def q_concurrent_writes(spark, sf):
+    """Two writers that began at one version: the first to commit is served,
+    the other is refused."""
+    out = shared_dir(spark, "cleansed")
+    rows = _cleansed(spark, sf)
+    base = head(spark, out)
+    write_cleansed(rows, out, OLD_STAMP)
+    late = rows.select("season").distinct().select(
+        F.lit("cleansed").alias("dataset"), "season", F.lit(NEW_STAMP).alias("snapshot"),
+        F.lit("lost").alias("folder"), F.lit(1).cast("long").alias("rows"),
+        F.lit(PARQUET).alias("format"))
+    try:
+        commit(late, out, base)
+    except CommitConflict:
+        return _logos_str(read_cleansed(spark, out).select(*CLEANSED_COLS))
+    raise AssertionError("the second writer was not refused")
+
+
+def q_encode_in_place(spark, sf):
+    """Rows in a stated order, encoded and decoded, with their positions."""
+    order = [F.col(c).asc_nulls_first() for c in ("season", "week", "poll", "seasonType", "school")]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = _cleansed(spark, sf).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    docs = encode_columnar(rows, ["season"], block_rows=FIXTURE_BLOCK_ROWS, in_place=True)
+    return _logos_str(decode_columnar(docs, CLEANSED, position="position")
+                      .select(*CLEANSED_COLS, "position"))
+
+
+def q_decode_json_types(spark, sf):
+    """An undeclared column of mixed JSON types, by what it comes back as."""
+    kind = F.pmod(F.coalesce("rank", F.lit(0)), F.lit(5))
+    points = F.col("points").cast("string")
+    mixed = (F.when(kind == 0, F.concat(F.lit('"'), points, F.lit('"'))).when(kind == 1, points)
+             .when(kind == 2, F.concat(F.lit("["), points, F.lit(', null]')))
+             .when(kind == 3, F.concat(F.lit('{"p": '), points, F.lit("}"))).otherwise("null"))
+    rows = fixtures.poll_rows(spark, sf).select(
+        "season", "week", "poll", "seasonType", F.struct(
+            F.coalesce(F.to_json(F.struct("school")), F.lit("{}")).alias("k"),
+            F.coalesce(F.concat(F.lit('"'), F.col("school"), F.lit('"')), F.lit("null")).alias("s"),
+            mixed.alias("m")).alias("r"))
+    by = ["season", "week", "poll", "seasonType"]  # a poll of a week is one document
+    docs = rows.groupBy(*by).agg(F.array_sort(F.collect_list("r")).alias("r")).select(
+        *by, F.concat(
+            F.lit('{"columns": [{"name": "school", "values": ['),
+            F.array_join(F.transform("r", lambda x: x["s"]), ","),
+            F.lit(']}, {"name": "mixed", "values": ['),
+            F.array_join(F.transform("r", lambda x: x["m"]), ","), F.lit("]}]}")).alias("doc"))
+    school = T.StructType([T.StructField("school", T.StringType())])
+    back = decode_columnar(docs, school, keep=by, undeclared="more", json_types=True)
+    value = F.col("more")["mixed"]
+    return back.select(*by, "school",
+                       F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0).alias("kind"),
+                       F.to_json(value).alias("value"))
+
+
+def q_json_type_report(spark, sf):
+    """Row objects whose fields came in another JSON type than the declared."""
+    week = F.coalesce(F.col("week"), F.lit(0))
+    fields = lambda *more: F.to_json(F.struct("school", *more))
+    row = (F.when(week == 2, fields(F.col("rank").cast("string").alias("rank"), "points"))
+           .when(week == 3, fields("rank", "points", F.lit(True).alias("extra")))
+           .when(week == 4, fields("rank", (F.col("points") + 0.5).alias("points")))
+           .otherwise(fields("rank", "points")))
+    docs = fixtures.poll_rows(spark, sf).select("season", "week", "poll", "seasonType",
+                                                row.alias("row")).groupBy(
+        "season", "week", "poll", "seasonType").agg(F.array_join(F.collect_list("row"), ",").alias("r"))
+    doc = F.when(F.col("week") == 5, F.lit("{}")).otherwise(F.concat(F.lit("["), "r", F.lit("]")))
+    schema = T.StructType([f for f in CLEANSED.fields if f.name in ("school", "rank", "points")])
+    return json_type_report(docs.select(doc.alias("doc")), schema)
+
+
+def q_read_array(spark, sf):
+    """All rankings as one array in one file, read by its pieces."""
+    path = shared_dir(spark, "array")
+    docs = nest_rankings(fixtures.poll_rows(spark, sf)).select(
+        F.to_json(F.struct(*[f.name for f in SEASON.fields])).alias("v"))
+    # documents are bounded by the calendar: a window without a key numbers them
+    n = F.row_number().over(Window.orderBy("v")).alias("n")
+    lines = docs.select(n, "v").select(
+        "n", F.concat(F.when(F.col("n") == 1, F.lit("[")).otherwise(F.lit(",")), "v").alias("v"))
+    end = spark.createDataFrame([(2**31 - 1, "]")], "n int, v string")
+    (lines.unionByName(end).coalesce(1).sortWithinPartitions("n").select("v")
+     .write.option("lineSep", "\n ").text(path))
+    return flatten_rankings(read_rankings(spark, path, multi_line=True))
+
+
+def q_merge_teams_salted(spark, sf):
+    """The left join with a salt on every school that is hot at this size."""
+    return _logos_str(merge_teams(fixtures.poll_rows(spark, sf), fixtures.teams(spark, sf),
+                                  salted=True))
+
+
+def q_visual_rank_by_range(spark, sf):
+    """Visual ranks from range-partitioned positions instead of windows."""
+    return visual_rank(_cleansed(spark, sf), EVERY_POLL, by_range=True).select(
+        "season", "week", "poll", "seasonType", "school", "rank", "visualRank", "seasonWeek")
+
+
+QUERIES |= {
+    "union_best_effort": q_union_best_effort,
+    "skipped_seasons": q_skipped_seasons,
+    "unwrap_skips": q_unwrap_skips,
+    "season_list": q_season_list,
+    "memo_poll_table": q_memo_poll_table,
+    "concurrent_writes": q_concurrent_writes,
+    "encode_in_place": q_encode_in_place,
+    "decode_json_types": q_decode_json_types,
+    "json_type_report": q_json_type_report,
+    "read_array": q_read_array,
+    "merge_teams_salted": q_merge_teams_salted,
+    "visual_rank_by_range": q_visual_rank_by_range,
+}
