@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -106,33 +107,82 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: in
                          .select(*left.columns, *values)))
 
 
+def _cost(x) -> int:
+    """About the bytes that a remembered key or value takes."""
+    if isinstance(x, (bytes, str)):
+        return 50 + len(x)
+    return 60 + sum(map(_cost, x)) if isinstance(x, (tuple, list)) else 32
+
+
 class Remembered(dict):
     """``make(key)`` by key, for the keys of late: two generations of at most
-    ``most`` entries each, so memory is bounded however many keys come."""
+    ``most`` entries and ``most_bytes`` bytes each, so memory is bounded however
+    many keys come and however long they are."""
 
-    def __init__(self, make: Callable, most: int = 150_000):
+    def __init__(self, make: Callable, most: int = 150_000, most_bytes: int = 32 << 20):
         super().__init__()
         self.make, self.most, self.before = make, most, {}
+        self.most_bytes, self.bytes = most_bytes, 0
 
     def __missing__(self, key):
         value = self.before.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.most:
+        if len(self) >= self.most or self.bytes >= self.most_bytes:
             self.before = dict(self)
             self.clear()
+            self.bytes = 0
         self[key] = value
+        self.bytes += 100 + _cost(key) + _cost(value)
         return value
 
 
+def as_row() -> Column:
+    """All columns as one struct, out of the way of any other name."""
+    return F.struct("*")
+
+
+def whole_row(row: str, docs: DataFrame) -> list[Column]:
+    """The columns of ``docs`` out of the struct ``row``, under their names."""
+    return [F.col(row)[c].alias(c) for c in docs.columns]
+
+
 def without(docs: DataFrame, mark: Column, gone: DataFrame) -> DataFrame:
     """``docs`` less the rows whose doc_id and ``mark`` are among the two columns
-    of ``gone``, nulls equal, and less repeated rows of one doc_id and mark."""
+    of ``gone``, nulls equal, and less repeated rows of one doc_id and mark.
+
+    Of these the one with the least hash of all its columns stays, so that it
+    does not depend on a task's order; rows equal in all columns are told apart
+    by their place in ``docs``, which a scan gives each time alike. They are
+    found by partial and final aggregates: a doc_id and text that a third of all
+    rows repeat are never in one task."""
     key = F.struct(F.col("doc_id").cast("long").alias("id"), mark.alias("mark"))
-    names = docs.columns
-    gone = gone.toDF("id", "mark").distinct()
-    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), key.alias("key"))
-    left = rows.join(gone, F.col("key.id").eqNullSafe(F.col("id"))
-                     & (F.col("key.mark") == F.col("mark")), "left_anti")
-    copy = F.row_number().over(Window.partitionBy("key.id", "key.mark").orderBy(F.lit(1)))
-    return left.withColumn("copy", copy).filter("copy = 1").select("row.*")
+    rows = docs.select(as_row().alias("row"), key.alias("key"), _row_hash(docs).alias("hash"),
+                       F.monotonically_increasing_id().alias("place"))
+    first = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
+                                     F.min(F.struct("hash", "place")).alias("stays"))
+             .filter("n > 1").select("key", F.lit(False).alias("gone"), "stays.place"))
+    out = gone.toDF("id", "mark").select(F.struct("id", "mark").alias("key"),
+                                         F.lit(True).alias("gone"),
+                                         F.lit(None).cast("long").alias("place"))
+    # one decision a key, so that whole rows are shuffled once
+    decided = (out.unionByName(first).groupBy(F.col("key").alias("of"))
+               .agg(F.max("gone").alias("gone"), F.max("place").alias("stays")))
+    return (rows.join(decided, F.col("key") == F.col("of"), "left")
+            .filter(F.col("of").isNull()
+                    | ~F.col("gone") & (F.col("stays") == F.col("place")))
+            .select(*whole_row("row", docs)))
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """Of all columns; maps and variants, which no hash takes, as JSON."""
+    def hashable(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(hashable(f.dataType) for f in kind.fields)
+        if isinstance(kind, T.ArrayType):
+            return hashable(kind.elementType)
+        return not isinstance(kind, (T.MapType, T.VariantType))
+
+    whole = as_row()
+    return F.xxhash64(*[whole[f.name] if hashable(f.dataType) else F.to_json(F.struct(whole[f.name]))
+                        for f in docs.schema.fields])

@@ -20,7 +20,9 @@ import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import astuple, dataclass
+from itertools import accumulate, groupby
 
 import pyarrow as pa
 import regex
@@ -28,10 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.llm.bpe_codec import byte_symbols
-from rankflow.llm.common import FileBytes, Remembered, id_text, map_rows, partitions, raw_texts
+from rankflow.llm.common import FileBytes, Remembered, id_text, on_workers, partitions, raw_texts
 from rankflow.session import materialize
 
 CAPACITY = 2048
+#: documents that a worker holds as objects at a time, and bytes of ids it holds back
+READ_ROWS, EMIT_BYTES = 500, 4 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -51,8 +55,8 @@ class LibraryEncoder:
         self.plain = regex.compile(
             rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9]+")
         self.symbols = dict(enumerate(byte_symbols()))
-        self.pieces = Remembered(self._piece, 200_000)
-        self.chunks = Remembered(self._chunk, 400_000)
+        self.pieces = Remembered(self._piece, 200_000, 16 << 20)
+        self.chunks = Remembered(self._chunk, 400_000, 32 << 20)
 
     def _piece(self, piece: str) -> bytes:
         ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
@@ -97,31 +101,37 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
     names = [x.split()[0] for x in schema.split(", ")]
     end = struct.pack("<I", end_id)
 
-    def make():
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True))
+        arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
+                  *[pa.array(c, pa.int64()) for c in cols[2:5]]]
+        if with_ids:
+            flat = pa.Array.from_buffers(pa.int32(), sum(cols[3]),
+                                         [None, pa.py_buffer(b"".join(cols[5]))])
+            ends = [0, *accumulate(cols[3])]
+            arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(data.value).encode
-
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = []
-            for doc, raw in zip(batch.column(0).to_pylist(), raw_texts(batch), strict=True):
-                ids = encode(raw) + end
-                for n, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    row = (doc, n, at // 4, len(part) // 4, zlib.crc32(part))
-                    rows.append((*row, part) if with_ids else row)
-            cols = list(zip(*rows, strict=True))
-            arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
-                      *[pa.array(c, pa.int64()) for c in cols[2:5]]]
-            if with_ids:
-                flat = pa.Array.from_buffers(pa.int32(), sum(cols[3]),
-                                             [None, pa.py_buffer(b"".join(cols[5]))])
-                ends = [0]
-                for n in cols[3]:
-                    ends.append(ends[-1] + n)
-                arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
-            return pa.RecordBatch.from_arrays(arrays, names)
-        return each
-
-    return map_rows(id_text(docs), make, schema)
+        for whole in batches:
+            for low in range(0, whole.num_rows, READ_ROWS):
+                batch, rows, held = whole.slice(low, READ_ROWS), [], 0
+                for doc, raw in zip(batch.column(0).to_pylist(), raw_texts(batch), strict=True):
+                    ids = encode(raw) + end
+                    for n, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at:at + 4 * capacity]
+                        row = (doc, n, at // 4, len(part) // 4, zlib.crc32(part))
+                        rows.append((*row, part) if with_ids else row)
+                        held += len(part) if with_ids else 0
+                        if held >= EMIT_BYTES:
+                            yield batch_of(rows)
+                            rows, held = [], 0
+                if rows:
+                    yield batch_of(rows)
+
+    on_workers(docs.sparkSession)
+    return id_text(docs).mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)
@@ -178,45 +188,80 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Slots]:
     return out
 
 
+def rank_blocks(slots: list[Slots], counts: dict[int, int]) -> list[tuple]:
+    """``slots`` by (length, block of ranks): a length with k entries has blocks
+    of about a k-th of its ranks, and an entry is repeated for each block that it
+    reaches into. A length has fewer than 2 k + 1 such rows, and its pieces meet
+    about two entries each, however many k is."""
+    out = []
+    for length, own in groupby(slots, key=lambda s: s.length):
+        entries = list(own)
+        size = max(1, counts[length] // len(entries))
+        for s in entries:
+            last = (s.first_rank + s.ranks - 1) // size
+            out += [(*astuple(s), size, k) for k in range(s.first_rank // size, last + 1)]
+    return out
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY, buckets: int | None = None) -> DataFrame:
-    """``cut`` (a table of pieces) with sequence_id and offset.
+    """``cut`` (a written table of pieces) with sequence_id and offset.
 
     Pieces of a sequence lie side by side from offset 0 on. Sequences are as
     few as best-fit decreasing makes them. Repeated rows and null doc_ids are
     pieces like any other, an empty text is a piece of its end id alone, no
     pieces make no sequences.
+
+    Ranks and places are found on narrow rows; what else a piece has, its ids
+    above all, is not sorted and joins its place at the end, by a number of its
+    own from the table's place in ``cut``.
     """
     spark = cut.sparkSession
     buckets = buckets or partitions(spark)
+    names = ["doc_id", "piece", "length"]
+    wide = [c for c in cut.columns if c not in (*names, "start", "ids_crc32")]
+    if wide:
+        cut = materialize(cut.withColumn("__row", F.monotonically_increasing_id()),
+                          "packing_numbered")
+        dealt = cut.select(*names, "__row")
+    else:
+        dealt = cut
     bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).alias("__bucket")
-    dealt = cut.select("*", bucket)
+    dealt = dealt.select("*", bucket)
     sizes = materialize(dealt.groupBy("length", "__bucket").agg(F.count(F.lit(1)).alias("n")),
                         "packing_sizes")
     counts = {r.length: r.n for r in  # one row a length, so at most capacity
               sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = F.broadcast(spark.createDataFrame(
-        [astuple(s) for s in plan(counts, capacity)],
-        "length long, first_rank long, ranks long, per_bin long, first_bin long, base long"))
+        rank_blocks(plan(counts, capacity), counts),
+        "length long, first_rank long, ranks long, per_bin long, first_bin long, base long, "
+        "__size long, __block long"))
     earlier = Window.partitionBy("length").orderBy("__bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     bases = sizes.select("length", "__bucket",
                          F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__base"))
+    block_size = slots.select("length", "__size").distinct()  # a row a length
+    bases = bases.join(F.broadcast(block_size), "length")
     within = Window.partitionBy("length", "__bucket").orderBy("doc_id", "piece")
     ranked = (dealt.join(bases, ["length", "__bucket"])
-              .withColumn("__rank", F.col("__base") + F.row_number().over(within) - 1))
+              .withColumn("__rank", F.col("__base") + F.row_number().over(within) - 1)
+              .withColumn("__block", F.floor(F.col("__rank") / F.col("__size")).cast("long")))
     at = F.col("__rank") - F.col("first_rank")
-    return (
-        ranked.join(slots, "length")
+    placed = (
+        ranked.drop("__size").join(slots.drop("__size"), ["length", "__block"])
         .filter((at >= 0) & (at < F.col("ranks")))
         .withColumn("sequence_id", F.col("first_bin") + F.floor(at / F.col("per_bin")))
-        .withColumn("offset", F.col("base") + at % F.col("per_bin") * F.col("length"))
-        .select(*cut.columns, "sequence_id", "offset")
-    )
+        .withColumn("offset", F.col("base") + at % F.col("per_bin") * F.col("length")))
+    if wide:
+        places = placed.select("__row", "sequence_id", "offset")
+        placed = cut.join(places, "__row")
+    return placed.select(*[c for c in cut.columns if c != "__row"], "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY,
                    with_ids: bool = False) -> DataFrame:
     """Pieces of all documents (see ``pieces``) with their places (see
     ``pack``). The pieces are written once, so that a rank never changes."""
-    cut = materialize(pieces(docs, path, capacity, with_ids=with_ids), "packing_pieces")
-    return pack(cut, capacity)
+    cut = pieces(docs, path, capacity, with_ids=with_ids)
+    if with_ids:  # numbered and written by ``pack``
+        return pack(cut, capacity)
+    return pack(materialize(cut, "packing_pieces"), capacity)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankflow.llm.common import partitions
+from rankflow.llm.common import as_row, partitions
 from rankflow.session import materialize
 
 DIMENSIONS = ("source", "lang", "size", "doc_id")
@@ -299,8 +299,7 @@ def write_shards(docs: DataFrame, path: str, target_bytes: int,
     scan does."""
     rows = materialize(narrow(docs, dims), "sharding_rows")
     levels, leaves = grow(rows, target_bytes=target_bytes)
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
-    placed = assign(docs.select(whole, *keys(docs, dims)), levels, leaves)
+    placed = assign(docs.select(as_row().alias("whole"), *keys(docs, dims)), levels, leaves)
     file = F.pmod(F.col("tie") + F.col("row"), F.lit(files))
     (placed.select("whole", "shard", file.alias("file"))
      .repartition(max(partitions(docs.sparkSession), len(leaves) * files), "shard", "file")

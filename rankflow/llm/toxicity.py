@@ -165,15 +165,16 @@ class ToxicityModel:
     def ready(self) -> None:
         self.names = Terms(self.kept)
         self.index = BlockMaxIndex(len(self.kept), self.rows, self.votes)
-        self.known = Remembered(self._vote, 50_000)
+        self.known = Remembered(self._vote, 50_000, 16 << 20)
 
     def vector(self, counts: dict[int, int]) -> dict[int, float]:
         w = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
         norm = math.sqrt(sum(x * x for x in w.values()))
         return {t: x / norm for t, x in w.items()} if norm else {}
 
-    def _vote(self, counts: tuple) -> tuple[float, list[int], list[bytes]]:
-        query = self.vector(dict(counts))
+    def _vote(self, counts: bytes) -> tuple[float, list[int], list[bytes]]:
+        pairs = np.frombuffer(counts, np.int64).reshape(-1, 2).tolist()
+        query = self.vector(dict(pairs))
         near = self.index.nearest(query, self.neighbours)
         if not near:
             return self.prior, [], []
@@ -187,7 +188,7 @@ class ToxicityModel:
 
     def score(self, raw: bytes) -> tuple[float, list[int], list[bytes]]:
         """Score, doc_ids of the nearest examples, and the terms shared with them."""
-        return self.known[tuple(sorted(self.names.counts(raw).items()))]
+        return self.known[np.array(sorted(self.names.counts(raw).items()), np.int64).tobytes()]
 
 
 def _local(model: ToxicityModel) -> ToxicityModel:
@@ -211,8 +212,11 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
     draw = [known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
             for y in (1, 0)]
     chosen = materialize(
-        texts.join(F.broadcast(draw[0].unionByName(draw[1])), "doc_id")  # 2 * examples rows
-        .groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")),
+        texts.join(F.broadcast(draw[0].unionByName(draw[1])), "doc_id")
+        # 2 * examples rows, as a doc_id is an example with one of its texts at most
+        .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("one"),
+                               F.max("toxic").alias("toxic"))
+        .select("doc_id", "one.text", "toxic").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")),
         "toxicity_examples")
     got = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     weight = tuple(have.get(y, 0) / got[y] if got.get(y) else 0.0 for y in (1, 0))
@@ -348,11 +352,14 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) ->
     came. Rows are decided in place: nothing is shuffled or joined."""
     on_workers(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    # ``mapInArrow`` looks columns up by name, which dots and quotes would break
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = plain.columns[docs.columns.index("text")]
 
     def run(batches):
         score = _local(sent.value).score
         for batch in batches:
-            keep = [score(raw)[0] < threshold for raw in raw_texts(batch)]
+            keep = [score(raw)[0] < threshold for raw in raw_texts(batch, text)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

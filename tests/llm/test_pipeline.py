@@ -64,6 +64,42 @@ def test_secret_stage_updates_n_chars_of_changed_texts_only(spark, tmp_path):
     assert [r.n_chars for r in rows[1:]] == [r.n_chars for r in docs.collect()[1:]]
 
 
+def test_no_column_name_is_in_the_way(spark, tmp_path):
+    """Names of helpers' columns, dotted and quoted ones, in every stage."""
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    names = ["__before", "row", "key", "a.b", "a`b", "place", "whole", "bucket", "__row", "mark", "id"]
+    schema = "doc_id long, text string, n_chars long, " + ", ".join(
+        f"`{n.replace('`', '``')}` string" for n in names)
+    text = "a password = abcdefghijklmnop"
+    docs = spark.createDataFrame(
+        [(1, text, 29, *names), (2, "other text of some words", 24, *names), (None, None, None, *names)],
+        schema)
+    for name, _ in P.STAGES[:-1]:
+        out = stage(spark, name, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert list(r)[3:] == names
+            if name == "secret_scan" and r.doc_id == 1:
+                assert (r.text, r.n_chars) == ("a [SECRET]", 10)
+    masked = stage(spark, "secret_scan", docs, str(tmp_path)).collect()
+    assert not any("abcdefghijklmnop" in str(v) for r in masked for v in r)
+    packed = stage(spark, "packing", docs, str(tmp_path)).collect()
+    assert sorted(repr(r.doc_id) for r in packed) == ["1", "2", "None"]
+
+
+def test_which_of_repeated_rows_stays_does_not_depend_on_order(spark):
+    rows = [(7, "Same", f"src{i % 5}", i % 3) for i in range(300)] + [(8, "x", "y", 1)] * 40
+    schema = "doc_id long, text string, source string, n_chars long"
+    kept = set()
+    for parts, order in ((1, rows), (7, rows[::-1]), (3, sorted(rows, key=str))):
+        docs = spark.createDataFrame(order, schema).repartition(parts)
+        out = P.drop_copies(spark, docs, "")
+        assert out.schema == docs.schema
+        kept.add(tuple(sorted(tuple(r) for r in out.collect())))
+    assert len(kept) == 1 and len(kept.pop()) == 2
+
+
 def test_without_the_subpackage_the_entry_still_imports(tmp_path):
     """What is left when this part is deleted."""
     import shutil
