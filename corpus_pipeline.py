@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.llm import exact_dedup, packing, secret_scan, simhash_dedup, toxicity
-from rankflow.llm.common import documents, tokenizer_path
+from rankflow.llm.common import as_row, documents, tokenizer_path
 from rankflow.session import materialize
 
 #: Toxicity, near duplicates, secret models and packing are beyond SQL.
@@ -38,14 +38,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each secret becomes a mark; every document stays. ``n_chars`` follows
     the text where that has changed."""
-    names = docs.columns
-    out = docs.withColumn("__before", F.col("text"))
-    out = secret_scan.mask(out, secret_scan.train(docs))
-    if "n_chars" in names:
+    # the row is set aside as one column, so that no name of it is in the way
+    held = docs.select(as_row().alias("row"), F.col("text"))
+    out = secret_scan.mask(held, secret_scan.train(docs))
+    changed = F.col("text") != F.col("row")["text"]
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("text") != F.col("__before"), length)
-                             .otherwise(F.col("n_chars")))
-    return out.select(*names)
+        new["n_chars"] = F.when(changed, length).otherwise(F.col("row")["n_chars"])
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
