@@ -16,7 +16,7 @@ stage still merges them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import ascii_lower, id_text, partitions, without
@@ -48,8 +48,8 @@ def exact_duplicates(docs: DataFrame, salts: int | None = None, block: int = BLO
         .withColumn("digest", F.coalesce(F.unhex(F.sha2("content", 256)), F.lit(b"")))
     )
     # narrow rows, written once; ``part`` tells apart different texts of one digest
-    keys = materialize(rows.select("doc_id", "digest", F.xxhash64("content").alias("part")),
-                       "exact_keys")
+    keys = materialize(rows.select("doc_id", "digest", F.xxhash64("content").alias("part"),
+                                   F.monotonically_increasing_id().alias("row")), "exact_keys")
     least = keys.count() / hot_share
     hot = F.broadcast(  # fewer than hot_share rows
         keys.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
@@ -71,17 +71,19 @@ def exact_duplicates(docs: DataFrame, salts: int | None = None, block: int = BLO
         .agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
         .select("digest", part, "keep_id", "group_size")
     )
+    # the one row that stays, by partial and final aggregate, whoever repeats it
+    first = (keys.groupBy("digest", "part").agg(F.max(F.struct("doc_id", "row")).alias("w"))
+             .select("digest", "part", F.col("w.row").alias("first")))
+    hot_first = F.broadcast(first.join(hot, "digest").drop("hot"))  # of the hot digests only
     flagged = keys.join(hot, "digest", "left")
+    same = ["digest", "part"]
     members = (
-        flagged.filter("hot is null").drop("hot").join(cold_groups, ["digest", "part"])
+        flagged.filter("hot is null").drop("hot").join(cold_groups, same).join(first, same)
         .unionByName(flagged.filter("hot").drop("hot")
-                     .join(F.broadcast(hot_groups), ["digest", "part"]))
+                     .join(F.broadcast(hot_groups), same).join(hot_first, same))
     )
-    same = Window.partitionBy("digest", "part", "doc_id").orderBy(F.lit(1))
-    first = F.row_number().over(same) == 1
     return members.select(
-        "doc_id", "keep_id", "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & first).alias("kept"),
+        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("first")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 

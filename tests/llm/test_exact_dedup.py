@@ -55,3 +55,13 @@ def test_keep_distinct_keeps_columns_and_one_row_a_text(odd):
     assert kept.schema == odd.schema
     texts = sorted((r.text or "").translate(AZ) for r in kept.collect())
     assert texts == sorted({(t or "").translate(AZ) for t in ODD_TEXTS})
+
+
+def test_one_doc_id_and_text_on_a_third_of_all_rows(spark):
+    """Repeated rows, hot ones: one is kept, by an aggregate and not by a window."""
+    ids = [7 if i % 3 == 0 else None if i % 3 == 1 else i for i in range(600)]
+    texts = ["Same" if i % 3 < 2 else f"text {i}" for i in range(600)]
+    found = exact_duplicates(docs_of(spark, texts, ids).repartition(4), hot_share=10)
+    assert rows(found) == brute(ids, texts)
+    assert sum(r.kept for r in found.collect()) == len(set(texts))
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
