@@ -8,8 +8,13 @@ end mark.
 A word is merged on a contiguous array of its parts' ranks: the parts lie
 between boundaries, ``ranks[i]`` belongs to parts i and i + 1. The array is
 scanned for its minimum, that boundary is deleted, and the ranks on both sides
-are looked up anew. Long words keep the array in blocks, each with its own
-minimum, so that a scan costs a block and not the word.
+are looked up anew. Long words keep the array in blocks under a tree of their
+minima, so that a merge costs a scan of one block and of one node a level, and
+not the word.
+
+The rules decide by Unicode's classes and case tables, whose editions differ
+between libraries, so beyond Latin-1 they are applied by the tokenizers library
+itself; the merging is done here.
 """
 
 from __future__ import annotations
@@ -17,20 +22,18 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
-import unicodedata
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from rankflow.llm.common import FileBytes, Remembered, id_text, map_rows, raw_texts
 
 NONE = 1 << 30
 LONG = 256
 BLOCK = 128
-#: What the rules call white space.
-WIDE_SPACE = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE = r"\t-\r " + WIDE_SPACE
+FAN_OUT = 64
 
 
 def byte_symbols() -> list[str]:
@@ -41,6 +44,35 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(free)) for b in range(256)]
 
 
+class Minima:
+    """The leftmost least of many values that change, by a tree of minima."""
+
+    def __init__(self, values: list[int]):
+        self.levels = [values]
+        while len(values) > 1:
+            values = [min(values[i:i + FAN_OUT]) for i in range(0, len(values), FAN_OUT)]
+            self.levels.append(values)
+
+    def where(self) -> int | None:
+        """Place of the least value, None where all are ``NONE``."""
+        low = self.levels[-1][0]
+        if low == NONE:
+            return None
+        k = 0
+        for level in reversed(self.levels[:-1]):
+            k = level.index(low, k * FAN_OUT)
+        return k
+
+    def set(self, k: int, value: int) -> None:
+        self.levels[0][k] = value
+        for level, above in zip(self.levels, self.levels[1:], strict=False):
+            k //= FAN_OUT
+            value = min(level[k * FAN_OUT:(k + 1) * FAN_OUT])
+            if above[k] == value:
+                return
+            above[k] = value
+
+
 class Vocabulary:
     """Tokens, merge ranks and text rules of a vocabulary file."""
 
@@ -58,18 +90,26 @@ class Vocabulary:
         symbols = byte_symbols()
         self.first = [self.ids[s] for s in symbols]
         self.last = [self.ids[s + self.end] for s in symbols]
+        rules = Tokenizer.from_str(data.decode())
+        self.normal, self.split = rules.normalizer, rules.pre_tokenizer
+        self.bytes = {s: b for b, s in enumerate(symbols)}
+        # signs and letters that are NFC already and lower-cased one by one
+        self.simple = regex.compile("[ -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+        letters = "a-z\u00df-\u00f6\u00f8-\u00ff"
         self.words = regex.compile(
-            rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
-        self.ascii_words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\s]+")
-        self.spaces = regex.compile(f"[{SPACE}]+")
+            rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9 ]+")
+        self.ascii_words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9 ]+")
         self.cut = regex.compile("|".join(map(regex.escape, self.special)))
-        self.merged = Remembered(lambda w: self.merge(w.encode()), 200_000)
+        self.merged = Remembered(self.merge, 200_000)
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, text: str) -> list[bytes]:
+        """The words of a text without special strings, in UTF-8."""
         if text.isascii() and text.isprintable():
-            return self.ascii_words.findall(text.lower())
-        text = self.spaces.sub(" ", unicodedata.normalize("NFC", text))
-        return self.words.findall("".join(map(str.lower, text)))  # each character by itself
+            return [w.encode() for w in self.ascii_words.findall(text.lower())]
+        if self.simple.fullmatch(text):
+            return [w.encode() for w in self.words.findall(text.lower())]
+        found = self.split.pre_tokenize_str(self.normal.normalize_str(text))
+        return [bytes(map(self.bytes.__getitem__, w)) for w, _ in found]
 
     def merge(self, word: bytes) -> list[int]:
         parts = [self.first[b] for b in word]
@@ -94,39 +134,35 @@ class Vocabulary:
 
     def _merge_long(self, parts: list[int]) -> list[int]:
         """As ``_merge``, with parts and ranks in blocks. The rank of a block's
-        last part is that with the first part of the next block."""
+        last part is that with the first part of the next block that holds one."""
         look, no = self.merges.get, (NONE, 0)
+        flat = [look(two, no)[0] for two in zip(parts, parts[1:], strict=False)] + [NONE]
         blocks = [parts[i:i + BLOCK] for i in range(0, len(parts), BLOCK)]
-        following = [*parts[1:], None]
-        flat = [NONE if b is None else look((a, b), no)[0]
-                for a, b in zip(parts, following, strict=True)]
         ranks = [flat[i:i + BLOCK] for i in range(0, len(parts), BLOCK)]
-        least = [min(r) for r in ranks]
-        while (low := min(least)) != NONE:
-            k = least.index(low)
-            i = ranks[k].index(low)
-            right = (k, i + 1) if i + 1 < len(blocks[k]) else (k + 1, 0)
-            merged = look((blocks[k][i], blocks[right[0]][right[1]]))[1]
-            blocks[k][i] = merged
+        # neighbours that are not empty; -1 and len(blocks) are the ends
+        after, before = [i + 1 for i in range(len(blocks))], [i - 1 for i in range(len(blocks))]
+        least = Minima([min(r) for r in ranks])
+        while (k := least.where()) is not None:
+            i = ranks[k].index(least.levels[0][k])
+            b, j = (k, i + 1) if i + 1 < len(blocks[k]) else (after[k], 0)
+            merged = blocks[k][i] = look((blocks[k][i], blocks[b][j]))[1]
             # the boundary goes; the merged part's right neighbour is the next one's
-            ranks[k][i] = ranks[right[0]][right[1]]
-            del blocks[right[0]][right[1]], ranks[right[0]][right[1]]
-            touched = {k}
-            if not blocks[right[0]]:
-                del blocks[right[0]], ranks[right[0]], least[right[0]]
-            else:
-                touched.add(right[0])
-            after = (k, i + 1) if i + 1 < len(blocks[k]) else (k + 1, 0)
-            if after[0] < len(blocks):
-                ranks[k][i] = look((merged, blocks[after[0]][after[1]]), no)[0]
-            else:
-                ranks[k][i] = NONE
-            if i or k:
-                b, j = (k, i - 1) if i else (k - 1, len(blocks[k - 1]) - 1)
-                ranks[b][j] = look((blocks[b][j], merged), no)[0]
-                touched.add(b)
-            for b in touched:
-                least[b] = min(ranks[b])
+            del blocks[b][j], ranks[b][j]
+            if not blocks[b]:
+                after[k] = after[b]
+                if after[b] < len(blocks):
+                    before[after[b]] = k
+                least.set(b, NONE)
+            elif b != k:
+                least.set(b, min(ranks[b]))
+            c, j = (k, i + 1) if i + 1 < len(blocks[k]) else (after[k], 0)
+            ranks[k][i] = look((merged, blocks[c][j]), no)[0] if c < len(blocks) else NONE
+            c, j = (k, i - 1) if i else (before[k], -1)
+            if c >= 0:
+                ranks[c][j] = look((blocks[c][j], merged), no)[0]
+                if c != k:
+                    least.set(c, min(ranks[c]))
+            least.set(k, min(ranks[k]))
         return [p for block in blocks for p in block]
 
     def encode_piece(self, text: str) -> list[int]:
