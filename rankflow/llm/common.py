@@ -107,33 +107,25 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, weight: str, total: in
                          .select(*left.columns, *values)))
 
 
-def _cost(x) -> int:
-    """About the bytes that a remembered key or value takes."""
-    if isinstance(x, (bytes, str)):
-        return 50 + len(x)
-    return 60 + sum(map(_cost, x)) if isinstance(x, (tuple, list)) else 32
-
-
 class Remembered(dict):
     """``make(key)`` by key, for the keys of late: two generations of at most
-    ``most`` entries and ``most_bytes`` bytes each, so memory is bounded however
-    many keys come and however long they are."""
+    ``most`` entries each. Keys longer than ``longest`` are not kept, so memory
+    is bounded however many keys come and however long they are."""
 
-    def __init__(self, make: Callable, most: int = 150_000, most_bytes: int = 32 << 20):
+    def __init__(self, make: Callable, most: int = 150_000, longest: int = 64):
         super().__init__()
-        self.make, self.most, self.before = make, most, {}
-        self.most_bytes, self.bytes = most_bytes, 0
+        self.make, self.most, self.longest, self.before = make, most, longest, {}
 
     def __missing__(self, key):
         value = self.before.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.most or self.bytes >= self.most_bytes:
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.most:
             self.before = dict(self)
             self.clear()
-            self.bytes = 0
         self[key] = value
-        self.bytes += 100 + _cost(key) + _cost(value)
         return value
 
 

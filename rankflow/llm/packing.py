@@ -36,6 +36,8 @@ from rankflow.session import materialize
 CAPACITY = 2048
 #: documents that a worker holds as objects at a time, and bytes of ids it holds back
 READ_ROWS, EMIT_BYTES = 500, 4 << 20
+#: words that a worker remembers
+REMEMBER = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -44,7 +46,7 @@ class LibraryEncoder:
     with word ends crosses white space, so each chunk between is encoded once
     and remembered, A-Z already lower-cased."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, remember: int = REMEMBER):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(data.decode())
@@ -55,8 +57,8 @@ class LibraryEncoder:
         self.plain = regex.compile(
             rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^{letters}0-9]+")
         self.symbols = dict(enumerate(byte_symbols()))
-        self.pieces = Remembered(self._piece, 200_000, 16 << 20)
-        self.chunks = Remembered(self._chunk, 400_000, 32 << 20)
+        self.pieces = Remembered(self._piece, remember // 2)
+        self.chunks = Remembered(self._chunk, remember)
 
     def _piece(self, piece: str) -> bytes:
         ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
@@ -82,20 +84,22 @@ class LibraryEncoder:
         return b"".join(map(self.chunks.__getitem__, low.split()))
 
 
-_encoders: dict[int, LibraryEncoder] = {}
+_encoders: dict[tuple[int, int], LibraryEncoder] = {}
 
 
-def encoder(data: bytes) -> LibraryEncoder:
-    key = hash(data)
+def encoder(data: bytes, remember: int = REMEMBER) -> LibraryEncoder:
+    """One a worker, vocabulary and size of its memory."""
+    key = hash(data), remember
     if key not in _encoders:
-        _encoders[key] = LibraryEncoder(data)
+        _encoders[key] = LibraryEncoder(data, remember)
     return _encoders[key]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, remember: int = REMEMBER) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, and with ``with_ids`` ids: each
-    document's ids and ``end_id``, cut every ``capacity`` ids."""
+    document's ids and ``end_id``, cut every ``capacity`` ids. A worker keeps
+    the ids of up to twice ``remember`` words (80 MB at the default)."""
     data = FileBytes(docs.sparkSession, path)
     schema = PIECES + (", ids array<int>" if with_ids else "")
     names = [x.split()[0] for x in schema.split(", ")]
@@ -113,7 +117,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0
         return pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(data.value).encode
+        encode = encoder(data.value, remember).encode
         for whole in batches:
             for low in range(0, whole.num_rows, READ_ROWS):
                 batch, rows, held = whole.slice(low, READ_ROWS), [], 0
@@ -258,10 +262,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, buckets: int | None = None) -
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, remember: int = REMEMBER) -> DataFrame:
     """Pieces of all documents (see ``pieces``) with their places (see
     ``pack``). The pieces are written once, so that a rank never changes."""
-    cut = pieces(docs, path, capacity, with_ids=with_ids)
+    cut = pieces(docs, path, capacity, with_ids=with_ids, remember=remember)
     if with_ids:  # numbered and written by ``pack``
         return pack(cut, capacity)
     return pack(materialize(cut, "packing_pieces"), capacity)

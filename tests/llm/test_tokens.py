@@ -180,3 +180,74 @@ def test_plan_is_best_fit_decreasing(seed):
             at += length
         assert at <= capacity
     assert len(filled) == best_fit_decreasing(lengths, capacity)
+
+
+def test_codec_matches_the_library_on_every_code_point(word):
+    """Alone, between letters, and before a digit: classes, case and NFC."""
+    with open(WORD, "rb") as f:
+        codec = bpe_codec.Codec(f.read())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"b{chr(c)}c {chr(c)}1 " for c in points[i:i + 64])
+             for i in range(0, len(points), 64)]
+    wanted = word.encode_batch(texts, add_special_tokens=False)
+    odd = [t for t, w in zip(texts, wanted, strict=True) if codec.run(t.encode())[0] != pack_ids(w.ids)]
+    assert not odd
+
+
+def test_very_long_words(word):
+    import time
+
+    with open(WORD, "rb") as f:
+        codec = bpe_codec.Codec(f.read())
+    rng = random.Random(9)
+    for text in ("a" * 300_000, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300_000)),
+                 "ab" * 100_000, "é" * 50_000):
+        began = time.time()
+        got = codec.run(text.encode())[0]
+        assert time.time() - began < 30
+        assert got == pack_ids(word.encode(text, add_special_tokens=False).ids)
+
+
+def test_minima():
+    rng = random.Random(2)
+    for n in (1, 2, 64, 65, 5000):
+        values = [rng.randrange(50) for _ in range(n)]
+        tree = bpe_codec.Minima(list(values))
+        for _ in range(200):
+            assert tree.where() == (values.index(min(values)) if min(values) < bpe_codec.NONE else None)
+            k, new = rng.randrange(n), rng.choice([rng.randrange(50), bpe_codec.NONE])
+            values[k] = new
+            tree.set(k, new)
+
+
+def test_remembered_bytes_are_bounded():
+    from rankflow.llm.common import Remembered
+
+    known = Remembered(lambda k: k * 100, most=50, longest=8)
+    for i in range(2000):
+        for key in (f"{i:05d}", f"a long key, {i}"):
+            assert known[key] == key * 100
+        assert len(known) <= 50 and len(known.before) <= 50
+        assert all(len(k) <= 8 for k in (*known, *known.before))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pieces_meet_few_slots_of_their_length(seed):
+    """Blocks of ranks: every rank finds its entry, and not many others."""
+    rng = random.Random(seed)
+    capacity = 64
+    counts = {n: rng.choice([1, 7, 300, 5000]) for n in rng.sample(range(1, capacity + 1), 20)}
+    slots = packing.plan(counts, capacity)
+    rows = packing.rank_blocks(slots, counts)
+    entries, met = {}, 0
+    for length, first, ranks, *_, size, block in rows:
+        entries.setdefault((length, block), []).append((first, ranks, size))
+    for length, n in counts.items():
+        size = next(s for (k, _), e in entries.items() if k == length for *_, s in e)
+        own = len([s for s in slots if s.length == length])
+        assert len([r for r in rows if r[0] == length]) <= 2 * own + n // size + 1
+        for rank in range(n):
+            near = entries[length, rank // size]
+            met += len(near)
+            assert sum(first <= rank < first + ranks for first, ranks, _ in near) == 1
+    assert met <= 4 * sum(counts.values()) + len(rows)
