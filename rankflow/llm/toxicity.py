@@ -165,7 +165,7 @@ class ToxicityModel:
     def ready(self) -> None:
         self.names = Terms(self.kept)
         self.index = BlockMaxIndex(len(self.kept), self.rows, self.votes)
-        self.known = Remembered(self._vote, 50_000, 16 << 20)
+        self.known = Remembered(self._vote, 30_000, 1024)
 
     def vector(self, counts: dict[int, int]) -> dict[int, float]:
         w = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
