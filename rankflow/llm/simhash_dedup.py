@@ -153,15 +153,19 @@ def components(edges: DataFrame) -> DataFrame:
     labels = materialize(both.groupBy(F.col("u").alias("fp"))
                          .agg(F.min("v").alias("v"))
                          .select("fp", F.least("fp", "v").alias("root")), "simhash_labels")
+    count = labels.count()
     while True:
         offered = (both.join(labels, both.u == labels.fp)
                    .groupBy(F.col("v").alias("fp")).agg(F.min("root").alias("offer")))
         lower = labels.join(offered, "fp").select(
             "fp", F.col("root").alias("old"), F.least("root", "offer").alias("root"))
-        own = labels.select(F.col("fp").alias("root"), F.col("root").alias("next"))
+        # a giant component's label is the key of all its members
+        sizes = lower.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+        own = sizes.join(labels.select(F.col("fp").alias("root"), F.col("root").alias("next")),
+                         "root")
         moved = materialize(
-            lower.join(own, "root").select("fp", "old", F.least("root", "next").alias("root")),
-            "simhash_labels")
+            join_hot(lower, own, "root", "members", count)
+            .select("fp", "old", F.least("root", "next").alias("root")), "simhash_labels")
         labels = moved.drop("old")
         if moved.filter("root <> old").isEmpty():
             return labels
