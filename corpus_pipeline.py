@@ -50,9 +50,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their ids and places in sequences of 2,048 ids."""
+    """Pieces with their ids and places in sequences of 2,048 ids. The workers
+    hold what the stages before have left in them, so they remember fewer words."""
     path = tokenizer_path("word_bpe_49k.json")
-    return packing.pack_documents(docs, path, capacity=2048, with_ids=True)
+    return packing.pack_documents(docs, path, capacity=2048, with_ids=True, remember=160_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
