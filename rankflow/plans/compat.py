@@ -5,9 +5,9 @@ snapshot:
             {year}/raw/teams_{stamp}.json
   cleansed: cleansed/{season}/poll_{stamp}.json (columnar or row-oriented)
 
-These let an existing bucket be read as it is. A snapshot object is one file,
-so it is one task (``multiLine`` / ``wholetext`` files do not split); the
-native store (:mod:`rankflow.plans.cleansed`) has no such limit.
+These let an existing bucket be read as it is. A raw object is split over tasks
+(:mod:`rankflow.sources.arrays`); a cleansed one is a single document and so one
+task; the native store (:mod:`rankflow.plans.cleansed`) has no such limit.
 """
 
 from __future__ import annotations
