@@ -3,24 +3,28 @@
 * Examples: at most ``examples`` labelled rows of each class, the first by a
   hash of their doc_id, one a distinct text. That sample is the only bound;
   document counts and frequencies are taken over all documents.
-* Terms: words and word beginnings of ``BEGINNINGS`` characters. At most
-  ``terms`` of them are kept, those that tell the classes of the examples apart
-  best by chi-square (with Yates' correction, as many terms are rare); a cosine over all words would mostly measure the prose.
+* Terms: all words of the examples, and word beginnings of ``BEGINNINGS``
+  characters; their number is bounded by the examples alone. A term weighs its
+  inverse document frequency times chi2 / (chi2 + ``HALF``), chi2 (with Yates'
+  correction, as many terms are rare) telling how far it keeps the classes of
+  the examples apart: without that the cosine would mostly measure the prose. A
+  term spread over the classes as chance would has weight zero, adds nothing to
+  any cosine, and so is not stored.
 * Index: examples with equal vectors are one entry; entries lie in blocks of
   ``BLOCK``, and each posting list knows its largest weight in each block. A
-  query takes blocks by descending upper bound and stops when no block left can
-  reach the k-th best similarity, so its neighbours are exact. All examples at
+  query takes blocks by descending upper bound, more at each step, and stops
+  when no block left can reach the k-th best similarity, so its neighbours are
+  exact. All examples at
   the k-th similarity count, so ties do not depend on any order.
 * Score: votes weighted by similarity, each class weighted back to its share of
   the labelled rows, shrunk towards the share of toxic rows among examples
-  without any kept term, which is also the score of texts without one.
+  without any term, which is also the score of texts without one.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +35,8 @@ from rankflow.llm.common import Remembered, id_text, map_rows, on_workers, raw_t
 from rankflow.session import materialize
 
 EXAMPLES = 4096
-TERMS = 2048
 BEGINNINGS = (4, 5, 6)
-LEAST_CHI2 = 30.0
-LEAST_ROWS = 5
+HALF = 30.0
 NEIGHBOURS = 25
 BLOCK = 64
 SHRINK = 0.5
@@ -65,24 +67,36 @@ def all_terms(words: Counter) -> set[tuple[int, bytes]]:
 
 
 class Terms:
-    """The kept terms, by number."""
-
-    def __init__(self, kept: list[tuple[int, bytes]]):
-        self.kept = kept
-        self.by_kind = {k: {t: i for i, (kind, t) in enumerate(kept) if kind == k}
-                        for k in (0, *BEGINNINGS)}
-
-    def counts(self, raw: bytes) -> dict[int, int]:
-        words = word_counts(raw)
-        own = self.by_kind[0]
-        found = {own[w]: words[w] for w in words.keys() & own.keys()}
-        for k in BEGINNINGS:
-            number = self.by_kind[k]
-            if number:
-                for w in [w for w in words if w[:k] in number and len(w) > k]:
-                    i = number[w[:k]]
-                    found[i] = found.get(i, 0) + words[w]
-        return found
+    """The terms of the examples, by number."""
+
+    def __init__(self, kinds: np.ndarray, names: list[bytes]):
+        self.by_kind: dict[int, dict[bytes, int]] = {k: {} for k in (0, *BEGINNINGS)}
+        for i, (kind, name) in enumerate(zip(kinds.tolist(), names, strict=True)):
+            self.by_kind[kind][name] = i
+        self.numbers = Remembered(self._numbers, 20_000)
+
+    def _numbers(self, word: bytes) -> list[int]:
+        found = [self.by_kind[0].get(word)]
+        found += [self.by_kind[k].get(word[:k]) for k in BEGINNINGS if len(word) > k]
+        return [i for i in found if i is not None]
+
+    def counts(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending numbers of the terms in a text, and how often each is there."""
+        found: dict[int, int] = {}
+        numbers = self.numbers
+        for w, n in word_counts(raw).items():
+            for i in numbers[w]:
+                found[i] = found.get(i, 0) + n
+        ids = np.fromiter(found, np.int64, len(found))
+        order = np.argsort(ids)
+        return ids[order], np.fromiter(found.values(), np.int64, len(found))[order]
+
+
+def _spans(first: np.ndarray, beyond: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The positions of all ranges in a row, and the length of each range."""
+    size = beyond - first
+    start = np.cumsum(size) - size
+    return np.repeat(first - start, size) + np.arange(size.sum()), size
 
 
 @dataclass
@@ -90,57 +104,71 @@ class BlockMaxIndex:
     """Exact cosine neighbours of sparse vectors of length one."""
 
     terms: int
-    rows: list[tuple[tuple[int, ...], tuple[float, ...]]]
+    rows: list[tuple]  # of each entry, ascending terms and their weights
     weights: np.ndarray  # of each entry, toxic and clean votes
     block: int = BLOCK
-    postings: list = field(init=False)
 
     def __post_init__(self):
-        by_term: list[list[tuple[int, float]]] = [[] for _ in range(self.terms)]
-        for e, (ids, values) in enumerate(self.rows):
-            for t, v in zip(ids, values, strict=True):
-                by_term[t].append((e, v))
         self.blocks = -(-len(self.rows) // self.block)
-        self.postings = []
-        for p in by_term:
-            entries = np.array([e for e, _ in p], np.int64)
-            values = np.array([v for _, v in p])
-            blocks, first = np.unique(entries // self.block, return_index=True)
-            top = np.maximum.reduceat(values, first) if len(p) else values
-            self.postings.append((entries, values, blocks, top, [*first.tolist(), len(p)]))
+        none = [np.zeros(0, np.int64)]
+        term = np.concatenate(none + [np.asarray(t, np.int64) for t, _ in self.rows])
+        value = np.concatenate([np.zeros(0)] + [np.asarray(v, float) for _, v in self.rows])
+        entry = np.repeat(np.arange(len(self.rows)), [len(t) for t, _ in self.rows])
+        order = np.argsort(term, kind="stable")  # by term, then by entry
+        term, self.entry, self.value = term[order], entry[order].astype(np.int32), value[order]
+        # a run is one term's postings in one block, with the largest weight there
+        place = self.entry // self.block
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (place[1:] != place[:-1])
+        first = np.flatnonzero(new)
+        self.run = np.append(first, len(term))
+        self.run_block = place[first]
+        self.run_top = np.maximum.reduceat(self.value, first) if len(first) else value
+        self.of_term = np.searchsorted(term[first], np.arange(self.terms + 1))
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """(similarity, entry) of the entries that hold the k nearest examples,
         and of all others as near as the last of these; zero similarity never."""
-        bound = np.zeros(self.blocks)
-        where: dict[int, list[tuple[float, int, int, int]]] = {}
-        for t, q in query.items():
-            _, _, blocks, top, first = self.postings[t]
-            bound[blocks] += q * top
-            for n, b in enumerate(blocks.tolist()):
-                where.setdefault(b, []).append((q, t, first[n], first[n + 1]))
-        found: list[tuple[float, int]] = []
-        least = 0.0  # the k-th best similarity so far
-        for b in sorted(where, key=lambda b: -bound[b]):
-            if bound[b] < least - 1e-9:
+        ids = np.array(sorted(query), np.int64)
+        score, entry = self.search(ids, np.array([query[t] for t in ids.tolist()]), k)
+        return list(zip(score.tolist(), entry.tolist(), strict=True))
+
+    def search(self, ids: np.ndarray, values: np.ndarray,
+               k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``nearest`` of ascending terms and their weights, as two arrays."""
+        runs, size = _spans(self.of_term[ids], self.of_term[ids + 1])
+        share = np.repeat(values, size)
+        block = self.run_block[runs]
+        bound = np.bincount(block, share * self.run_top[runs], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        rank = np.empty(self.blocks, np.int64)
+        rank[order] = np.arange(self.blocks)
+        rank_of_run = rank[block]
+        score, entry, least = np.zeros(0), np.zeros(0, np.int64), 0.0
+        done, step = 0, 8
+        while done < self.blocks:
+            # of the next blocks those that can still reach the k-th best similarity
+            top = bound[order[done:done + step]]
+            n = int(np.count_nonzero((top > 0) & (top >= least - 1e-9)))
+            if not n:
                 break
-            score = np.zeros(self.block)
-            for q, t, lo, hi in where[b]:
-                entries, values = self.postings[t][:2]
-                score[entries[lo:hi] - b * self.block] += q * values[lo:hi]
-            found += [(round(float(score[i]), 9), b * self.block + int(i))
-                      for i in np.flatnonzero(score > max(0.0, least - 1e-9))]
-            found.sort(key=lambda x: (-x[0], x[1]))
-            n = 0.0
-            for j, (s, e) in enumerate(found):
-                n += self.count[e]
-                if n >= k:
-                    least = s
-                    while j + 1 < len(found) and found[j + 1][0] >= least:
-                        j += 1
-                    del found[j + 1:]
-                    break
-        return found
+            at = np.flatnonzero((rank_of_run >= done) & (rank_of_run < done + n))
+            where, long = _spans(self.run[runs[at]], self.run[runs[at] + 1])
+            sums = np.bincount(self.entry[where], np.repeat(share[at], long) * self.value[where])
+            sums = np.round(sums, 9)
+            new = np.flatnonzero((sums > 0) & (sums >= least))
+            score, entry = np.append(score, sums[new]), np.append(entry, new)
+            best = np.lexsort((entry, -score))
+            score, entry = score[best], entry[best]
+            enough = int(np.searchsorted(np.cumsum(self.count[entry]), k))
+            if enough < len(score):
+                least = float(score[enough])
+                stay = int(np.searchsorted(-score, -least, side="right"))
+                score, entry = score[:stay], entry[:stay]
+            if n < len(top):
+                break
+            done, step = done + n, step * 4
+        return score, entry
 
     @property
     def count(self) -> np.ndarray:
@@ -151,11 +179,12 @@ class BlockMaxIndex:
 
 @dataclass
 class ToxicityModel:
-    """Terms, their inverse document frequencies and the labelled examples."""
+    """The weighted terms and the labelled examples."""
 
-    kept: list[tuple[int, bytes]]
-    idf: np.ndarray
-    rows: list[tuple[tuple[int, ...], tuple[float, ...]]]
+    kinds: np.ndarray
+    names: list[bytes]
+    term_weight: np.ndarray
+    rows: list[tuple[np.ndarray, np.ndarray]]
     votes: np.ndarray  # toxic and clean examples of each entry
     witnesses: list[list[int]]  # doc_ids of up to three examples of each entry
     class_weight: tuple[float, float]
@@ -163,41 +192,37 @@ class ToxicityModel:
     neighbours: int = NEIGHBOURS
 
     def ready(self) -> None:
-        self.names = Terms(self.kept)
-        self.index = BlockMaxIndex(len(self.kept), self.rows, self.votes)
-        self.known = Remembered(self._vote, 30_000, 1024)
-
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        w = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = math.sqrt(sum(x * x for x in w.values()))
-        return {t: x / norm for t, x in w.items()} if norm else {}
-
-    def _vote(self, counts: bytes) -> tuple[float, list[int], list[bytes]]:
-        pairs = np.frombuffer(counts, np.int64).reshape(-1, 2).tolist()
-        query = self.vector(dict(pairs))
-        near = self.index.nearest(query, self.neighbours)
-        if not near:
-            return self.prior, [], []
-        yes = sum(s * self.votes[e][0] for s, e in near) * self.class_weight[0]
-        no = sum(s * self.votes[e][1] for s, e in near) * self.class_weight[1]
-        score = (yes + SHRINK * self.prior) / (yes + no + SHRINK)
-        shared = [t for t in self.rows[near[0][1]][0] if t in query]
-        shared.sort(key=lambda t: -query[t])
-        names = [self.kept[t][1] + b"*" * (self.kept[t][0] > 0) for t in shared[:5]]
-        return score, self.witnesses[near[0][1]], names
+        self.terms = Terms(self.kinds, self.names)
+        self.index = BlockMaxIndex(len(self.names), self.rows, self.votes)
+
+    def vector(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        w = (1 + np.log(counts)) * self.term_weight[ids]
+        norm = np.sqrt(np.sum(w * w))
+        return w / norm if norm else w
 
     def score(self, raw: bytes) -> tuple[float, list[int], list[bytes]]:
         """Score, doc_ids of the nearest examples, and the terms shared with them."""
-        return self.known[np.array(sorted(self.names.counts(raw).items()), np.int64).tobytes()]
+        ids, counts = self.terms.counts(raw)
+        query = self.vector(ids, counts)
+        near, entry = self.index.search(ids, query, self.neighbours)
+        if not len(near):
+            return self.prior, [], []
+        yes, no = near @ self.votes[entry] * self.class_weight
+        score = float((yes + SHRINK * self.prior) / (yes + no + SHRINK))
+        first = int(entry[0])
+        shared = np.flatnonzero(np.isin(ids, self.rows[first][0]))
+        shared = ids[shared[np.argsort(-query[shared], kind="stable")[:5]]].tolist()
+        return score, self.witnesses[first], [self.names[t] + b"*" * bool(self.kinds[t])
+                                              for t in shared]
 
 
 def _local(model: ToxicityModel) -> ToxicityModel:
-    if not hasattr(model, "known"):
+    if not hasattr(model, "index"):
         model.ready()
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS,
+def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES,
           neighbours: int = NEIGHBOURS) -> ToxicityModel:
     """Learn from the labelled rows that are not held out. Null labels and
     labels without a document teach nothing; of several labels of one doc_id a
@@ -220,17 +245,20 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: i
         "toxicity_examples")
     got = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     weight = tuple(have.get(y, 0) / got[y] if got.get(y) else 0.0 for y in (1, 0))
-    kept = _choose_terms(chosen, got, terms)
+    kinds, names, apart = _weigh_terms(chosen, got)
     total = texts.count()
-    idf = np.zeros(len(kept))
-    for term, n in _frequencies(texts, kept):
-        idf[term] = math.log((total + 1) / (n + 0.5))
-    model = ToxicityModel(kept, idf, [], np.zeros((0, 2)), [], weight, 0.0, neighbours)
+    idf = np.log((total + 1) / (_frequencies(texts, kinds, names) + 0.5))
+    model = ToxicityModel(kinds, names, idf * apart, [], np.zeros((0, 2)), [], weight, 0.0,
+                          neighbours)
     _add_examples(model, chosen)
     return model
 
 
-def _choose_terms(chosen: DataFrame, got: dict[int, int], terms: int) -> list[tuple[int, bytes]]:
+def _weigh_terms(chosen: DataFrame,
+                 got: dict[int, int]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Kind, name and share of the weight of each term of the examples, those
+    that tell the classes apart best first. To the driver come at most the
+    distinct terms of 2 * ``examples`` texts."""
     def make():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             n: tuple[Counter, Counter] = (Counter(), Counter())
@@ -247,7 +275,7 @@ def _choose_terms(chosen: DataFrame, got: dict[int, int], terms: int) -> list[tu
 
     yes, no = got.get(1, 0), got.get(0, 0)
     if not yes or not no:
-        return []
+        return np.zeros(0, np.int64), [], np.zeros(0)
     a, b = F.col("toxic"), F.col("clean")
     c, d = F.lit(yes) - a, F.lit(no) - b
     apart = F.greatest(F.abs(a * d - b * c) - (yes + no) / 2, F.lit(0.0))
@@ -257,62 +285,71 @@ def _choose_terms(chosen: DataFrame, got: dict[int, int], terms: int) -> list[tu
                       "kind int, term binary, toxic long, clean long")
              .groupBy("kind", "term").agg(F.sum("toxic").alias("toxic"),
                                           F.sum("clean").alias("clean"))
-             .filter(F.col("toxic") + F.col("clean") >= LEAST_ROWS)
-             .withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2)
-             .orderBy(F.desc("chi2"), "kind", "term").limit(terms))
-    return [(r.kind, bytes(r.term)) for r in found.collect()]  # at most ``terms`` rows
+             .withColumn("chi2", chi2).filter("chi2 > 0")
+             .orderBy(F.desc("chi2"), "kind", "term").select("kind", "term", "chi2").toArrow())
+    chi2 = found["chi2"].to_numpy()
+    return found["kind"].to_numpy().astype(np.int64), found["term"].to_pylist(), chi2 / (chi2 + HALF)
 
 
-def _frequencies(texts: DataFrame, kept: list[tuple[int, bytes]]) -> list[tuple[int, int]]:
-    """In how many documents each kept term occurs: one row a term to the driver."""
-    sent = texts.sparkSession.sparkContext.broadcast(kept)  # ``terms`` entries at most
+def _frequencies(texts: DataFrame, kinds: np.ndarray, names: list[bytes]) -> np.ndarray:
+    """In how many documents each term occurs: one row a term to the driver."""
+    # terms of the examples' texts
+    sent = texts.sparkSession.sparkContext.broadcast((kinds, names))
 
     def make():
-        names = Terms(sent.value)
+        terms = Terms(*sent.value)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n = Counter(t for raw in raw_texts(batch) for t in names.counts(raw))
+            n = np.zeros(len(sent.value[1]), np.int64)
+            for raw in raw_texts(batch):
+                n[terms.counts(raw)[0]] += 1
+            seen = np.flatnonzero(n)
             return pa.RecordBatch.from_arrays(
-                [pa.array(n.keys(), pa.int32()), pa.array(n.values(), pa.int64())], ["term", "n"])
+                [pa.array(seen, pa.int32()), pa.array(n[seen], pa.int64())], ["term", "n"])
         return each
 
-    if not kept:
-        return []
-    found = map_rows(texts.select("text"), make, "term int, n long")
-    return [(r.term, r.n) for r in found.groupBy("term").agg(F.sum("n").alias("n")).collect()]
+    out = np.zeros(len(names))
+    if names:
+        found = map_rows(texts.select("text"), make, "term int, n long")
+        found = found.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+        out[found["term"].to_numpy()] = found["n"].to_numpy()
+    return out
 
 
 def _add_examples(model: ToxicityModel, chosen: DataFrame) -> None:
-    """The examples' vectors: at most 2 * ``examples`` rows of ``terms`` pairs.
-    Equal vectors become one entry; sorted entries make alike ones neighbours."""
-    sent = chosen.sparkSession.sparkContext.broadcast(model.kept)
+    """The examples' vectors: at most 2 * ``examples`` rows of a text's terms.
+    Equal vectors become one entry; entries in the order of their strongest
+    terms make alike ones neighbours."""
+    sent = chosen.sparkSession.sparkContext.broadcast((model.kinds, model.names))
 
     def make():
-        names = Terms(sent.value)
+        terms = Terms(*sent.value)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [sorted(names.counts(raw).items()) for raw in raw_texts(batch)]
+            found = [terms.counts(raw) for raw in raw_texts(batch)]
             return pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2),
-                 pa.array([[t for t, _ in f] for f in found], pa.list_(pa.int32())),
-                 pa.array([[n for _, n in f] for f in found], pa.list_(pa.int32()))],
+                 pa.array([t.astype(np.int32).tobytes() for t, _ in found], pa.binary()),
+                 pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary())],
                 ["doc_id", "toxic", "term", "n"])
         return each
 
     rows = map_rows(chosen.select("text", "doc_id", "toxic"), make,
-                    "doc_id long, toxic int, term array<int>, n array<int>").collect()
-    groups: dict[tuple, tuple[list[int], list[int]]] = {}
-    for r in rows:
-        groups.setdefault((tuple(r.term), tuple(r.n)), ([], []))[r.toxic != 1].append(r.doc_id)
-    bare = groups.pop(((), ()), ([], []))
+                    "doc_id long, toxic int, term binary, n binary").toArrow()
+    groups: dict[tuple[bytes, bytes], tuple[list[int], list[int]]] = {}
+    for doc_id, toxic, term, n in zip(*[rows[c].to_pylist() for c in rows.column_names],
+                                      strict=True):
+        groups.setdefault((term, n), ([], []))[toxic != 1].append(doc_id)
+    bare = groups.pop((b"", b""), ([], []))
     yes, no = (len(x) * w for x, w in zip(bare, model.class_weight, strict=True))
     model.prior = yes / (yes + no + CLEAN_PRIOR)
-    entries = sorted(groups.items())
-    for (ids, counts), _ in entries:
-        v = model.vector(dict(zip(ids, counts, strict=True)))
-        model.rows.append((tuple(v), tuple(v.values())))
-    model.votes = np.array([[len(g[0]), len(g[1])] for _, g in entries], float).reshape(-1, 2)
-    model.witnesses = [sorted(g[0] + g[1])[:3] for _, g in entries]
+    entries = sorted(((np.frombuffer(term, np.int32), np.frombuffer(n, np.int32), votes)
+                      for (term, n), votes in groups.items()),
+                     key=lambda e: (e[0].tolist()[:16], e[0].tobytes(), e[1].tobytes()))
+    for ids, counts, _ in entries:
+        model.rows.append((ids, model.vector(ids, counts)))
+    model.votes = np.array([[len(g[0]), len(g[1])] for *_, g in entries], float).reshape(-1, 2)
+    model.witnesses = [sorted(g[0] + g[1])[:3] for *_, g in entries]
 
 
 def scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
