@@ -11,11 +11,13 @@
   term spread over the classes as chance would has weight zero, adds nothing to
   any cosine, and so is not stored.
 * Index: examples with equal vectors are one entry; entries lie in blocks of
-  ``BLOCK``, and each posting list knows its largest weight in each block. A
-  query takes blocks by descending upper bound, more at each step, and stops
-  when no block left can reach the k-th best similarity, so its neighbours are
-  exact. All examples at
-  the k-th similarity count, so ties do not depend on any order.
+  ``BLOCK``, and each posting list knows its largest weight in each block. The
+  terms of a query that can add most are summed over their postings; of the
+  light ones, which can add ``LIGHT`` of the whole at most, only the block's
+  largest weights are. An entry whose sum and block bound cannot reach the k-th
+  best sum is left; the others are compared in full, so the neighbours are
+  exact. All examples at the k-th similarity count, so ties do not depend on
+  any order.
 * Score: votes weighted by similarity, each class weighted back to its share of
   the labelled rows, shrunk towards the share of toxic rows among examples
   without any term, which is also the score of texts without one.
@@ -25,13 +27,14 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import Remembered, id_text, map_rows, on_workers, raw_texts
+from rankflow.llm.common import id_text, map_rows, on_workers, raw_texts
 from rankflow.session import materialize
 
 EXAMPLES = 4096
@@ -39,6 +42,8 @@ BEGINNINGS = (4, 5, 6)
 HALF = 30.0
 NEIGHBOURS = 25
 BLOCK = 64
+LIGHT = 0.01
+MARGIN = 1e-5  # more than single precision and rounding lose in a cosine
 SHRINK = 0.5
 CLEAN_PRIOR = 10  # clean examples assumed besides, so that a few labels reject nobody
 FOLDS = 5
@@ -73,23 +78,19 @@ class Terms:
         self.by_kind: dict[int, dict[bytes, int]] = {k: {} for k in (0, *BEGINNINGS)}
         for i, (kind, name) in enumerate(zip(kinds.tolist(), names, strict=True)):
             self.by_kind[kind][name] = i
-        self.numbers = Remembered(self._numbers, 20_000)
-
-    def _numbers(self, word: bytes) -> list[int]:
-        found = [self.by_kind[0].get(word)]
-        found += [self.by_kind[k].get(word[:k]) for k in BEGINNINGS if len(word) > k]
-        return [i for i in found if i is not None]
 
     def counts(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ascending numbers of the terms in a text, and how often each is there."""
-        found: dict[int, int] = {}
-        numbers = self.numbers
-        for w, n in word_counts(raw).items():
-            for i in numbers[w]:
-                found[i] = found.get(i, 0) + n
-        ids = np.fromiter(found, np.int64, len(found))
-        order = np.argsort(ids)
-        return ids[order], np.fromiter(found.values(), np.int64, len(found))[order]
+        words = word_counts(raw)
+        found, often = list(map(self.by_kind[0].get, words, repeat(-1))), list(words.values())
+        for k in BEGINNINGS:
+            longer = [w for w in words if len(w) > k]
+            found += map(self.by_kind[k].get, [w[:k] for w in longer], repeat(-1))
+            often += map(words.get, longer)
+        ids, n = np.array(found, np.int64), np.array(often, np.int64)
+        ids, n = ids[ids >= 0], n[ids >= 0]
+        ids, which = np.unique(ids, return_inverse=True)
+        return ids, np.bincount(which, n, len(ids)).astype(np.int64)
 
 
 def _spans(first: np.ndarray, beyond: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,21 +111,26 @@ class BlockMaxIndex:
 
     def __post_init__(self):
         self.blocks = -(-len(self.rows) // self.block)
-        none = [np.zeros(0, np.int64)]
-        term = np.concatenate(none + [np.asarray(t, np.int64) for t, _ in self.rows])
-        value = np.concatenate([np.zeros(0)] + [np.asarray(v, float) for _, v in self.rows])
-        entry = np.repeat(np.arange(len(self.rows)), [len(t) for t, _ in self.rows])
-        order = np.argsort(term, kind="stable")  # by term, then by entry
-        term, self.entry, self.value = term[order], entry[order].astype(np.int32), value[order]
+        self.row = np.cumsum([0] + [len(t) for t, _ in self.rows])
+        self.term = np.concatenate([np.zeros(0, np.int32)]
+                                   + [np.asarray(t, np.int32) for t, _ in self.rows])
+        self.weight = np.concatenate([np.zeros(0)] + [np.asarray(v, float) for _, v in self.rows])
+        self.count = self.weights.sum(axis=1)
+        self.of_row = np.arange(len(self.rows)) // self.block
+        order = np.argsort(self.term, kind="stable")  # by term, then by entry
+        term = self.term[order]
+        self.entry = np.repeat(np.arange(len(self.rows), dtype=np.int32), np.diff(self.row))[order]
+        self.value = self.weight[order].astype(np.float32)  # for bounds, with a margin
+        self.list = np.searchsorted(term, np.arange(self.terms + 1))
         # a run is one term's postings in one block, with the largest weight there
         place = self.entry // self.block
-        new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (place[1:] != place[:-1])
-        first = np.flatnonzero(new)
-        self.run = np.append(first, len(term))
+        first = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(place, prepend=-1) != 0))
         self.run_block = place[first]
-        self.run_top = np.maximum.reduceat(self.value, first) if len(first) else value
-        self.of_term = np.searchsorted(term[first], np.arange(self.terms + 1))
+        self.run_top = np.maximum.reduceat(self.value, first) if len(first) else self.value
+        self.runs = np.searchsorted(term[first], np.arange(self.terms + 1))
+        self.top = np.zeros(self.terms)
+        np.maximum.at(self.top, term[first], self.run_top)
+        self.query = np.zeros(self.terms)
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """(similarity, entry) of the entries that hold the k nearest examples,
@@ -136,45 +142,43 @@ class BlockMaxIndex:
     def search(self, ids: np.ndarray, values: np.ndarray,
                k: int) -> tuple[np.ndarray, np.ndarray]:
         """``nearest`` of ascending terms and their weights, as two arrays."""
-        runs, size = _spans(self.of_term[ids], self.of_term[ids + 1])
-        share = np.repeat(values, size)
-        block = self.run_block[runs]
-        bound = np.bincount(block, share * self.run_top[runs], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        rank = np.empty(self.blocks, np.int64)
-        rank[order] = np.arange(self.blocks)
-        rank_of_run = rank[block]
-        score, entry, least = np.zeros(0), np.zeros(0, np.int64), 0.0
-        done, step = 0, 8
-        while done < self.blocks:
-            # of the next blocks those that can still reach the k-th best similarity
-            top = bound[order[done:done + step]]
-            n = int(np.count_nonzero((top > 0) & (top >= least - 1e-9)))
-            if not n:
-                break
-            at = np.flatnonzero((rank_of_run >= done) & (rank_of_run < done + n))
-            where, long = _spans(self.run[runs[at]], self.run[runs[at] + 1])
-            sums = np.bincount(self.entry[where], np.repeat(share[at], long) * self.value[where])
-            sums = np.round(sums, 9)
-            new = np.flatnonzero((sums > 0) & (sums >= least))
-            score, entry = np.append(score, sums[new]), np.append(entry, new)
-            best = np.lexsort((entry, -score))
-            score, entry = score[best], entry[best]
-            enough = int(np.searchsorted(np.cumsum(self.count[entry]), k))
-            if enough < len(score):
-                least = float(score[enough])
-                stay = int(np.searchsorted(-score, -least, side="right"))
-                score, entry = score[:stay], entry[:stay]
-            if n < len(top):
-                break
-            done, step = done + n, step * 4
+        most = values * self.top[ids]
+        order = np.argsort(most, kind="stable")
+        light = np.zeros(len(ids), bool)
+        light[order] = np.cumsum(most[order]) <= LIGHT * most.sum()
+        heavy = ~light
+        at, size = _spans(self.list[ids[heavy]], self.list[ids[heavy] + 1])
+        sums = np.bincount(self.entry[at], np.repeat(values[heavy], size) * self.value[at],
+                           len(self.rows))
+        at, size = _spans(self.runs[ids[light]], self.runs[ids[light] + 1])
+        bound = np.bincount(self.run_block[at], np.repeat(values[light], size) * self.run_top[at],
+                            self.blocks)
+        self.query[ids] = values
+        # an entry holds an example at least, so k entries hold the k nearest
+        least = (self._cosine(np.argpartition(sums, -k)[-k:]).min() if len(sums) > k else 0.0)
+        upper = sums + bound[self.of_row]
+        entry = np.flatnonzero((upper > 0) & (upper >= least - MARGIN))
+        score = np.round(self._cosine(entry), 9)
+        self.query[ids] = 0.0
+        best = np.lexsort((entry, -score))
+        best = best[score[best] > 0]
+        score, entry = score[best], entry[best]
+        enough = int(np.searchsorted(np.cumsum(self.count[entry]), k))
+        if enough < len(score):
+            stay = int(np.searchsorted(-score, -score[enough], side="right"))
+            score, entry = score[:stay], entry[:stay]
         return score, entry
 
-    @property
-    def count(self) -> np.ndarray:
-        if not hasattr(self, "_count"):
-            self._count = self.weights.sum(axis=1)
-        return self._count
+    def has(self, entry: int, ids: np.ndarray) -> np.ndarray:
+        """Which of ascending terms an entry has."""
+        own = self.term[self.row[entry]:self.row[entry + 1]]
+        return own[np.minimum(np.searchsorted(own, ids), len(own) - 1)] == ids
+
+    def _cosine(self, entry: np.ndarray) -> np.ndarray:
+        """Of the query with each of the entries, over all their terms."""
+        at, size = _spans(self.row[entry], self.row[entry + 1])
+        part = self.query[self.term[at]] * self.weight[at]
+        return np.bincount(np.repeat(np.arange(len(entry)), size), part, len(entry))
 
 
 @dataclass
@@ -194,6 +198,7 @@ class ToxicityModel:
     def ready(self) -> None:
         self.terms = Terms(self.kinds, self.names)
         self.index = BlockMaxIndex(len(self.names), self.rows, self.votes)
+        self.rows = self.index.rows = range(len(self.rows))  # the index has them by now
 
     def vector(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.term_weight[ids]
@@ -210,7 +215,7 @@ class ToxicityModel:
         yes, no = near @ self.votes[entry] * self.class_weight
         score = float((yes + SHRINK * self.prior) / (yes + no + SHRINK))
         first = int(entry[0])
-        shared = np.flatnonzero(np.isin(ids, self.rows[first][0]))
+        shared = np.flatnonzero(self.index.has(first, ids))
         shared = ids[shared[np.argsort(-query[shared], kind="stable")[:5]]].tolist()
         return score, self.witnesses[first], [self.names[t] + b"*" * bool(self.kinds[t])
                                               for t in shared]
