@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rankflow.llm import toxicity as T
@@ -77,3 +78,71 @@ def test_odd_rows_labels_and_empty_tables(spark, odd, none):
         assert all(0 <= r.score <= 1 for r in rows)
         assert T.scores(none, model).collect() == [] and T.drop_toxic(none, model).collect() == []
         assert T.drop_toxic(odd, model, threshold=1.1).count() == len(ODD_IDS)
+
+
+@pytest.mark.parametrize("share", [0, 0.1, 2])
+def test_search_is_exact_with_lists_in_and_out_of_the_matrix(share, monkeypatch):
+    """``share`` decides which lists are rows of the matrix: all, some, none."""
+    monkeypatch.setattr(T, "LIGHT", 0.1)
+    rng = np.random.default_rng(3)
+    terms, entries = 60, 400
+    often = 1 / np.arange(1, terms + 1)
+    counts = [rng.poisson(4 * often) for _ in range(entries)]
+    pairs = [(np.flatnonzero(c), c[np.flatnonzero(c)] - 1) for c in counts]
+    book, scale = 1 + np.log(np.arange(1, 50)), rng.random(terms) + 0.1
+    dense = np.zeros((entries, terms))
+    for own, (t, n) in zip(dense, pairs, strict=True):
+        own[t] = book[n] * scale[t]
+    dense /= np.maximum(np.sqrt((dense ** 2).sum(axis=1)), 1e-9)[:, None]
+    index = T.BlockMaxIndex(terms, T.Rows.of(pairs, np.uint8), np.ones((entries, 2)) / 2, block=16,
+                            share=share, book=book, scale=scale)
+    inside = np.count_nonzero(index.place >= 0)
+    assert inside == 0 if share == 2 else 0 < inside <= terms and (share > 0) == (inside < terms)
+    queries = [(t, rng.random(len(t)) + 0.1) for t in
+               (np.sort(rng.choice(terms, n, replace=False)) for n in rng.integers(0, 30, 300))]
+    for (ids, values), (near, entry) in zip(queries, index.search(queries, 10), strict=True):
+        sims = np.round(dense[:, ids] @ values, 9)
+        least = max(np.sort(sims)[-10], 1e-9)
+        want = np.flatnonzero(sims >= least)
+        assert set(entry) == set(want) and np.allclose(np.sort(near), np.sort(sims[want]), atol=2e-9)
+
+
+def test_terms_are_counted_as_words_and_beginnings():
+    """Many texts at a time, over chunks, against one word after the other."""
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abÀßi ") for _ in range(rng.randint(1, 9))).strip() for _ in range(60)]
+    texts = [None, "", " \x0b\t", "12 ,a. \x00abab\x1c1", "(Abab) ABAB abab\x0cabÀßi abÀß"]
+    texts += [" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(1500)]
+    texts += ["abab " * (T.CHUNK_BYTES // 4), "abab abababa"]
+    known = sorted({t for x in words[:40] for t in T.all_terms(T.word_counts(x.encode()))}
+                   | {(0, b"abab"), (4, b"abab")})
+    names = pa.array([n for _, n in known], pa.large_binary())
+    terms = T.Terms(np.array([k for k, _ in known]), names)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    got = []
+    for chunk in T._chunks(batch):
+        ids, n, ends = terms.counts(chunk)
+        got += [{known[i]: m for i, m in zip(ids[a:b].tolist(), n[a:b].tolist(), strict=True)}
+                for a, b in zip(ends, ends[1:], strict=False)]
+    assert len(got) == len(texts)
+    for text, found in zip(texts, got, strict=True):
+        want = {}
+        for w, m in T.word_counts((text or "").encode()).items():
+            for t in T.all_terms({w: m}):
+                if t in set(known):
+                    want[t] = want.get(t, 0) + m
+        assert found == want
+
+
+def test_the_index_holds_each_weight_in_few_bytes():
+    """Two workers an executor hold one each: about 20 bytes a posting, as the
+    rows are numbers of weights and no list is kept twice."""
+    rng = np.random.default_rng(5)
+    pairs = [(np.sort(rng.choice(20_000, 500, replace=False)), rng.integers(0, 3, 500))
+             for _ in range(1000)]
+    index = T.BlockMaxIndex(20_000, T.Rows.of(pairs, np.uint8), np.ones((1000, 2)),
+                            book=1 + np.log(np.arange(1, 4)), scale=np.ones(20_000))
+    arrays = [x for o in (index, index.rows) for x in vars(o).values() if isinstance(x, np.ndarray)]
+    postings = 500 * 1000
+    fixed = 8 * 8 * 20_000  # of the terms
+    assert sum(x.nbytes for x in arrays) < 20 * postings + fixed
