@@ -48,8 +48,8 @@ NEIGHBOURS = 25
 BLOCK = 64
 LIGHT = 0.003
 SHARE, LONGEST_LISTS = 1 / 16, 1024  # lists that are rows of a matrix, and how many at most
-TEXTS = 256  # scored at a time
-CHUNK, CHUNK_BYTES = 512, 2 << 20  # texts whose terms are counted at a time
+TEXTS = 128  # scored at a time
+CHUNK, CHUNK_BYTES = 512, 1 << 20  # texts whose terms are counted at a time
 MARGIN = 1e-5  # more than single precision and rounding lose in a cosine
 SHRINK = 0.5
 CLEAN_PRIOR = 10  # clean examples assumed besides, so that a few labels reject nobody
@@ -529,7 +529,10 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) ->
     def run(batches):
         score = _local(sent.value).score
         for batch in batches:
-            keep = [got < threshold for texts in _chunks(batch, text) for got, *_ in score(texts)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            first = 0
+            for texts in _chunks(batch, text):  # a chunk at a time: no batch is held twice
+                keep = [got < threshold for got, *_ in score(texts)]
+                yield batch.slice(first, len(texts)).filter(pa.array(keep, pa.bool_()))
+                first += len(texts)
 
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -146,3 +146,17 @@ def test_the_index_holds_each_weight_in_few_bytes():
     postings = 500 * 1000
     fixed = 8 * 8 * 20_000  # of the terms
     assert sum(x.nbytes for x in arrays) < 20 * postings + fixed
+
+
+def test_dropping_gives_rows_back_a_chunk_at_a_time(monkeypatch, spark):
+    """The worker never holds an Arrow batch and its filtered copy."""
+    model = T.train(docs_of(spark, []), spark.createDataFrame([], "doc_id long, toxic int"))
+    run = []
+    docs = docs_of(spark, ["a"])
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: run.append(f) or self)
+    T.drop_toxic(docs, model)
+    name = f"c{docs.columns.index('text')}"
+    batch = pa.RecordBatch.from_arrays([pa.array([f"text {i}" for i in range(3000)])], [name])
+    got = list(run[0]([batch]))
+    assert pa.Table.from_batches(got).column(0).to_pylist() == batch.column(0).to_pylist()
+    assert max(x.num_rows for x in got) <= T.CHUNK
